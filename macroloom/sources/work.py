@@ -1,0 +1,42 @@
+"""Where jobs keep tables of their own, and what has been landed."""
+
+import tempfile
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+_local_root = None
+
+
+def work_root(spark: SparkSession) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only where the setting is absent, as in local tests, a temporary folder takes its place.
+    """
+    global _local_root
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return shared.rstrip("/")
+    if _local_root is None:
+        _local_root = tempfile.mkdtemp(prefix="macroloom-")
+    return _local_root
+
+
+def new_folder(spark: SparkSession, purpose: str) -> str:
+    """A folder name of its own under the work root (nothing is created yet)."""
+    return f"{work_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def landed(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+    """(path, length, modified) of landed files. File contents are not read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    try:
+        found = reader.load(folder)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        return spark.createDataFrame([], "path string, length bigint, modified timestamp")
+    return found.select("path", "length", F.col("modificationTime").alias("modified"))
