@@ -6,13 +6,7 @@ from pyspark.sql import functions as F
 from macroloom.functions.numbers import grouped_real, whole
 from macroloom.operators.lookup import lookup
 from macroloom.operators.observations import named
-from macroloom.schema import (
-    BULK_CODELISTS,
-    BULK_OBS_ATTRIBUTES,
-    BULK_REALS,
-    BULK_SERIES_ATTRIBUTES,
-    BULK_WHOLE_NUMBERS,
-)
+from macroloom.schema import BULK_CODELISTS, BULK_REALS, BULK_WHOLE_NUMBERS
 from macroloom.sources.archives import audit_archives, require_sound, unpack_elements, with_verdict
 from macroloom.sources.xml_docs import enumerations, parse_series, parse_simple_type, series_to_rows
 
@@ -37,7 +31,7 @@ def clean_numbers(rows: DataFrame) -> DataFrame:
     return rows.withColumns(typed)
 
 
-def parse_archives(archives: DataFrame, check: bool = True, spread: int | None = None, with_path=False) -> DataFrame:
+def parse_archives(archives: DataFrame, check: bool = True, with_path: bool = False) -> DataFrame:
     """Observations of any number of archives, in the vocabulary they were published in.
 
     ``check`` reads every member once more beforehand and raises for an archive that is not a
@@ -45,13 +39,9 @@ def parse_archives(archives: DataFrame, check: bool = True, spread: int | None =
     """
     if check:
         require_sound(with_verdict(audit_archives(archives)))
-    elements = unpack_elements(archives, spread)
-    series = elements.filter("kind = 'xml'").select("path", parse_series(F.col("element")).alias("s"))
+    series = unpack_elements(archives, "xml").select("path", parse_series(F.col("element")).alias("s"))
     rows = series_to_rows(series.select("path", "s.*"), keep=["path"])
-    types = elements.filter("kind = 'xsd'").select("path", parse_simple_type(F.col("element")).alias("t"))
+    types = unpack_elements(archives, "xsd").select("path", parse_simple_type(F.col("element")).alias("t"))
     codes = enumerations(types.select("path", "t.*"), keep=["path"])
     parsed = clean_numbers(add_labels(rows, codes, per=("path",)))
     return parsed if with_path else parsed.drop("path")
-
-
-BULK_COLUMNS = [*BULK_SERIES_ATTRIBUTES, *BULK_OBS_ATTRIBUTES]

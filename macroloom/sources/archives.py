@@ -17,7 +17,7 @@ from macroloom.errors import BulkPayloadCorruptError, UnexpectedFileError
 from macroloom.schema import CORRUPT_RELEASES
 
 REPORT_SCHEMA = "path string, is_zip boolean, bad_member string, n_xml int, n_xsd int"
-ELEMENT_SCHEMA = "path string, kind string, pos bigint, element string"
+ELEMENT_SCHEMA = "path string, pos bigint, element string"
 ELEMENT_TAG = {"xml": "Series", "xsd": "xs:simpleType"}
 PIECE = 1 << 20
 ROWS_PER_BATCH = 5_000
@@ -130,28 +130,29 @@ def _elements(stream, tag):
             text = text[start.start() :]
 
 
-def unpack_elements(archives: DataFrame, spread: int | None = None) -> DataFrame:
-    """(path, kind, pos, element): every series and every simple type of sound archives.
+def unpack_elements(archives: DataFrame, kind: str) -> DataFrame:
+    """(path, pos, element): every series (``xml``) or every simple type (``xsd``) of sound archives.
 
-    One task inflates one archive; the rows are then spread evenly for parsing.
+    One task inflates the members of that kind of one archive; the shuffle that follows spreads
+    the elements evenly, so that parsing a large archive is shared by many tasks.
     """
+    tag = ELEMENT_TAG[kind]
+    columns = ["path", "pos", "element"]
 
     def unpack(batches):
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 with zipfile.ZipFile(io.BytesIO(content)) as folder:
                     for name in folder.namelist():
-                        kind = name.rsplit(".", 1)[-1]
-                        if kind not in ELEMENT_TAG:
+                        if not name.endswith(f".{kind}"):
                             continue
                         with folder.open(name) as member:
                             rows = []
-                            for pos, element in enumerate(_elements(member, ELEMENT_TAG[kind])):
-                                rows.append((path, kind, pos, element))
+                            for pos, element in enumerate(_elements(member, tag)):
+                                rows.append((path, pos, element))
                                 if len(rows) == ROWS_PER_BATCH:
-                                    yield pd.DataFrame(rows, columns=["path", "kind", "pos", "element"])
+                                    yield pd.DataFrame(rows, columns=columns)
                                     rows = []
-                            yield pd.DataFrame(rows, columns=["path", "kind", "pos", "element"])
+                            yield pd.DataFrame(rows, columns=columns)
 
-    elements = archives.mapInPandas(unpack, ELEMENT_SCHEMA)
-    return elements.repartition(spread) if spread else elements.repartition()
+    return archives.mapInPandas(unpack, ELEMENT_SCHEMA).repartition("path", "pos")
