@@ -18,6 +18,7 @@ Nothing is cut off: every pair with an overlap of at least ``t`` is found with i
 """
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,11 +27,25 @@ from macroloom.functions.numbers import fingerprint_value
 from macroloom.functions.text import unit_from_description
 from macroloom.operators.observations import named
 from macroloom.operators.releases import keep_first_k
+from macroloom.work import stored
 
 MIN_SCORE = 0.90
 MIN_MARGIN = 0.3
 
 
+class CodeSets(NamedTuple):
+    """One side of a comparison.
+
+    ``rows``: the distinct (code, f0.., v) rows. ``heads``: the rows of one code per distinct
+    set, with the size ``n`` of the set and the number of ``members`` that share it. ``codes``:
+    (code, n, stands_for, members) of every code.
+    """
+
+    rows: DataFrame
+    heads: DataFrame
+    codes: DataFrame
+
+
 def fingerprint(df: DataFrame, code: str, features, value: str) -> DataFrame:
     """Distinct (code, f0.., v) rows: the relational form of one value set per code."""
     shown = [named(f).alias(f"f{i}") for i, f in enumerate(features)]
@@ -43,11 +58,12 @@ def fingerprint_sizes(rows: DataFrame) -> DataFrame:
 
 
 def _features(rows):
-    return [c for c in rows.columns if c not in ("code", "n", "members", "t", "m", "held", "bucket")]
+    return [c for c in rows.columns if c == "v" or c[:1] == "f"]
 
 
-def code_sets(rows: DataFrame) -> DataFrame:
-    """(code, n, stands_for, members): each code, its size, and the code that stands for its set."""
+def code_sets(df: DataFrame, code: str, features, value: str) -> CodeSets:
+    """The value sets of one side, written once because every later step reads them."""
+    rows = stored(fingerprint(df, code, features, value), "fingerprint")
     cols = _features(rows)
     # Rows are distinct per code, so xor identifies a set; two hashes make it 128 bits.
     marks = rows.groupBy("code").agg(
@@ -56,12 +72,9 @@ def code_sets(rows: DataFrame) -> DataFrame:
         F.bit_xor(F.xxhash64(F.lit(1), *cols)).alias("h2"),
     )
     groups = marks.groupBy("n", "h1", "h2").agg(F.min("code").alias("stands_for"), F.count("*").alias("members"))
-    return marks.join(groups, ["n", "h1", "h2"]).select("code", "n", "stands_for", "members")
-
-
-def _distinct_sets(rows, sets):
-    heads = sets.filter(F.col("code") == F.col("stands_for")).select("code", "n", "members")
-    return rows.join(heads, "code")
+    codes = stored(marks.join(groups, ["n", "h1", "h2"]).select("code", "n", "stands_for", "members"), "codes")
+    leading = codes.filter(F.col("code") == F.col("stands_for")).select("code", "n", "members")
+    return CodeSets(rows, rows.join(leading, "code"), codes)
 
 
 def overlapping_sets(left_rows, right_rows, min_share: float) -> DataFrame:
@@ -72,10 +85,12 @@ def overlapping_sets(left_rows, right_rows, min_share: float) -> DataFrame:
     feats = _features(left_rows)
     held = right_rows.groupBy(*feats).agg(F.count("*").alias("held"))
     needed = F.greatest(F.ceil(F.col("n") * min_share - 1e-9), F.lit(1)).cast("bigint")
-    probe_rows = (
+    probe_rows = stored(
         left_rows.join(held, feats)
         .withColumn("t", needed)
         .withColumn("bucket", F.floor(F.log2(F.col("held"))).cast("int"))
+        .drop("held", "members"),
+        "probes",
     )
     # Per left code: how many of its rows are held at all, and the bucket up to which they are probed.
     by_bucket = probe_rows.groupBy("code", "n", "t", "bucket").agg(F.count("*").alias("k"))
@@ -119,7 +134,7 @@ def overlapping_sets(left_rows, right_rows, min_share: float) -> DataFrame:
     )
 
 
-def score_codes(left, right, code_left, code_right, features, value, min_score=MIN_SCORE, min_margin=MIN_MARGIN):
+def score_codes(left: CodeSets, right: CodeSets, min_score=MIN_SCORE, min_margin=MIN_MARGIN) -> DataFrame:
     """Every left code with its outcome.
 
     Columns: ``code_left``, ``n`` (rows of the code), ``code_right``, ``overlap``, ``ratio`` (the
@@ -128,12 +143,8 @@ def score_codes(left, right, code_left, code_right, features, value, min_score=M
     """
     if min_margin < 0 or min_score <= 0:
         raise ValueError("min_score has to be positive and min_margin not negative")
-    left_rows = fingerprint(left, code_left, features, value)
-    right_rows = fingerprint(right, code_right, features, value)
-    left_sets, right_sets = code_sets(left_rows), code_sets(right_rows)
-    pairs = overlapping_sets(
-        _distinct_sets(left_rows, left_sets), _distinct_sets(right_rows, right_sets), min_score - min_margin
-    ).withColumn("ratio", F.col("overlap") / F.col("n"))
+    pairs = overlapping_sets(left.heads, right.heads, min_score - min_margin)
+    pairs = pairs.withColumn("ratio", F.col("overlap") / F.col("n"))
     order = [F.col("ratio").desc(), F.col("overlap").desc(), F.col("right").desc()]
     top = keep_first_k(pairs, ["left"], order, 2)
     best, second = F.col("rank") == 1, F.col("rank") == 2
@@ -150,10 +161,10 @@ def score_codes(left, right, code_left, code_right, features, value, min_score=M
         (F.col("ratio") >= min_score)
         & (F.col("ratio") - F.coalesce(F.col("runner_up"), F.lit(0.0)) > min_margin)
     ).select(F.col("left").alias("stands_for"), F.col("right").alias("code_right"), "overlap", "ratio")
-    feats = _features(left_rows)
-    touching = left_rows.join(right_rows.select(*feats).distinct(), feats, "left_semi")
+    feats = _features(left.rows)
+    touching = left.rows.join(right.rows.select(*feats).distinct(), feats, "left_semi")
     touched = touching.select("code").distinct().withColumn("touched", F.lit(True))
-    scored = left_sets.join(accepted, "stands_for", "left").join(touched, "code", "left")
+    scored = left.codes.join(accepted, "stands_for", "left").join(touched, "code", "left")
     outcome = (
         F.when(F.col("code_right").isNotNull(), "mapped")
         .when(F.col("touched"), "ambiguous")
@@ -162,27 +173,23 @@ def score_codes(left, right, code_left, code_right, features, value, min_score=M
     return scored.select(F.col("code").alias("code_left"), "n", "code_right", "overlap", "ratio", outcome.alias("outcome"))
 
 
-def candidates_for(codes, left, right, code_left, code_right, features, value, k=3, min_share=0.0):
+def candidates_for(codes: DataFrame, left: CodeSets, right: CodeSets, k=3, min_share=0.0) -> DataFrame:
     """The ``k`` best right codes of each left code in ``codes`` (column ``code_left``).
 
-    A report for people who resolve ambiguous codes; it looks at the rows of those codes only.
+    A report for people who resolve ambiguous codes; it looks at the sets of those codes only.
     """
-    left_rows = fingerprint(left, code_left, features, value)
-    left_rows = left_rows.join(codes.select(F.col("code_left").alias("code")).distinct(), "code", "left_semi")
-    right_rows = fingerprint(right, code_right, features, value)
-    left_sets, right_sets = code_sets(left_rows), code_sets(right_rows)
-    pairs = overlapping_sets(
-        _distinct_sets(left_rows, left_sets), _distinct_sets(right_rows, right_sets), min_share
-    )
-    left_members = left_sets.select(F.col("code").alias("code_left"), F.col("stands_for").alias("left"))
+    wanted = left.codes.join(codes.select(F.col("code_left").alias("code")).distinct(), "code", "left_semi")
+    wanted_sets = wanted.select(F.col("stands_for").alias("code")).distinct()
+    pairs = overlapping_sets(left.heads.join(wanted_sets, "code", "left_semi"), right.heads, min_share)
     # Copies tie, and ties go to the greater code, so k copies of a set are all that can be listed.
     copies = keep_first_k(
-        right_sets.select(F.col("code").alias("code_right"), F.col("stands_for").alias("right")),
+        right.codes.select(F.col("code").alias("code_right"), F.col("stands_for").alias("right")),
         ["right"], [F.col("code_right").desc()], k,
     ).drop("rank")
     order = [F.col("overlap").desc(), F.col("code_right").desc()]
     top = keep_first_k(pairs.join(copies, "right"), ["left"], order, k)
-    return top.join(left_members, "left").select(
+    members = wanted.select(F.col("code").alias("code_left"), F.col("stands_for").alias("left"))
+    return top.join(members, "left").select(
         "code_left", "rank", "code_right", "overlap", (F.col("overlap") / F.col("n")).alias("ratio")
     )
 

@@ -152,7 +152,7 @@ def merge_public_metadata(facts, metadata, keys=tuple(KEYS)) -> DataFrame:
 
 
 def newest_per_key(df: DataFrame, keys, order) -> DataFrame:
-    """One row per key: the greatest ``order`` column, by aggregation rather than a window."""
+    """One row per key: the one greatest in ``order``, by aggregation rather than a window."""
     rest = [c for c in df.columns if c not in keys]
-    best = F.max_by(F.struct(*[named(c) for c in rest]), named(order)).alias("__best")
+    best = F.max_by(F.struct(*[named(c) for c in rest]), F.struct(*[named(o) for o in order])).alias("__best")
     return df.groupBy(*[named(k) for k in keys]).agg(best).select(*[named(k) for k in keys], "__best.*")

@@ -38,7 +38,7 @@ from macroloom.sources.archives import scan_archives
 from macroloom.sources.csvs import scan_observations, scan_probes, scan_sidecar
 from macroloom.sources.json_docs import scan_catalogue, scan_codelists
 from macroloom.sources.snapshots import keyed, read_snapshot, write_snapshot
-from macroloom.sources.work import landed
+from macroloom.work import landed
 
 log = logging.getLogger(__name__)
 

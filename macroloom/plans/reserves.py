@@ -16,7 +16,7 @@ from macroloom.functions.labels import check_month_served, rate_label
 from macroloom.plans import reserves_feeds as feeds
 from macroloom.sources.pages import announced_date
 from macroloom.sources.text_lines import scan_lines
-from macroloom.sources.work import landed
+from macroloom.work import landed
 
 
 def _newest(spark, folder, pattern) -> str:

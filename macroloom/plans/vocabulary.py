@@ -10,6 +10,7 @@ from macroloom.operators.codemap import (
     MIN_SCORE,
     attribute_targets,
     candidates_for,
+    code_sets,
     missing_codes,
     resolve_attributes,
     score_codes,
@@ -18,20 +19,13 @@ from macroloom.operators.lookup import lookup, require_one_to_one, strict_invers
 from macroloom.operators.observations import named
 from macroloom.operators.profile import first_label
 from macroloom.schema import UNIT_MAP_SCHEMA
-from macroloom.sources.work import new_folder
+from macroloom.work import stored
 from macroloom.vocabulary_values import BULK_ONLY_AREAS, UNIT_DECISIONS
 
 FEATURES = ["CONCEPT_CODE", "TIME_PERIOD"]
 SHOWN = 20
 
 
-def _stored(df: DataFrame, purpose: str) -> DataFrame:
-    """The frame as a table of its own, so that steps that follow do not derive it again."""
-    folder = new_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
-    return df.sparkSession.read.parquet(folder)
-
-
 def _none_of(df: DataFrame, message: str) -> None:
     found = df.limit(SHOWN).collect()
     if found:
@@ -49,11 +43,12 @@ def area_map_by_value(bulk, api, min_score=MIN_SCORE, min_margin=MIN_MARGIN) ->
     ValueError, with the closest candidates, when any area is ambiguous: the closest one is never
     taken as a guess. Areas that share no value with any code are left out.
     """
-    args = ("REF_AREA_CODE", "REF_AREA_CODE", FEATURES, "OBS_VALUE")
-    scores = _stored(score_codes(bulk, api, *args, min_score, min_margin), "area-scores")
+    left = code_sets(bulk, "REF_AREA_CODE", FEATURES, "OBS_VALUE")
+    right = code_sets(api, "REF_AREA_CODE", FEATURES, "OBS_VALUE")
+    scores = stored(score_codes(left, right, min_score, min_margin), "area-scores")
     ambiguous = scores.filter("outcome = 'ambiguous'").select("code_left")
     if not ambiguous.isEmpty():
-        _none_of(candidates_for(ambiguous, bulk, api, *args).orderBy("code_left", "rank"), "Ambiguous area matches")
+        _none_of(candidates_for(ambiguous, left, right).orderBy("code_left", "rank"), "Ambiguous area matches")
     area_map = scores.filter("outcome = 'mapped'").select(
         F.col("code_left").cast("int").alias("legacy"), F.col("code_right").alias("code")
     )

@@ -1,3 +1,3 @@
-from macroloom.sources import archives, csvs, json_docs, pages, snapshots, text_lines, work, xml_docs
+from macroloom.sources import archives, csvs, json_docs, pages, snapshots, text_lines, xml_docs
 
-__all__ = ["archives", "csvs", "json_docs", "pages", "snapshots", "text_lines", "work", "xml_docs"]
+__all__ = ["archives", "csvs", "json_docs", "pages", "snapshots", "text_lines", "xml_docs"]

@@ -40,9 +40,16 @@ def series_to_rows(df: DataFrame, keep=(), obs_attributes=tuple(BULK_OBS_ATTRIBU
 
 
 def scan_series(spark: SparkSession, path, **attributes) -> DataFrame:
-    """Observations of unpacked XML files. Large files are split between tasks at series."""
-    raw = spark.read.format("xml").options(**XML_OPTIONS).schema(series_type(**attributes)).load(path)
-    return series_to_rows(raw)
+    """Observations of unpacked XML files.
+
+    Spark's XML source reads a file in one task, so the file is read as text that is cut at the
+    end tags of series, which splits it like any other text. A series without observations is
+    self-closing and ends up in front of the next one, where it is skipped.
+    """
+    text = F.col("value")
+    element = F.concat(F.lit("<Series"), F.substring_index(text, "<Series", -1), F.lit("</Series>"))
+    pieces = spark.read.text(path, lineSep="</Series>").filter(text.contains("<Series"))
+    return series_to_rows(pieces.select(parse_series(element, **attributes).alias("s")).select("s.*"))
 
 
 def enumerations(raw: DataFrame, keep=()) -> DataFrame:

@@ -30,6 +30,17 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{work_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame as a Parquet table of its own under the work root.
+
+    For a frame that several later steps read: it is computed once, its lineage ends, a lost
+    executor costs nothing that was written, and its true size is known to the planner.
+    """
+    folder = new_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 def landed(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """(path, length, modified) of landed files. File contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)

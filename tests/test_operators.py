@@ -322,9 +322,10 @@ def test_code_map_equals_brute_force(spark):
         left, right = random_case(rng)
         a, b = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
         want, overlaps = brute_force(left, right, min_score, min_margin)
-        got = {r[0]: tuple(r)[1:] for r in codemap.score_codes(a, b, "code", "code", ["f"], "v", min_score, min_margin).collect()}
+        a, b = codemap.code_sets(a, "code", ["f"], "v"), codemap.code_sets(b, "code", ["f"], "v")
+        got = {r[0]: tuple(r)[1:] for r in codemap.score_codes(a, b, min_score, min_margin).collect()}
         assert got == want
-        report = codemap.candidates_for(spark.createDataFrame([(c,) for c in want], "code_left string"), a, b, "code", "code", ["f"], "v")
+        report = codemap.candidates_for(spark.createDataFrame([(c,) for c in want], "code_left string"), a, b)
         top = {}
         for r in report.orderBy("code_left", "rank").collect():
             top.setdefault(r["code_left"], []).append((r["overlap"], r["code_right"]))
@@ -335,7 +336,8 @@ def test_code_map_recovers_a_permutation_despite_a_shared_value(spark):
     left = [(f"L{i}", f"f{j}", float(i * 100 + j)) for i in range(40) for j in range(10)] + [(f"L{i}", "z", 0.0) for i in range(40)]
     right = [("G" + c[1:].zfill(3), f, v) for c, f, v in left]
     schema = "code string, f string, v double"
-    got = codemap.score_codes(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), "code", "code", ["f"], "v")
+    sides = [codemap.code_sets(spark.createDataFrame(data, schema), "code", ["f"], "v") for data in (left, right)]
+    got = codemap.score_codes(*sides)
     assert {(r["code_left"], r["code_right"]) for r in got.collect()} == {(f"L{i}", f"G{i:03d}") for i in range(40)}
 
 

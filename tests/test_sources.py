@@ -7,7 +7,8 @@ from conftest import rows, write
 from pyspark.sql import functions as F
 
 from macroloom.errors import BulkPayloadCorruptError, UnexpectedFileError
-from macroloom.sources import archives, csvs, json_docs, pages, snapshots, text_lines, work, xml_docs
+from macroloom import work
+from macroloom.sources import archives, csvs, json_docs, pages, snapshots, text_lines, xml_docs
 
 XML = """<?xml version="1.0" encoding="utf-8"?>
 <StructureSpecificData><Header/><DataSet>
