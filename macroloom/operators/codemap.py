@@ -108,14 +108,16 @@ def overlapping_sets(left_rows, right_rows, min_share: float) -> DataFrame:
     right_side = right_rows.select(
         F.col("code").alias("right"), F.col("n").alias("right_n"), F.col("members").alias("members"), *feats
     )
-    shared = (
+    # Written because it is small, costly and read twice below.
+    shared = stored(
         placed.filter(F.col("bucket") <= F.col("cut"))
         .select(*left_side)
         .join(right_side, feats)
         .filter(F.col("right_n") >= F.col("t"))
         .groupBy("left", "right", "n", "t", "rest", "members")
         .agg(F.count("*").alias("shared"))
-        .filter(F.col("shared") + F.col("rest") >= F.col("t"))
+        .filter(F.col("shared") + F.col("rest") >= F.col("t")),
+        "pairs",
     )
     unprobed = placed.filter(F.col("bucket") > F.col("cut")).select(F.col("code").alias("left"), *feats)
     more = (

@@ -109,23 +109,26 @@ def repair_if_degraded(facts: DataFrame, sidecar: DataFrame) -> DataFrame:
 def repair_degraded_releases(facts, sidecar, scope) -> DataFrame:
     """Backfill over many releases: a release with no metadata on any row is joined again.
 
-    Whether a release is degraded is one small aggregate per release; the rest is a lookup that
-    fills rows of degraded releases only, so healthy releases keep every value they had.
+    Which releases are degraded is one partially aggregated flag per release. It narrows the
+    sidecar, not the facts, to those releases, so healthy releases meet no metadata row and keep
+    what they have, and the facts are joined once, on the full series key.
     """
     any_value = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in METADATA_FIELDS])
     degraded = (
-        facts.groupBy(*[named(c) for c in scope])
+        facts.groupBy(*[named(c).alias(f"__d_{c}") for c in scope])
         .agg(F.max(any_value).alias("__healthy"))
         .filter(~F.col("__healthy"))
-        .withColumn("__degraded", F.lit(True))
     )
+    same = reduce(lambda a, b: a & b, [named(c).eqNullSafe(F.col(f"__d_{c}")) for c in scope])
     fresh = derive_metadata_fields(
-        sidecar.select(*[named(c) for c in [*scope, *SIDECAR_KEYS, *SIDECAR_VALUES]]).withColumnsRenamed(RENAMED_KEYS)
+        sidecar.select(*[named(c) for c in [*scope, *SIDECAR_KEYS, *SIDECAR_VALUES]])
+        .withColumnsRenamed(RENAMED_KEYS)
+        .join(degraded, same, "left_semi")
     ).withColumnsRenamed({c: f"__new_{c}" for c in METADATA_FIELDS})
-    flagged = lookup(facts, degraded, {c: c for c in scope}, {"__degraded": "__degraded"}, null_safe=True)
-    joined = left_join_once(flagged, fresh, KEYS, [f"__new_{c}" for c in METADATA_FIELDS], scope)
-    repaired = {c: F.when(F.col("__degraded"), F.col(f"__new_{c}")).otherwise(F.col(c)) for c in METADATA_FIELDS}
-    return joined.withColumns(repaired).select(*[named(c) for c in facts.columns])
+    joined = left_join_once(facts, fresh, KEYS, [f"__new_{c}" for c in METADATA_FIELDS], scope)
+    # A degraded release is null throughout, so whatever it meets is what it gets.
+    filled = {c: F.coalesce(F.col(c), F.col(f"__new_{c}")) for c in METADATA_FIELDS}
+    return joined.withColumns(filled).select(*[named(c) for c in facts.columns])
 
 
 def public_metadata(sidecar: DataFrame) -> DataFrame:

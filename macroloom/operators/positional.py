@@ -24,19 +24,20 @@ def ordinal(df: DataFrame, group, order, out: str, chunk: Column | None = None)
     if chunk is None:
         chunk = F.floor(named(order[0]) / CHUNK_WIDTH)
     group_key = F.struct(*[named(g) for g in group]) if group else F.struct(F.lit(0).alias("all"))
-    tagged = df.withColumns({"__group": group_key, "__chunk": chunk})
-    before = Window.partitionBy("__group").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    # One struct of group and chunk: a struct equals itself even where a part of it is null.
+    tagged = df.withColumn("__at", F.struct(group_key.alias("group"), chunk.alias("chunk")))
+    before = Window.partitionBy("__at.group").orderBy("__at.chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        tagged.groupBy("__group", "__chunk")
+        tagged.groupBy("__at")
         .agg(F.count("*").alias("__n"))
-        .select("__group", "__chunk", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+        .select("__at", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
     )
-    inside = Window.partitionBy("__group", "__chunk").orderBy(*[named(o) for o in order])
-    numbered = tagged.withColumn("__inside", F.row_number().over(inside) - 1)
+    inside = Window.partitionBy("__at").orderBy(*[named(o) for o in order])
     return (
-        numbered.join(starts, ["__group", "__chunk"])
+        tagged.withColumn("__inside", F.row_number().over(inside) - 1)
+        .join(starts, "__at")
         .withColumn(out, (F.col("__start") + F.col("__inside")).cast("bigint"))
-        .drop("__group", "__chunk", "__start", "__inside")
+        .drop("__at", "__start", "__inside")
     )
 
 
@@ -82,9 +83,15 @@ def header_positions(headers: DataFrame, header: str, wanted: dict) -> DataFrame
     return headers.withColumns(index).drop(header)
 
 
-def require_columns(positions: DataFrame, wanted: dict) -> None:
-    """KeyError for the first wanted column that some header row lacks."""
-    smallest = positions.agg(*[F.min(named(out)).alias(out) for out in wanted.values()]).first()
+def require_columns(positions: DataFrame, wanted: dict) -> dict | None:
+    """KeyError for the first wanted column that some header row lacks.
+
+    Returns the index of each wanted column if it is the same in all header rows, else None.
+    """
+    ends = [f(named(out)).alias(f"{name}_{out}") for out in wanted.values() for name, f in (("min", F.min), ("max", F.max))]
+    found = positions.agg(*ends).first()
     for name, out in wanted.items():
-        if smallest[out] is not None and smallest[out] < 0:
+        if found[f"min_{out}"] is not None and found[f"min_{out}"] < 0:
             raise KeyError(f"Missing required column: {name}")
+    same = all(found[f"min_{out}"] == found[f"max_{out}"] for out in wanted.values())
+    return {out: found[f"min_{out}"] for out in wanted.values()} if same else None

@@ -15,8 +15,8 @@ def convert_values(df: DataFrame) -> DataFrame:
     A value that is no number becomes null on a row that is scaled and is an error on one that
     is not.
     """
-    exponent = real(F.col("SCALE_CODE"))
-    value = real(F.col("OBS_VALUE"))
+    df = df.withColumns({"__exponent": real(F.col("SCALE_CODE")), "__value": real(F.col("OBS_VALUE"))})
+    exponent, value = F.col("__exponent"), F.col("__value")
     unreadable = F.col("OBS_VALUE").isNotNull() & value.isNull()
     strict = F.when(
         unreadable, F.raise_error(F.concat(F.lit("Not a number: "), F.col("OBS_VALUE"))).cast("double")
@@ -28,7 +28,7 @@ def convert_values(df: DataFrame) -> DataFrame:
             "SCALE_CODE": scale_multiplier(exponent),
             "TIME_PERIOD": whole(real(F.col("TIME_PERIOD")), "int"),
         }
-    )
+    ).drop("__exponent", "__value")
 
 
 def align_observations(df: DataFrame, codelists: DataFrame, area_map: DataFrame, keep=()) -> DataFrame:

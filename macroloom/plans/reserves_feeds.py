@@ -34,14 +34,19 @@ DATE_PATTERNS = ["M/d/yyyy", "yyyy-M-d", "MMMM d, yyyy", "MMM d, yyyy", "d-MMM-y
 
 
 def with_header_columns(lines: DataFrame, wanted: dict, check: bool) -> DataFrame:
-    """Rows below the header line as ``parts``, with the index of each wanted column."""
+    """Rows below the header line as ``parts``, with the index of each wanted column.
+
+    The check reads the header lines beforehand. Where all files have their columns in the same
+    places, which is the rule, the places are constants and no join is needed.
+    """
     split = lines.select("file", "line_no", fields(F.col("value")).alias("parts"))
     headers = split.filter("line_no = 1").select("file", F.col("parts").alias("header"))
     positions = header_positions(headers, "header", wanted)
-    if check:
-        require_columns(positions, wanted)
-    at = {out: out for out in wanted.values()}
-    return lookup(split.filter("line_no > 1"), positions, {"file": "file"}, at)
+    constant = require_columns(positions, wanted) if check else None
+    rows = split.filter("line_no > 1")
+    if constant:
+        return rows.withColumns({out: F.lit(at).cast("int") for out, at in constant.items()})
+    return lookup(rows, positions, {"file": "file"}, {out: out for out in wanted.values()})
 
 
 def exchange_rates(lines: DataFrame, unit_basis="SDR", check=True, date_patterns=DATE_PATTERNS) -> DataFrame:

@@ -11,6 +11,7 @@ from macroloom.plans.bulk import parse_archives
 from macroloom.schema import BULK_CODELISTS
 from macroloom.sources import archives, json_docs, pages, xml_docs
 from macroloom.showcase.registry import query
+from macroloom.work import spread
 
 
 @query("""
@@ -31,7 +32,7 @@ def q_codelist_json(spark, table):
         F.lit('"}]}]}'),
     )
     parsed = F.from_json(message, json_docs.CODELIST_MESSAGE)
-    codes = table("events").select("event_id", json_docs.codes_of(parsed).alias("codes"))
+    codes = spread(table("events").select("event_id", "event_type", "props")).select("event_id", json_docs.codes_of(parsed).alias("codes"))
     return json_docs.explode_codes(codes, ["event_id"], F.col("codes"))
 
 
@@ -48,7 +49,8 @@ def series_text(key, price, quantity, flag):
 """)
 def q_xml_roundtrip(spark, table):
     xml = series_text(F.concat(F.lit("L"), "l_partkey"), F.col("l_extendedprice"), F.col("l_quantity"), F.col("l_returnflag"))
-    parsed = table("lineitem").select("l_orderkey", "l_linenumber", xml_docs.parse_series(xml).alias("s"))
+    lines = spread(table("lineitem").select("l_orderkey", "l_linenumber", xml.alias("xml")))
+    parsed = lines.select("l_orderkey", "l_linenumber", xml_docs.parse_series(F.col("xml")).alias("s"))
     rows = xml_docs.series_to_rows(parsed.select("l_orderkey", "l_linenumber", "s.*"), keep=["l_orderkey", "l_linenumber"])
     return rows.select(
         "l_orderkey", "l_linenumber", F.col("UNIT").alias("unit"), F.col("CONCEPT").alias("concept"),
@@ -96,7 +98,7 @@ def q_announced_date(spark, table):
     shown = F.when(status == "F", F.date_format("o_orderdate", "MMMM d, yyyy")).otherwise(F.col("o_orderpriority"))
     fifth = F.concat(F.lit("<table class='x'><tr><th>h</th></tr>\n<tr><td><b> "), shown, F.lit("</b> </td><td>2</td></tr></table>"))
     html = F.concat(F.lit("<html>" + "<table><tr></tr></table>" * 4), F.when(status != "O", fifth).otherwise(F.lit("")), F.lit("</html>"))
-    found = pages.announced_date(table("orders").select("o_orderkey", html.alias("html")))
+    found = pages.announced_date(spread(table("orders")).select("o_orderkey", html.alias("html")))
     return found.select("o_orderkey", "announced", "problem")
 
 
@@ -138,7 +140,7 @@ def zip_customers(table):
     path = F.concat(F.lit("/"), year, F.lit("/"), "c_custkey", F.lit("/weoapr"), year, F.lit("-sdmxdata.zip"))
     xml = series_text(F.concat(F.lit("C"), "c_custkey"), F.format_number("c_acctbal", 2), F.lit("--"), F.col("c_mktsegment"))
     source = table("customer").select(path.alias("path"), F.col("c_mktsegment").alias("segment"), xml.alias("xml"))
-    return source.mapInPandas(pack, "path string, segment string, content binary")
+    return spread(source).mapInPandas(pack, "path string, segment string, content binary")
 
 
 @query("""

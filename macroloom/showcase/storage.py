@@ -3,6 +3,7 @@
 Everything is written below the folder named by ``spark.checkpoint.dir``.
 """
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from macroloom.operators.metadata import newest_per_key
@@ -62,8 +63,8 @@ def q_lines_scan(spark, table):
     )
     # Files of a status follow each other in key order; their sizes turn positions in a file into positions overall.
     per_file = lines.groupBy("status", "file").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first_key"))
-    later = per_file.alias("a").join(per_file.alias("b"), F.expr("a.status = b.status and b.first_key < a.first_key"), "left")
-    before = later.groupBy(F.col("a.file").alias("file")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
+    earlier = Window.partitionBy("status").orderBy("first_key").rowsBetween(Window.unboundedPreceding, -1)
+    before = per_file.select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     return lines.join(before, "file").select("status", "o_orderkey", (F.col("line_no") + F.col("before")).alias("line_no"))
 
 

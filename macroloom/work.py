@@ -41,6 +41,16 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.parquet(folder)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the input has fewer splits than the cluster has cores.
+
+    For parsing that costs far more than a shuffle of its input. Inputs of many splits, which is
+    what large inputs are, stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def landed(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """(path, length, modified) of landed files. File contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
