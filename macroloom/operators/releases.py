@@ -1,12 +1,12 @@
 """Which release is served by which flow, which is newest, and what to roll back to."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from macroloom.functions.dates import release_month, release_ordinal, version_key, vintage_month, vintage_year
 from macroloom.functions.labels import archive_paths
 from macroloom.operators.observations import named
-from macroloom.schema import MAX_ROLL_BACK
+from macroloom.schema import BULK_RELEASES, CORRUPT_RELEASES, MAX_ROLL_BACK
 
 
 def candidate_flows(catalogue: DataFrame) -> DataFrame:
@@ -47,6 +47,12 @@ def preferred_flow(labelled: DataFrame, key=("month", "year")) -> DataFrame:
     return usable.groupBy(*key).agg(chosen).select(*key, "__flow.flow_id", "__flow.version")
 
 
+def known_bulk(spark: SparkSession) -> DataFrame:
+    """(month, year, corrupt) of every bulk release ever published."""
+    rows = [(*release, release in CORRUPT_RELEASES) for release in BULK_RELEASES]
+    return spark.createDataFrame(rows, "month string, year int, corrupt boolean")
+
+
 def newest_first(releases: DataFrame) -> DataFrame:
     return releases.orderBy(F.col("year").desc(), (F.col("month") == "October").desc())
 

@@ -34,11 +34,12 @@ from macroloom.plans.align import align_observations
 from macroloom.plans.bulk import parse_archives
 from macroloom.plans.translate import translate_release
 from macroloom.schema import AREA_MAP_SCHEMA, BULK_RELEASES, CODELIST_SCHEMA, CORRUPT_RELEASES, MAX_ROLL_BACK
-from macroloom.sources.archives import scan_archives
+from macroloom.plans.vocabulary import derive_vocabulary, write_vocabulary
+from macroloom.sources.archives import release_of_path, scan_archives
 from macroloom.sources.csvs import scan_observations, scan_probes, scan_sidecar
 from macroloom.sources.json_docs import scan_catalogue, scan_codelists
-from macroloom.sources.snapshots import keyed, read_snapshot, write_snapshot
-from macroloom.work import landed
+from macroloom.sources.snapshots import WEEK, fresh, keyed, read_snapshot, write_snapshot
+from macroloom.work import landed, stored
 
 log = logging.getLogger(__name__)
 
@@ -176,6 +177,29 @@ class Outlook:
             raise NoDataError(f"No SDMX data found for {release[0]} {release[1]} under {base}")
         return base + row["path"]
 
+    def bulk_releases(self) -> DataFrame:
+        """Every landed bulk release not known to be corrupt, untranslated, with its release columns."""
+        archives = scan_archives(self.spark, f"{self.root}/bulk")
+        corrupt = self.spark.createDataFrame(CORRUPT_RELEASES, "month string, year int")
+        month, year = release_of_path(F.col("path"))
+        labelled = archives.withColumns({"month": month, "year": year}).join(corrupt, ["month", "year"], "left_anti")
+        parsed = parse_archives(labelled.select("path", "content"), with_path=True)
+        return parsed.withColumns({"release_month": month, "release_year": year}).drop("path")
+
+    def build_vocabulary(self, anchor=("April", 2025), **options) -> dict:
+        """Derive the vocabulary from the landed releases, store it in the landing root and use it.
+
+        ``anchor`` is the release that both a flow and a bulk archive carry.
+        """
+        _, ref = self.resolve(anchor)
+        releases, api = stored(self.bulk_releases(), "bulk"), stored(self.observations(ref), "anchor")
+        tables = derive_vocabulary(releases, api, anchor, **options)
+        write_vocabulary(tables, f"{self.root}/vocabulary")
+        self._area_map = None
+        for name in ("area_map", "unit_map", "legacy_labels"):
+            self.__dict__.pop(name, None)
+        return {name: self._vocabulary(name) for name in tables}
+
     def bulk_release(self, release) -> DataFrame:
         archives = scan_archives(self.spark, self.archive_path(release))
         return translate_release(
@@ -243,12 +267,32 @@ class Outlook:
         write_snapshot(frame, store, sort_by=["CONCEPT_CODE", "REF_AREA_CODE", "TIME_PERIOD"])
         return served.release
 
+    def fetch_stored(self, store: str, release, ttl_seconds: int = WEEK) -> DataFrame:
+        """A release from the snapshot store, which is written first if it has no fresh snapshot.
+
+        The snapshot is looked up under the flow version that serves the release now, so a release
+        that moved to another flow is never served from its old snapshot.
+        """
+        release = requested_release(release)
+        try:
+            ref = self.resolve(release)[1]
+        except (VersionNotAvailableError, DataflowDiscoveryError):
+            ref = None
+        found = self._optional(_snapshot, store, release, ref)
+        if found is None or fresh(found, ttl_seconds).isEmpty():
+            self.ingest(store, release)
+        return read_release(self.spark, store, release, ref)
+
 
 def read_release(spark: SparkSession, store: str, release, ref: FlowRef | None = None) -> DataFrame:
     """A stored release as a pruned scan; filters on area and concept reach the files."""
-    month, year = requested_release(release)
+    return contract(_snapshot(spark, store, requested_release(release), ref))
+
+
+def _snapshot(spark, store, release, ref):
+    month, year = release
     keys = {"release_year": year, "release_month": month}
     keys |= {"sublayer": "weo_sdmx_parsed"} if ref is None else {
         "sublayer": "weo_api", "flow_id": ref.flow_id, "flow_version": ref.version
     }
-    return contract(read_snapshot(spark, store, **keys))
+    return read_snapshot(spark, store, **keys)

@@ -59,6 +59,14 @@ def audit_archives(archives: DataFrame) -> DataFrame:
     return archives.mapInPandas(check, REPORT_SCHEMA)
 
 
+def release_of_path(path):
+    """(month, year) columns of the release an archive is named after, null where it is not."""
+    name = r"weo(apr|oct)([0-9]{4})-"
+    code = F.regexp_extract(path, name, 1)
+    month = F.when(code == "apr", "April").when(code == "oct", "October")
+    return month, F.nullif(F.regexp_extract(path, name, 2), F.lit("")).try_cast("int")
+
+
 def with_verdict(report: DataFrame, known_corrupt=None) -> DataFrame:
     """Add ``verdict`` and ``is_retryable``; the published copy of some releases is itself corrupt."""
     if known_corrupt is None:
@@ -69,14 +77,8 @@ def with_verdict(report: DataFrame, known_corrupt=None) -> DataFrame:
         .when((F.col("n_xml") != 1) | (F.col("n_xsd") != 1), "unexpected members")
         .otherwise("ok")
     )
-    month = F.regexp_extract("path", r"weo(apr|oct)[0-9]{4}-", 1)
-    labelled = report.withColumns(
-        {
-            "verdict": verdict,
-            "month": F.when(month == "apr", "April").when(month == "oct", "October"),
-            "year": F.nullif(F.regexp_extract("path", r"weo(?:apr|oct)([0-9]{4})-", 1), F.lit("")).try_cast("int"),
-        }
-    )
+    month, year = release_of_path(F.col("path"))
+    labelled = report.withColumns({"verdict": verdict, "month": month, "year": year})
     corrupt = known_corrupt.select("month", "year", F.lit(True).alias("__corrupt"))
     joined = labelled.join(corrupt, ["month", "year"], "left")
     return joined.withColumn("is_retryable", F.col("__corrupt").isNull()).drop("__corrupt")

@@ -15,6 +15,7 @@ from macroloom.errors import (
     VersionNotAvailableError,
 )
 from macroloom.operators.observations import observation_slice
+from macroloom.operators.releases import known_bulk
 from macroloom.plans import align, bulk, outlook, reserves, reserves_feeds, translate, vocabulary
 from macroloom.schema import ALIGNED_COLUMNS, CONTRACT_COLUMNS, OBSERVATION_SCHEMA
 from macroloom.sources.text_lines import scan_lines
@@ -339,6 +340,51 @@ def test_snapshot_of_a_release(spark, served, tmp_path):
     assert outlook.read_release(spark, store, ("April", 2025)).count() == 3
 
 
+def test_stored_release_is_refreshed(spark, served, tmp_path):
+    store = str(tmp_path / "store")
+    assert rows(served.fetch_stored(store, ("April", 2026)), "OBS_VALUE") == [(1.5,)]
+    csv = tmp_path / "observations/WEO/9.0.0/o.csv"
+    csv.write_text(csv.read_text().replace("1.5", "1.75"))
+    spark.catalog.clearCache()
+    assert rows(served.fetch_stored(store, ("April", 2026)), "OBS_VALUE") == [(1.5,)]
+    assert rows(served.fetch_stored(store, ("April", 2026), ttl_seconds=0), "OBS_VALUE") == [(1.75,)]
+    assert served.fetch_stored(store, ("April", 2025)).count() == 3
+
+
+def test_known_bulk(spark):
+    assert rows(known_bulk(spark).filter("corrupt"), "month", "year") == [("April", 2021), ("October", 2023)]
+
+
+def test_build_vocabulary(spark, tmp_path):
+    """From landed files only: the area and unit tables come out of the releases themselves."""
+    land(tmp_path)
+    write(tmp_path / "probes/WEO/9.0.0.csv", "COUNTRY,PUBLICATION_DATE\nUSA,2025-04-22T13:00:00Z\n")
+    years = range(1990, 2010)
+    xml = "".join(
+        f'<Series UNIT="{u}" CONCEPT="{c}" REF_AREA="{a}" FREQ="A" SCALE="1">'
+        + "".join(f'<Obs TIME_PERIOD="{y}" OBS_VALUE="{a * 10 + y / 8}"/>' for y in years)
+        + "</Series>"
+        for a in (111, 124)
+        for u, c in (("E", "NGDP"), ("B", "PCPI"))
+    )
+    header = "COUNTRY,INDICATOR,UNIT,FREQUENCY,SCALE,TIME_PERIOD,OBS_VALUE"
+    lines = [
+        f"{code},{c},{u},A,0,{y},{a * 10 + y / 8}" for a, code in ((111, "USA"), (124, "BEL")) for c, u in (("NGDP", "XDC"), ("PCPI", "IX")) for y in years
+    ]
+    write(tmp_path / "observations/WEO/9.0.0/o.csv", "\n".join([header, *lines]))
+    archive = zipped(("d.xml", f"<D><Header/><DataSet>{xml}</DataSet></D>"), ("d.xsd", XSD))
+    (tmp_path / "bulk/2025/april/weoapr2025-sdmxdata.zip").write_bytes(archive)
+    corrupt = tmp_path / "bulk/2021/weoapr2021-sdmxdata.zip"
+    corrupt.parent.mkdir(parents=True)
+    corrupt.write_bytes(b"known to be corrupt, so not read")
+    landing = outlook.Outlook(spark, str(tmp_path))
+    tables = landing.build_vocabulary(("April", 2025), bulk_only=(511,))
+    assert rows(tables["area_map"]) == [(111, "USA"), (124, "BEL"), (511, "G511")]
+    assert ("NGDP", "E", "XDC") in rows(tables["unit_map"]) and ("PCPI", "B", "IX") in rows(tables["unit_map"])
+    translated = landing.bulk_release(("April", 2025))
+    assert rows(translated.select("REF_AREA_CODE", "UNIT_CODE").distinct()) == [("BEL", "IX"), ("BEL", "XDC"), ("USA", "IX"), ("USA", "XDC")]
+
+
 # -- vocabulary job
 
 PARSED = LEGACY + ", release_month string, release_year int"
