@@ -77,10 +77,11 @@ def code_sets(df: DataFrame, code: str, features, value: str) -> CodeSets:
     return CodeSets(rows, rows.join(leading, "code"), codes)
 
 
-def overlapping_sets(left_rows, right_rows, min_share: float) -> DataFrame:
+def overlapping_sets(left_rows, right_rows, min_share: float) -> tuple[DataFrame, DataFrame]:
     """(left, right, n, members, overlap) for all pairs of sets with overlap >= min_share * n.
 
-    ``left_rows`` and ``right_rows`` carry ``n`` and ``members`` and hold each set once.
+    ``left_rows`` and ``right_rows`` carry ``n`` and ``members`` and hold each set once. The
+    second frame is (left) of all sets that share any row with the other side.
     """
     feats = _features(left_rows)
     held = right_rows.groupBy(*feats).agg(F.count("*").alias("held"))
@@ -128,12 +129,13 @@ def overlapping_sets(left_rows, right_rows, min_share: float) -> DataFrame:
         .groupBy("left", "right")
         .agg(F.count("*").alias("more"))
     )
-    return (
+    pairs = (
         shared.join(more, ["left", "right"], "left")
         .withColumn("overlap", F.col("shared") + F.coalesce(F.col("more"), F.lit(0)))
         .filter(F.col("overlap") >= F.col("t"))
         .select("left", "right", "n", "members", "overlap")
     )
+    return pairs, probe_rows.select(F.col("code").alias("left")).distinct()
 
 
 def score_codes(left: CodeSets, right: CodeSets, min_score=MIN_SCORE, min_margin=MIN_MARGIN) -> DataFrame:
@@ -145,7 +147,7 @@ def score_codes(left: CodeSets, right: CodeSets, min_score=MIN_SCORE, min_margin
     """
     if min_margin < 0 or min_score <= 0:
         raise ValueError("min_score has to be positive and min_margin not negative")
-    pairs = overlapping_sets(left.heads, right.heads, min_score - min_margin)
+    pairs, touching = overlapping_sets(left.heads, right.heads, min_score - min_margin)
     pairs = pairs.withColumn("ratio", F.col("overlap") / F.col("n"))
     order = [F.col("ratio").desc(), F.col("overlap").desc(), F.col("right").desc()]
     top = keep_first_k(pairs, ["left"], order, 2)
@@ -163,10 +165,8 @@ def score_codes(left: CodeSets, right: CodeSets, min_score=MIN_SCORE, min_margin
         (F.col("ratio") >= min_score)
         & (F.col("ratio") - F.coalesce(F.col("runner_up"), F.lit(0.0)) > min_margin)
     ).select(F.col("left").alias("stands_for"), F.col("right").alias("code_right"), "overlap", "ratio")
-    feats = _features(left.rows)
-    touching = left.rows.join(right.rows.select(*feats).distinct(), feats, "left_semi")
-    touched = touching.select("code").distinct().withColumn("touched", F.lit(True))
-    scored = left.codes.join(accepted, "stands_for", "left").join(touched, "code", "left")
+    touched = touching.select(F.col("left").alias("stands_for"), F.lit(True).alias("touched"))
+    scored = left.codes.join(accepted, "stands_for", "left").join(touched, "stands_for", "left")
     outcome = (
         F.when(F.col("code_right").isNotNull(), "mapped")
         .when(F.col("touched"), "ambiguous")
@@ -182,7 +182,7 @@ def candidates_for(codes: DataFrame, left: CodeSets, right: CodeSets, k=3, min_s
     """
     wanted = left.codes.join(codes.select(F.col("code_left").alias("code")).distinct(), "code", "left_semi")
     wanted_sets = wanted.select(F.col("stands_for").alias("code")).distinct()
-    pairs = overlapping_sets(left.heads.join(wanted_sets, "code", "left_semi"), right.heads, min_share)
+    pairs, _ = overlapping_sets(left.heads.join(wanted_sets, "code", "left_semi"), right.heads, min_share)
     # Copies tie, and ties go to the greater code, so k copies of a set are all that can be listed.
     copies = keep_first_k(
         right.codes.select(F.col("code").alias("code_right"), F.col("stands_for").alias("right")),

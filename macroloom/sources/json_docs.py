@@ -17,7 +17,7 @@ def codes_of(message: Column) -> Column:
 
 def explode_codes(df: DataFrame, keys, codes: Column) -> DataFrame:
     """(keys.., code, label): null ids skipped, and of a repeated id the last entry counts."""
-    rows = df.select(*keys, F.posexplode(codes).alias("pos", "entry")).filter(F.col("entry.id").isNotNull())
+    rows = df.select(*keys, F.posexplode_outer(codes).alias("pos", "entry")).filter(F.col("entry.id").isNotNull())
     label = label_or_english(F.col("entry.name"), F.col("entry.names"))
     return rows.groupBy(*keys, F.col("entry.id").alias("code")).agg(F.max_by(label, F.col("pos")).alias("label"))
 

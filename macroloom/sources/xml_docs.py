@@ -31,7 +31,10 @@ def series_to_rows(df: DataFrame, keep=(), obs_attributes=tuple(BULK_OBS_ATTRIBU
     """
     rest = [c for c in df.columns if c != "Obs" and c not in keep and c not in obs_attributes]
     both = [c for c in df.columns if c in obs_attributes]
-    renamed = df.select(*keep, *rest, *[F.col(c).alias(f"__series_{c}") for c in both], F.explode("Obs").alias("o"))
+    # The outer form, because for the inner one Spark adds a filter on the array below, which
+    # would parse every element a second time.
+    opened = df.select(*keep, *rest, *[F.col(c).alias(f"__series_{c}") for c in both], F.explode_outer("Obs").alias("o"))
+    renamed = opened.filter(F.col("o").isNotNull())
     obs = [
         F.coalesce(F.col(f"o.{a}"), F.col(f"__series_{a}")).alias(a) if a in both else F.col(f"o.{a}").alias(a)
         for a in obs_attributes
@@ -55,8 +58,8 @@ def scan_series(spark: SparkSession, path, **attributes) -> DataFrame:
 def enumerations(raw: DataFrame, keep=()) -> DataFrame:
     """(keep.., codelist_id, code, label) from parsed simple types; of a repeated code the last counts."""
     rows = raw.select(
-        *keep, F.col("_name").alias("codelist_id"), F.posexplode("`xs:restriction`.`xs:enumeration`").alias("pos", "e")
-    )
+        *keep, F.col("_name").alias("codelist_id"), F.posexplode_outer("`xs:restriction`.`xs:enumeration`").alias("pos", "e")
+    ).filter(F.col("e").isNotNull())
     label = F.col("e.`xs:annotation`.`xs:documentation`")
     last = F.max_by(F.struct(label.alias("label")), F.col("pos"))["label"].alias("label")
     return rows.groupBy(*keep, "codelist_id", F.col("e._value").alias("code")).agg(last)
