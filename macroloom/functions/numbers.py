@@ -5,13 +5,14 @@ from pyspark.sql import functions as F
 
 from macroloom.schema import MULTIPLIER_BY_EXPONENT, SCALE_NAME_BY_EXPONENT
 
-# Shapes a number may take; narrower than Spark's cast, which also takes suffixes such as "1d".
-NUMBER = r"^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"
+# Spark's cast also takes suffixes and forms such as "1d" or "0x1p3", which the first pattern keeps out.
+NOT_IN_NUMBERS = r"[^0-9eE+\-.\s]"
+INFINITE = r"(?i)^\s*[+-]?inf(?:inity)?\s*$"
 
 
 def real(value: Column) -> Column:
     """Text to double; anything that is not a number becomes null."""
-    return F.when(value.rlike(NUMBER), F.trim(value).try_cast("double"))
+    return F.when(~value.rlike(NOT_IN_NUMBERS) | value.rlike(INFINITE), value.try_cast("double"))
 
 
 def grouped_real(value: Column) -> Column:

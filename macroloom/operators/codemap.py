@@ -58,7 +58,8 @@ def fingerprint_sizes(rows: DataFrame) -> DataFrame:
 
 
 def _features(rows):
-    return [c for c in rows.columns if c == "v" or c[:1] == "f"]
+    """Columns of a row's identity. The value comes first: it tells rows apart soonest when sorting."""
+    return ["v", *[c for c in rows.columns if c[:1] == "f"]]
 
 
 def code_sets(df: DataFrame, code: str, features, value: str) -> CodeSets:

@@ -9,6 +9,7 @@ from macroloom.operators.observations import named
 from macroloom.schema import BULK_CODELISTS, BULK_REALS, BULK_WHOLE_NUMBERS
 from macroloom.sources.archives import audit_archives, require_sound, unpack_elements, with_verdict
 from macroloom.sources.xml_docs import enumerations, parse_series, parse_simple_type, series_to_rows
+from macroloom.work import stored
 
 
 def add_labels(rows: DataFrame, codes: DataFrame, per=()) -> DataFrame:
@@ -42,6 +43,7 @@ def parse_archives(archives: DataFrame, check: bool = True, with_path: bool = Fa
     series = unpack_elements(archives, "xml").select("path", parse_series(F.col("element")).alias("s"))
     rows = series_to_rows(series.select("path", "s.*"), keep=["path"])
     types = unpack_elements(archives, "xsd").select("path", parse_simple_type(F.col("element")).alias("t"))
-    codes = enumerations(types.select("path", "t.*"), keep=["path"])
+    # Five labels are read from the code lists, so they are written once; they are small.
+    codes = stored(enumerations(types.select("path", "t.*"), keep=["path"]), "bulk-codes")
     parsed = clean_numbers(add_labels(rows, codes, per=("path",)))
     return parsed if with_path else parsed.drop("path")

@@ -86,7 +86,7 @@ class Outlook:
         if found is None or found.isEmpty():
             log.warning("No code lists are landed; every label read from one is null")
             return self.spark.createDataFrame([], CODELIST_SCHEMA)
-        return found
+        return stored(found, "codelists")
 
     @cached_property
     def area_map(self) -> DataFrame:

@@ -35,8 +35,8 @@ def test_not_applicable(spark):
 
 
 def test_grouped_real(spark):
-    got = apply(spark, numbers.grouped_real, ["1.1", "2,123.2", "n/a", "--", "", "NULL", "nan", "1e3", "1d", " 7 ", None])
-    assert got == [1.1, 2123.2, None, None, None, None, None, 1000.0, None, 7.0, None]
+    got = apply(spark, numbers.grouped_real, ["1.1", "2,123.2", "n/a", "--", "", "NULL", "nan", "1e3", "1d", " 7 ", ".", "e5", "1 2", "-Inf", None])
+    assert got == [1.1, 2123.2, None, None, None, None, None, 1000.0, None, 7.0, None, None, None, float("-inf"), None]
 
 
 def test_whole_numbers(spark):
