@@ -79,14 +79,18 @@ def extend_area_map(releases, area_map, expected=tuple(BULK_ONLY_AREAS)):
 def unit_map_by_value(bulk, api, area_map) -> DataFrame:
     """(concept, letter, unit) of pairs whose rows all meet one unit; two units are a ValueError."""
     translated = lookup(bulk, area_map, {"REF_AREA_CODE": "legacy"}, {"code": "REF_AREA_CODE"})
-    targets = attribute_targets(
-        translated.withColumnRenamed("UNIT_CODE", "letter"),
-        api.withColumnRenamed("UNIT_CODE", "unit"),
-        ["CONCEPT_CODE", "REF_AREA_CODE", "TIME_PERIOD"],
-        "OBS_VALUE",
-        ["CONCEPT_CODE"],
-        "letter",
-        "unit",
+    # One row per pair of concept and letter, read three times from here on.
+    targets = stored(
+        attribute_targets(
+            translated.withColumnRenamed("UNIT_CODE", "letter"),
+            api.withColumnRenamed("UNIT_CODE", "unit"),
+            ["CONCEPT_CODE", "REF_AREA_CODE", "TIME_PERIOD"],
+            "OBS_VALUE",
+            ["CONCEPT_CODE"],
+            "letter",
+            "unit",
+        ),
+        "unit-targets",
     )
     _none_of(targets.filter("n_targets > 1"), "Ambiguous unit pairs")
     return targets.select(F.col("CONCEPT_CODE").alias("concept"), "letter", F.col("target").alias("unit"))
@@ -105,7 +109,7 @@ def extend_unit_map(releases, matched, decisions=None) -> DataFrame:
     """(concept, letter, unit) for every observed pair and every pair decided to have no unit."""
     spark = releases.sparkSession
     decided = spark.createDataFrame(UNIT_DECISIONS, UNIT_MAP_SCHEMA) if decisions is None else decisions
-    resolved = resolve_attributes(observed_pairs(releases), matched, decided, ["concept", "letter"])
+    resolved = stored(resolve_attributes(observed_pairs(releases), matched, decided, ["concept", "letter"]), "unit-pairs")
     _none_of(resolved.filter("source = 'unexplained'"), "Unit pairs nothing explains")
     known = resolved.select("concept", "letter", "unit").unionByName(matched.select("concept", "letter", "unit"))
     return known.unionByName(decided.filter("unit is null")).distinct()

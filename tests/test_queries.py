@@ -86,6 +86,21 @@ def test_large_dimensions_are_not_broadcast(spark):
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
 
+def test_first_k_is_cut_down_before_the_shuffle(spark):
+    from pyspark.sql import functions as F
+
+    from macroloom.operators.releases import keep_first_k
+
+    df = spark.read.parquet(f"{DATA}/lineitem.parquet").select("l_suppkey", "l_orderkey", "l_linenumber")
+    plan = plan_of(keep_first_k(df, ["l_suppkey"], [F.col("l_orderkey").desc(), F.col("l_linenumber")], 2))
+    assert plan.count("WindowGroupLimit") == 2
+
+
+def test_documents_are_parsed_once(spark):
+    for name, call in (("q_xml_roundtrip", "from_xml("), ("q_codelist_json", "from_json(")):
+        assert plan_of(entry_point.queries()[name](spark, DATA)).count(call) == 1
+
+
 def test_ordinal_never_sorts_a_whole_group(spark):
     plan = plan_of(entry_point.queries()["q_ordinal"](spark, DATA))
     windows = [line for line in plan.splitlines() if "Window [" in line]
