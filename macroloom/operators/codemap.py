@@ -179,7 +179,9 @@ def score_codes(left: CodeSets, right: CodeSets, min_score=MIN_SCORE, min_margin
 def candidates_for(codes: DataFrame, left: CodeSets, right: CodeSets, k=3, min_share=0.0) -> DataFrame:
     """The ``k`` best right codes of each left code in ``codes`` (column ``code_left``).
 
-    A report for people who resolve ambiguous codes; it looks at the sets of those codes only.
+    A report for people who resolve ambiguous codes, meant for few of them: with ``min_share=0``
+    every shared value counts, so its cost is the rows of those codes times the right sets that
+    hold each of them. A higher ``min_share`` lists only closer candidates and probes rare rows.
     """
     wanted = left.codes.join(codes.select(F.col("code_left").alias("code")).distinct(), "code", "left_semi")
     wanted_sets = wanted.select(F.col("stands_for").alias("code")).distinct()

@@ -79,7 +79,7 @@ def q_fresh_snapshot(spark, table):
     events = table("events").select("user_id", "event_id", F.col("ts").alias("ingested_at"), "event_type")
     now = events.agg(F.max("ingested_at")).first()[0]
     newest = newest_per_key(events, ["user_id"], ["ingested_at", "event_id"])
-    return snapshots.fresh(newest, snapshots.DAY, F.lit(now).cast("timestamp_ntz"))
+    return snapshots.fresh(newest, snapshots.DAY, F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz"))
 
 
 @query("""
