@@ -11,4 +11,12 @@ The package is layered:
 Users normally start from ``macroloom.plans.outlook`` and ``macroloom.plans.reserves``.
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions of this package that run in tasks travel to the executors with their code, so that a
+# session started from any folder works without installing the package on every machine.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -14,12 +14,15 @@ _local_root = None
 def work_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent, as in local tests, a temporary folder takes its place.
+    Only in a local session, where driver and executors are one machine, a temporary folder takes
+    the place of an absent setting. On a cluster its absence is an error.
     """
     global _local_root
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="macroloom-")
     return _local_root
