@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from macroloom import work
@@ -21,3 +25,16 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     out = work.stored(df, purpose)
     out.sparkSession.sparkContext._jvm.System.gc()
     return out
+
+
+def portions(batches: Iterator[pa.RecordBatch], column: int, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut into runs of rows whose texts together have at most ``most`` bytes, or single rows."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.columns[column]), 0).to_numpy(zero_copy_only=False)
+        start, held = 0, 0
+        for i, n in enumerate(lengths.tolist()):
+            if i > start and held + n > most:
+                yield batch.slice(start, i - start)
+                start, held = i, 0
+            held += n
+        yield batch.slice(start)

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from macroloom.llm import bpe, urls
+from macroloom.llm import bpe, langid, urls
 from macroloom.llm.common import table
 
 #: Public vocabulary files; a parameter of every operator that reads one.
 TOKENIZERS = "/opt/tokenizers"
 BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
+MULTI_BPE = f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken"
 
 URL_RULES = """
   ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
@@ -18,6 +19,12 @@ URL_RULES = """
 """
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~langid.held_out()), MULTI_BPE)
+    return langid.identify(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.sql(f"SELECT * FROM VALUES {URL_RULES} AS rules(host, path, verdict)")
     return urls.judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -51,6 +58,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op5_url_filter": op5_url_filter,
     "op7_bpe": op7_bpe,
 }
