@@ -11,10 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from macroloom.llm.common import portions
+
 #: A chunk ends where the rolling hash of the last 16 bytes has so many zero bits: about 512 bytes.
 CHUNK_BITS = 9
-#: A task's stores of encoded chunks and pieces are emptied when they hold so many bytes of text.
-STORE_BYTES = 48 << 20
+#: A task's stores of encoded chunks and pieces are emptied when they take about so many bytes.
+STORE_BYTES = 128 << 20
 
 # Characters that either the tokenizers' patterns or Python take for white space.
 _BLANK = (
@@ -105,11 +107,11 @@ class ChunkEncoder:
         missing = sorted(self.missing)
         for text, code in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False) if missing else []):
             self.pieces[text] = np.array(code.ids, "<u4").tobytes()
-            self.held += 8 * len(text)
+            self.held += 250 + 2 * len(text)
         ids = self.pieces.__getitem__
         for chunk, (head, core, tail) in fresh.items():
             self.chunks[chunk] = (head, None if core is None else b"".join(map(ids, core)), tail)
-            self.held += 3 * len(chunk)
+            self.held += 400 + 3 * len(chunk)
         return [b"".join(x if isinstance(x, bytes) else (b"".join(map(ids, x))) for x in plan) for plan in plans]
 
 
@@ -135,7 +137,7 @@ class IdDecoder:
 def encode_batches(batches: Iterator[pa.RecordBatch], path: str, decoded: bool) -> Iterator[pa.RecordBatch]:
     """(id, text) batches to (id, ids[, decoded])."""
     encoder, decoder = ChunkEncoder(path), IdDecoder(path) if decoded else None
-    for batch in batches:
+    for batch in portions(batches, 1):
         texts = [x or b"" for x in batch.column(1).cast(pa.binary()).to_pylist()]
         codes = encoder.encode(texts)
         out = [batch.column(0), pa.array(codes, pa.binary())]
@@ -150,7 +152,8 @@ def encode_documents(docs: DataFrame, path: str, id_column: str = "doc_id", text
     """(id, ids, decoded) of every row: token ids as little-endian unsigned 32-bit integers, and their text.
 
     Runs where the rows are, without a shuffle; a task keeps the chunks it has encoded up to
-    ``STORE_BYTES`` of text, so its memory does not grow with the input. Null and empty texts have no
+    ``STORE_BYTES`` of text, and works on a few MB of text at a time,
+    so its memory does not grow with the input. Null and empty texts have no
     ids and decode to the empty text. Repeated rows and ids are encoded row by row; very long texts
     are encoded whole. Other columns are ignored, whatever their names.
     """
