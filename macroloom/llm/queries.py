@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from macroloom.llm import bpe, langid, urls
+from macroloom.llm import bpe, decontaminate, langid, urls
 from macroloom.llm.common import table
 
 #: Public vocabulary files; a parameter of every operator that reads one.
@@ -25,6 +25,46 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+WORDS_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP2_SQL = f"""
+WITH item_words AS (SELECT item_id, {WORDS_SQL} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS k, list_slice(w, i, i + least(10, len(w)) - 1) AS win
+  FROM item_words, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) AS s(i) WHERE len(w) > 0
+),
+doc_words AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+widths AS (SELECT DISTINCT k FROM windows),
+places AS (
+  SELECT doc_id, i, k, list_slice(w, i, i + k - 1) AS win
+  FROM doc_words, widths, unnest(generate_series(1, len(w) - k + 1)) AS s(i) WHERE len(w) >= k
+),
+found AS (SELECT p.doc_id, p.i, p.k, x.item_id FROM places p JOIN windows x ON p.k = x.k AND p.win = x.win),
+hits AS (
+  SELECT doc_id, count(DISTINCT j) AS n_hit FROM found, unnest(generate_series(i, i + k - 1)) AS s(j) GROUP BY doc_id
+),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(i.n_items, 0) AS n_items,
+  sha256(coalesce(i.names, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN hits h USING (doc_id) LEFT JOIN items i USING (doc_id)
+"""
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.sql(f"SELECT * FROM VALUES {URL_RULES} AS rules(host, path, verdict)")
     return urls.judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -59,10 +99,12 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_decontamination": op2_decontamination,
     "op5_url_filter": op5_url_filter,
     "op7_bpe": op7_bpe,
 }
 
 ORACLES = {
+    "op2_decontamination": OP2_SQL,
     "op5_url_filter": OP5_SQL,
 }
