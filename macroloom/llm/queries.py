@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from macroloom.llm import bpe, decontaminate, langid, urls
+from macroloom.llm import bpe, decontaminate, langid, repeats, urls
 from macroloom.llm.common import table
 
 #: Public vocabulary files; a parameter of every operator that reads one.
@@ -65,6 +65,37 @@ FROM doc_words d LEFT JOIN hits h USING (doc_id) LEFT JOIN items i USING (doc_id
 """
 
 
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+OP4_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+strings AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM d, unnest(generate_series(0, n - 50)) AS t(i) WHERE n >= 50),
+firsts AS (SELECT s, min(doc_id) AS f FROM strings GROUP BY s),
+repeated AS (SELECT doc_id, i FROM strings JOIN firsts USING (s) WHERE f < doc_id),
+places AS (SELECT doc_id, i, substr(h, 2 * i + 1, 2) AS b FROM d, unnest(generate_series(0, n - 1)) AS t(i) WHERE n > 0),
+judged AS (
+  SELECT p.doc_id, p.i, b, coalesce(max(r.i) OVER (PARTITION BY p.doc_id ORDER BY p.i), -100) >= p.i - 49 AS gone
+  FROM places p LEFT JOIN repeated r ON p.doc_id = r.doc_id AND p.i = r.i
+),
+marked AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM judged),
+sums AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans,
+    coalesce(string_agg(b, '' ORDER BY i) FILTER (NOT gone), '') AS kept
+  FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, d.n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN sums USING (doc_id)
+"""
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.sql(f"SELECT * FROM VALUES {URL_RULES} AS rules(host, path, verdict)")
     return urls.judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -100,11 +131,13 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
+    "op4_repeated_passages": op4_repeated_passages,
     "op5_url_filter": op5_url_filter,
     "op7_bpe": op7_bpe,
 }
 
 ORACLES = {
     "op2_decontamination": OP2_SQL,
+    "op4_repeated_passages": OP4_SQL,
     "op5_url_filter": OP5_SQL,
 }
