@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from macroloom.llm import bpe, decontaminate, langid, repeats, urls
+from macroloom.llm import bpe, decontaminate, langid, neardup, repeats, urls
 from macroloom.llm.common import table
 
 #: Public vocabulary files; a parameter of every operator that reads one.
@@ -65,6 +65,10 @@ FROM doc_words d LEFT JOIN hits h USING (doc_id) LEFT JOIN items i USING (doc_id
 """
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -131,6 +135,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
+    "op3_near_duplicates": op3_near_duplicates,
     "op4_repeated_passages": op4_repeated_passages,
     "op5_url_filter": op5_url_filter,
     "op7_bpe": op7_bpe,
