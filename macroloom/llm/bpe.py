@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,6 +53,14 @@ class ChunkEncoder:
         self.held = 0
         self.gear = np.random.default_rng(20).integers(0, 1 << 32, 256, dtype=np.uint64).astype(np.uint32)
 
+    @classmethod
+    def of_worker(cls, path: str) -> ChunkEncoder:
+        """The encoder of this Python worker, which keeps its stores from one task to the next."""
+        home = sys.modules.setdefault("_macroloom_worker", types.ModuleType("_macroloom_worker")).__dict__
+        if ("encoder", path) not in home:
+            home["encoder", path] = cls(path)
+        return home["encoder", path]
+
     def cuts(self, data: np.ndarray) -> np.ndarray:
         """Places where a chunk ends, never inside a character."""
         if data.size < 2:

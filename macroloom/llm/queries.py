@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from macroloom.llm import bpe, decontaminate, langid, neardup, repeats, urls
+from macroloom.llm import bpe, decontaminate, langid, neardup, repeats, tokenfiles, urls
 from macroloom.llm.common import table
+from macroloom.work import new_folder
 
 #: Public vocabulary files; a parameter of every operator that reads one.
 TOKENIZERS = "/opt/tokenizers"
@@ -126,12 +127,20 @@ FROM asked a LEFT JOIN fitting f ON a.n = f.n
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), BYTE_BPE).select(
         "doc_id",
-        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "tokens")
+    tokenfiles.write_tokens(table(spark, sf_dir, "documents"), folder, BYTE_BPE)
+    return tokenfiles.read_tokens(spark, folder).select(
+        "doc_id", "start", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
@@ -139,6 +148,7 @@ QUERIES = {
     "op4_repeated_passages": op4_repeated_passages,
     "op5_url_filter": op5_url_filter,
     "op7_bpe": op7_bpe,
+    "op9_token_files": op9_token_files,
 }
 
 ORACLES = {
