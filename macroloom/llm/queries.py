@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from macroloom.llm import bpe, decontaminate, langid, neardup, repeats, tokenfiles, urls
+from macroloom.llm import bpe, decontaminate, embeddup, langid, neardup, repeats, tokenfiles, urls
 from macroloom.llm.common import table
 from macroloom.work import new_folder
 
@@ -133,6 +133,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))[0]
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "tokens")
     tokenfiles.write_tokens(table(spark, sf_dir, "documents"), folder, BYTE_BPE)
@@ -148,6 +152,7 @@ QUERIES = {
     "op4_repeated_passages": op4_repeated_passages,
     "op5_url_filter": op5_url_filter,
     "op7_bpe": op7_bpe,
+    "op8_near_vectors": op8_near_vectors,
     "op9_token_files": op9_token_files,
 }
 
