@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from macroloom.llm import bpe, decontaminate, embeddup, langid, neardup, repeats, tokenfiles, urls
+from macroloom.llm import bpe, decontaminate, embeddup, langid, licenses, neardup, repeats, secrets, tokenfiles, urls
 from macroloom.llm.common import table
 from macroloom.work import new_folder
 
@@ -124,6 +124,12 @@ FROM asked a LEFT JOIN fitting f ON a.n = f.n
 """
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = secrets.dictionary(spark, MULTI_BPE)
+    model = secrets.train(secrets.labelled_findings(spark), words)
+    return secrets.find_secrets(table(spark, sf_dir, "documents"), words, model)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), BYTE_BPE).select(
         "doc_id",
@@ -145,15 +151,22 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, known = table(spark, sf_dir, "documents"), licenses.templates(spark)
+    return licenses.find_licenses(docs, known, licenses.train(licenses.paragraphs(docs), known))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_repeated_passages": op4_repeated_passages,
     "op5_url_filter": op5_url_filter,
+    "op6_secrets": op6_secrets,
     "op7_bpe": op7_bpe,
     "op8_near_vectors": op8_near_vectors,
     "op9_token_files": op9_token_files,
+    "op10_licenses": op10_licenses,
 }
 
 ORACLES = {
