@@ -20,6 +20,8 @@ from macroloom.llm.decontaminate import words_of
 SHINGLE, THRESHOLD = 5, 0.8
 #: A pair of the least similarity has no common band once in (1 - 0.8**5)**-28 = 66,000 times.
 BANDS, ROWS = 28, 5
+#: Turns of further leaders at most, before the pairs that are left are compared one by one.
+TURNS = 8
 #: Distinct words whose hashes a task keeps.
 STORE_WORDS = 500_000
 
@@ -166,6 +168,23 @@ def similarities(pairs: DataFrame, regions: DataFrame) -> DataFrame:
     return both.select("a", "b", (shared / (F.size("of_a") + F.size("of_b") - shared)).alias("similarity"))
 
 
+def _united(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """Classes (rep, component) after the links (a, b) between members have made some of them one."""
+    one, other = classes.toDF("a", "of_a"), classes.toDF("b", "of_b")
+    between = links.join(one, "a").join(other, "b").where("of_a != of_b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    new = components(between).toDF("component", "joined")
+    return stored(classes.join(new, "component", "left").select("rep", F.coalesce("joined", "component").alias("component")), "neardup-classes")
+
+
+def _with_other_leaders(members: DataFrame, classes: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of each bucket's leader of this turn, chosen by a hash, with the members of other components."""
+    placed = members.select("band", "key", "rep").join(classes, "rep")
+    order = F.xxhash64("rep", "band", "key", F.lit(turn))
+    leaders = placed.groupBy("band", "key").agg(F.min(F.struct(order.alias("h"), "rep", "component")).alias("x")).select("band", "key", F.col("x.rep").alias("leader"), F.col("x.component").alias("home"))
+    pairs = placed.join(leaders, ["band", "key"]).where("component != home")
+    return pairs.select(F.greatest("rep", "leader").alias("a"), F.least("rep", "leader").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(id, weight, component_id, kept) of every document.
 
@@ -175,10 +194,11 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     Texts of equal words are one class from the start and only the least id goes on. Others meet in
     bands of their signatures. In a bucket all members are compared with its least one, not with
-    each other. Where that leaves a bucket with several components, members of different ones are
-    compared too, unless their known distances to the least member rule a link out by the triangle
-    inequality; so every pair that meets is linked, of one component, or known not to be similar.
-    All comparisons are exact.
+    each other. While that leaves many pairs of a bucket in different components, members of other
+    components than a further one, chosen by a hash, are compared with that one, which joins most
+    large groups. What is then left in different components is compared pair by pair, unless known
+    distances to the least member rule a link out by the triangle inequality; so every pair that
+    meets is linked, of one component, or known not to be similar. All comparisons are exact.
 
     Documents without words (null, empty) link with nothing. Repeated rows have equal words and are
     one class; different texts under one id are one document with both texts' links. A row with a
@@ -201,21 +221,31 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     wanted = members.select(F.col("rep").alias("id")).distinct()
     regions = stored(rows.join(wanted, "id").mapInArrow(region_batches, f"id {kind}, regions array<long>"), "neardup-regions")
     judged = stored(similarities(stars, regions), "neardup-stars")
-    links = judged.where(F.col("similarity") >= threshold).select("a", "b")
-    classes = stored(components(links), "neardup-classes")
-
-    placed = (
-        members.join(classes.withColumnRenamed("id", "rep"), "rep", "left")
-        .withColumn("component", F.coalesce("component", "rep"))
-        .join(judged.select(F.col("a").alias("rep"), F.col("b").alias("leader"), "similarity"), ["rep", "leader"], "left")
-        .withColumn("far", F.when(F.col("rep") == F.col("leader"), F.lit(0.0)).otherwise(1 - F.col("similarity")))
-        .select("band", "key", "rep", "weight", "leader", "component", "far")
-    )
-    placed = stored(placed, "neardup-placed")
-    mixed = placed.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low != high and n > 2").select("band", "key")
-    inside = stored(placed.join(mixed, ["band", "key"]), "neardup-mixed")
+    apart = wanted.select(F.col("id").alias("rep"), F.col("id").alias("component"))
+    classes = _united(apart, judged.where(F.col("similarity") >= threshold).select("a", "b"))
+
+    asked = judged.select("a", "b")
+    for turn in range(TURNS):
+        open_pairs = members.join(classes, "rep").groupBy("band", "key", "component").agg(F.count("*").alias("n"))
+        open_pairs = open_pairs.groupBy("band", "key").agg((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("ordered"))
+        left, limit = open_pairs.agg(F.sum("ordered"), F.count("*")).first()
+        if (left or 0) <= limit:
+            break
+        pairs = _with_other_leaders(members, classes, turn).join(asked, ["a", "b"], "left_anti")
+        found = stored(similarities(pairs, regions), f"neardup-turn{turn}")
+        links = found.where(F.col("similarity") >= threshold).select("a", "b")
+        if not links.head(1):
+            break
+        asked = asked.union(found.select("a", "b"))
+        classes = _united(classes, links)
+
+    far = judged.select(F.col("a").alias("rep"), F.col("b").alias("leader"), (1 - F.col("similarity")).alias("far"))
+    placed = members.join(classes, "rep")
+    mixed = placed.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+    inside = placed.join(mixed.where("low != high and n > 2").select("band", "key"), ["band", "key"])
     home = inside.where("rep = leader").select("band", "key", F.col("component").alias("home"))
-    strays = inside.join(home, ["band", "key"]).where("component != home and rep != leader").select(
+    inside = stored(inside.where("rep != leader").join(far, ["rep", "leader"]).join(home, ["band", "key"]), "neardup-mixed")
+    strays = inside.where("component != home").select(
         "band", "key", F.col("rep").alias("a"), F.col("weight").alias("weight_a"), F.col("component").alias("component_a"), F.col("far").alias("far_a")
     )
     slack = 1 - threshold + 1e-9
@@ -223,17 +253,16 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         strays.join(inside, ["band", "key"])
         .where(
             (F.col("component") != F.col("component_a"))
-            & (F.col("rep") != F.col("leader"))
             & (F.abs(F.col("far") - F.col("far_a")) <= slack)
             & (F.least("weight", "weight_a") >= (threshold - 1e-9) * F.greatest("weight", "weight_a"))
         )
         .select(F.greatest("a", "rep").alias("a"), F.least("a", "rep").alias("b"))
         .distinct()
-        .join(judged.select("a", "b"), ["a", "b"], "left_anti")
+        .join(asked, ["a", "b"], "left_anti")
     )
-    found = stored(similarities(more, regions).where(F.col("similarity") >= threshold).select("a", "b"), "neardup-more")
-    joined = classes.select(F.col("id").alias("a"), F.col("component").alias("b")).union(found)
-    final = components(joined).select(F.col("id").alias("rep"), F.col("component").alias("component_id"))
+    found = stored(similarities(more, regions), "neardup-more")
+    classes = _united(classes, found.where(F.col("similarity") >= threshold).select("a", "b"))
+    final = classes.select("rep", F.col("component").alias("component_id"))
 
     named = unique.select("digest", "rep").join(final, "rep", "left").select("digest", F.coalesce("component_id", "rep").alias("component_id"))
     own = F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "id"))
