@@ -30,13 +30,22 @@ def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     words = docs.where(F.col(text_column).rlike(_RUN) | F.col(text_column).rlike(_NAMED)).select(
         F.col(id_column).alias("id"), source.alias("source"), F.split(text_column, r"\s+").alias("words")
     )
-    numbered = F.transform("words", lambda w, i: F.struct(w.alias("w"), i.alias("i")))
-    before = lambda x: F.array_join(F.slice("words", F.greatest(x["i"] - 1, F.lit(1)), F.least(x["i"], F.lit(2))), " ")
+    # Neighbours come from shifted copies: a look-up by number inside a function would have the text
+    # split again for every word, since Spark merges projections.
+    shifted = words.select(
+        "id",
+        "source",
+        F.col("words").alias("w"),
+        F.concat(F.array(F.lit("")), "words").alias("one"),
+        F.concat(F.array(F.lit(""), F.lit("")), "words").alias("two"),
+        F.slice("words", F.lit(2), F.size("words")).alias("after"),
+    )
     around = F.transform(
-        numbered, lambda x: F.struct(x["w"].alias("w"), before(x).alias("before"), F.coalesce(F.get("words", x["i"] + 1), F.lit("")).alias("after"))
+        F.arrays_zip("w", "one", "two", "after"),
+        lambda x: F.struct(x["w"].alias("w"), F.trim(F.concat_ws(" ", x["two"], x["one"])).alias("before"), F.coalesce(x["after"], F.lit("")).alias("after")),
     )
     hit = F.filter(around, lambda x: x["w"].rlike(_RUN) | F.concat_ws(" ", x["before"], x["w"]).rlike(_NAMED))
-    found = words.select("id", "source", F.explode(hit).alias("x")).select("id", "source", "x.*")
+    found = shifted.select("id", "source", F.explode(hit).alias("x")).select("id", "source", "x.*")
     named = F.regexp_replace(F.regexp_extract(F.concat_ws(" ", "before", "w"), _NAMED, 1), r"[.,;:!?)\]}|&$%*]+$", "")
     values = F.array_distinct(F.concat(F.regexp_extract_all("w", F.lit(f"({_RUN})")), F.array(F.when(F.contains("w", named), named))))
     each = found.select("id", "source", "w", "before", "after", F.explode(values).alias("value")).where("length(value) >= 6")
@@ -156,8 +165,9 @@ def find_secrets(
     return scored.groupBy("id", "secret").agg(F.max("probability").alias("probability")).withColumnRenamed("id", id_column)
 
 
-def mask_secrets(docs: DataFrame, findings: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with every occurrence of a document's findings replaced by MASK, longest findings first.
+def mask_secrets(docs: DataFrame, findings: DataFrame, id_column: str = "doc_id", text_column: str = "text", length_column: str | None = None) -> DataFrame:
+    """``docs`` with every occurrence of a document's findings replaced by MASK, longest findings first;
+    ``length_column``, if named, gets the length of each text that changes.
 
     All columns and rows stay, documents without findings as they are; rows of a null id too, of
     which findings cannot be told apart by row but apply to all rows without id.
@@ -166,4 +176,8 @@ def mask_secrets(docs: DataFrame, findings: DataFrame, id_column: str = "doc_id"
     each = findings.groupBy(F.col(id_column).alias("__id")).agg(by_length.alias("__secrets"))
     joined = docs.join(each, F.col(id_column).eqNullSafe(F.col("__id")), "left")
     masked: Column = F.aggregate("__secrets", F.col(text_column), lambda t, s: F.replace(t, s, F.lit(MASK)))
-    return joined.select(*[F.when(F.col("__secrets").isNull(), F.col(c)).otherwise(masked).alias(c) if c == text_column else F.col(c) for c in docs.columns])
+    kinds = dict(docs.dtypes)
+    changed = {text_column: masked}
+    if length_column:
+        changed[length_column] = F.length(masked).cast(kinds[length_column])
+    return joined.select(*[F.when(F.col("__secrets").isNull(), F.col(c)).otherwise(changed[c]).alias(c) if c in changed else F.col(c) for c in docs.columns])
