@@ -27,7 +27,7 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a != b").distinct()
+        large = large.where("a != b")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         met = large.join(least, "a")
         small = met.select(F.col("b").alias("a"), F.col("m").alias("b")).union(met.select("a", F.col("m").alias("b")))

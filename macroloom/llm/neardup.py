@@ -176,6 +176,19 @@ def _united(classes: DataFrame, links: DataFrame) -> DataFrame:
     return stored(classes.join(new, "component", "left").select("rep", F.coalesce("joined", "component").alias("component")), "neardup-classes")
 
 
+def _drawn_closer(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """Classes after each linked one has joined the least class it is linked with, and what that one joined.
+
+    One step, not all: the turn after it goes on from there, and ``components`` finishes.
+    """
+    one, other = classes.toDF("a", "of_a"), classes.toDF("b", "of_b")
+    between = links.join(one, "a").join(other, "b").where("of_a != of_b")
+    step = between.groupBy(F.greatest("of_a", "of_b").alias("component")).agg(F.min(F.least("of_a", "of_b")).alias("joined"))
+    step = stored(step, "neardup-step")
+    two = step.join(step.toDF("joined", "further"), "joined", "left").select("component", F.coalesce("further", "joined").alias("joined"))
+    return stored(classes.join(two, "component", "left").select("rep", F.coalesce("joined", "component").alias("component")), "neardup-classes")
+
+
 def _with_other_leaders(members: DataFrame, classes: DataFrame, turn: int) -> DataFrame:
     """Pairs (a, b) of each bucket's leader of this turn, chosen by a hash, with the members of other components."""
     placed = members.select("band", "key", "rep").join(classes, "rep")
@@ -222,7 +235,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     regions = stored(rows.join(wanted, "id").mapInArrow(region_batches, f"id {kind}, regions array<long>"), "neardup-regions")
     judged = stored(similarities(stars, regions), "neardup-stars")
     apart = wanted.select(F.col("id").alias("rep"), F.col("id").alias("component"))
-    classes = _united(apart, judged.where(F.col("similarity") >= threshold).select("a", "b"))
+    links = judged.where(F.col("similarity") >= threshold).select("a", "b")
+    classes = _united(apart, links)
 
     asked = judged.select("a", "b")
     for turn in range(TURNS):
@@ -233,11 +247,11 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
             break
         pairs = _with_other_leaders(members, classes, turn).join(asked, ["a", "b"], "left_anti")
         found = stored(similarities(pairs, regions), f"neardup-turn{turn}")
-        links = found.where(F.col("similarity") >= threshold).select("a", "b")
-        if not links.head(1):
+        new = found.where(F.col("similarity") >= threshold).select("a", "b")
+        if new.isEmpty():
             break
-        asked = asked.union(found.select("a", "b"))
-        classes = _united(classes, links)
+        asked, links = asked.union(found.select("a", "b")), links.union(new)
+        classes = _drawn_closer(classes, new)
 
     far = judged.select(F.col("a").alias("rep"), F.col("b").alias("leader"), (1 - F.col("similarity")).alias("far"))
     placed = members.join(classes, "rep")
@@ -261,7 +275,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .join(asked, ["a", "b"], "left_anti")
     )
     found = stored(similarities(more, regions), "neardup-more")
-    classes = _united(classes, found.where(F.col("similarity") >= threshold).select("a", "b"))
+    classes = _united(classes, links.union(found.where(F.col("similarity") >= threshold).select("a", "b")))
     final = classes.select("rep", F.col("component").alias("component_id"))
 
     named = unique.select("digest", "rep").join(final, "rep", "left").select("digest", F.coalesce("component_id", "rep").alias("component_id"))
