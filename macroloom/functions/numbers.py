@@ -5,14 +5,15 @@ from pyspark.sql import functions as F
 
 from macroloom.schema import MULTIPLIER_BY_EXPONENT, SCALE_NAME_BY_EXPONENT
 
-# Spark's cast also takes suffixes and forms such as "1d" or "0x1p3", which the first pattern keeps out.
-NOT_IN_NUMBERS = r"[^0-9eE+\-.\s]"
-INFINITE = r"(?i)^\s*[+-]?inf(?:inity)?\s*$"
+# Spark's cast also takes suffixes and forms such as "1d" or "0x1p3", which the characters keep out.
+IN_NUMBERS, BLANKS = "0123456789eE+-.", " \t\n\r\f\x0b"
+INFINITE = [sign + word for sign in ("", "+", "-") for word in ("inf", "infinity")]
 
 
 def real(value: Column) -> Column:
     """Text to double; anything that is not a number becomes null."""
-    return F.when(~value.rlike(NOT_IN_NUMBERS) | value.rlike(INFINITE), value.try_cast("double"))
+    plain = F.translate(value, IN_NUMBERS + BLANKS, "") == ""
+    return F.when(plain | F.lower(F.btrim(value, F.lit(BLANKS))).isin(INFINITE), value.try_cast("double"))
 
 
 def grouped_real(value: Column) -> Column:

@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from macroloom.operators.observations import named
-
-REPORTED_CODES = 50
+from macroloom.work import refuse_rows
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: dict, take: dict, null_safe=False) -> DataFrame:
@@ -51,26 +50,29 @@ def mapped(df: DataFrame, dim: DataFrame, on: dict) -> DataFrame:
 
 
 def require_mapped(df: DataFrame, dim: DataFrame, on: dict, what: str) -> None:
-    """ValueError naming the keys the dimension lacks (the first few of them, and how many)."""
-    missing = unmapped(df, dim, on)
-    found = [tuple(r) if len(on) > 1 else r[0] for r in missing.limit(REPORTED_CODES + 1).collect()]
-    if found:
-        listed = sorted(found, key=str)[:REPORTED_CODES]
-        more = " and more" if len(found) > REPORTED_CODES else ""
-        raise ValueError(f"No mapping for {what}: {listed}{more}")
+    """ValueError with the keys the dimension lacks: how many, and the table that holds all of them."""
+    refuse_rows(unmapped(df, dim, on), f"No mapping for {what}")
+
+
+def repeated_keys(dim: DataFrame, keys) -> DataFrame:
+    """Keys that several rows of a dimension share."""
+    return dim.groupBy(*[named(k) for k in keys]).agg(F.count("*").alias("__n")).filter("__n > 1").drop("__n")
 
 
 def strict_lookup(df, dim, on, take, what, check=True) -> DataFrame:
-    """Lookup in which every fact key, nulls included, has to be in the dimension.
+    """Lookup in which every fact key, nulls included, has to be in the dimension, and there only once.
 
     ``check=True`` runs one job over the distinct keys and raises before anything is built.
     ``check=False`` builds the same test into the plan, so that the job that uses the result
     fails on the first unmapped key, with no pass of its own; a stream needs this form.
     """
     if check:
+        refuse_rows(repeated_keys(dim, dict.fromkeys(on.values())), f"Repeated keys in the mapping for {what}")
         require_mapped(df, dim, on, what)
         return lookup(df, dim, on, take)
-    flagged = dim.select(*[named(c) for c in dict.fromkeys([*on.values(), *take])], F.lit(True).alias("__known"))
+    keys = list(dict.fromkeys(on.values()))
+    firsts = [F.first(named(c)).alias(c) for c in dict.fromkeys(take) if c not in keys]
+    flagged = dim.groupBy(*[named(k) for k in keys]).agg(F.count("*").alias("__times"), *firsts).withColumn("__known", F.col("__times") == 1)
     key_text = F.concat_ws(", ", *[F.coalesce(named(f).cast("string"), F.lit("null")) for f in on])
     # The offending key is written down before the lookup replaces any of its parts.
     joined = lookup(df.withColumn("__key_text", key_text), flagged, on, {**take, "__known": "__known"})
@@ -79,8 +81,9 @@ def strict_lookup(df, dim, on, take, what, check=True) -> DataFrame:
 
 def _fail_unknown(joined, take, what):
     def guard(out):
+        fault = F.when(F.col("__known").isNull(), f"No mapping for {what}: ").otherwise(f"Repeated keys in the mapping for {what}: ")
         return F.when(F.col("__known"), named(out)).otherwise(
-            F.raise_error(F.concat(F.lit(f"No mapping for {what}: "), F.col("__key_text"))).cast(
+            F.raise_error(F.concat(fault, F.col("__key_text"))).cast(
                 joined.schema[out].dataType
             )
         )
@@ -118,6 +121,5 @@ def shared_targets(mapping: DataFrame, target: str) -> DataFrame:
 
 
 def require_one_to_one(mapping: DataFrame, target: str) -> None:
-    clashes = shared_targets(mapping, target).limit(REPORTED_CODES).collect()
-    if clashes:
-        raise ValueError(f"The map is not one-to-one, shared targets: {sorted(str(r[0]) for r in clashes)}")
+    """ValueError with the targets that several rows share: how many, and the table that holds all of them."""
+    refuse_rows(shared_targets(mapping, target).select(named(target)), "The map is not one-to-one, shared targets")

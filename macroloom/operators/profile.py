@@ -68,4 +68,5 @@ def fiscal_share(df: DataFrame, column: str, out="fiscal_share") -> DataFrame:
 def first_label(df: DataFrame, code: str, label: str, release_order: str) -> DataFrame:
     """Earliest non-empty label of every code across releases."""
     usable = df.filter(named(label).isNotNull() & (named(label) != ""))
+    usable = usable.select(named(code), named(label), named(release_order)).distinct()
     return usable.groupBy(named(code)).agg(F.min_by(named(label), F.struct(named(release_order), named(label))).alias(label))

@@ -35,10 +35,10 @@ from macroloom.plans.bulk import parse_archives
 from macroloom.plans.translate import translate_release
 from macroloom.schema import AREA_MAP_SCHEMA, BULK_RELEASES, CODELIST_SCHEMA, CORRUPT_RELEASES, MAX_ROLL_BACK
 from macroloom.plans.vocabulary import derive_vocabulary, write_vocabulary
-from macroloom.sources.archives import release_of_path, scan_archives
+from macroloom.sources.archives import is_known_corrupt, release_of_path, scan_archives
 from macroloom.sources.csvs import scan_observations, scan_probes, scan_sidecar
 from macroloom.sources.json_docs import scan_catalogue, scan_codelists
-from macroloom.sources.snapshots import WEEK, fresh, keyed, read_snapshot, write_snapshot
+from macroloom.sources.snapshots import SCHEMA_VERSION, WEEK, fresh, keyed, read_snapshot, write_snapshot
 from macroloom.work import landed, stored
 
 log = logging.getLogger(__name__)
@@ -180,10 +180,8 @@ class Outlook:
     def bulk_releases(self) -> DataFrame:
         """Every landed bulk release not known to be corrupt, untranslated, with its release columns."""
         archives = scan_archives(self.spark, f"{self.root}/bulk")
-        corrupt = self.spark.createDataFrame(CORRUPT_RELEASES, "month string, year int")
         month, year = release_of_path(F.col("path"))
-        labelled = archives.withColumns({"month": month, "year": year}).join(corrupt, ["month", "year"], "left_anti")
-        parsed = parse_archives(labelled.select("path", "content"), with_path=True)
+        parsed = parse_archives(archives.filter(~is_known_corrupt(month, year)).select("path", "content"), with_path=True)
         return parsed.withColumns({"release_month": month, "release_year": year}).drop("path")
 
     def build_vocabulary(self, anchor=("April", 2025), **options) -> dict:
@@ -291,7 +289,7 @@ def read_release(spark: SparkSession, store: str, release, ref: FlowRef | None =
 
 def _snapshot(spark, store, release, ref):
     month, year = release
-    keys = {"release_year": year, "release_month": month}
+    keys = {"release_year": year, "release_month": month, "schema_version": SCHEMA_VERSION}
     keys |= {"sublayer": "weo_sdmx_parsed"} if ref is None else {
         "sublayer": "weo_api", "flow_id": ref.flow_id, "flow_version": ref.version
     }

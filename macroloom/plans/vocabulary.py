@@ -19,17 +19,10 @@ from macroloom.operators.lookup import lookup, require_one_to_one, strict_invers
 from macroloom.operators.observations import named
 from macroloom.operators.profile import first_label
 from macroloom.schema import UNIT_MAP_SCHEMA
-from macroloom.work import stored
+from macroloom.work import inline, refuse_rows, stored
 from macroloom.vocabulary_values import BULK_ONLY_AREAS, UNIT_DECISIONS
 
 FEATURES = ["CONCEPT_CODE", "TIME_PERIOD"]
-SHOWN = 20
-
-
-def _none_of(df: DataFrame, message: str) -> None:
-    found = df.limit(SHOWN).collect()
-    if found:
-        raise ValueError(f"{message}: {[tuple(r) for r in found]}")
 
 
 def usable(releases: DataFrame) -> DataFrame:
@@ -48,7 +41,7 @@ def area_map_by_value(bulk, api, min_score=MIN_SCORE, min_margin=MIN_MARGIN) ->
     scores = stored(score_codes(left, right, min_score, min_margin), "area-scores")
     ambiguous = scores.filter("outcome = 'ambiguous'").select("code_left")
     if not ambiguous.isEmpty():
-        _none_of(candidates_for(ambiguous, left, right).orderBy("code_left", "rank"), "Ambiguous area matches")
+        refuse_rows(candidates_for(ambiguous, left, right), "Ambiguous area matches")
     area_map = scores.filter("outcome = 'mapped'").select(
         F.col("code_left").cast("int").alias("legacy"), F.col("code_right").alias("code")
     )
@@ -62,11 +55,11 @@ def extend_area_map(releases, area_map, expected=tuple(BULK_ONLY_AREAS)):
     Any other area without a code, and a made-up code that is already in use, is a ValueError.
     """
     spark = releases.sparkSession
-    expected_codes = spark.createDataFrame([(int(c),) for c in expected], "legacy int")
+    expected_codes = inline(spark, [(int(c),) for c in expected], "legacy int")
     codes = releases.select(F.col("REF_AREA_CODE").cast("int").alias("legacy"))
-    _none_of(missing_codes(codes, area_map, expected_codes), "Areas without a code")
+    refuse_rows(missing_codes(codes, area_map, expected_codes), "Areas without a code")
     made_up = expected_codes.withColumn("code", aggregate_code(F.col("legacy")))
-    _none_of(made_up.join(area_map.select("code"), "code", "left_semi"), "Aggregate codes already in use")
+    refuse_rows(made_up.join(area_map.select("code"), "code", "left_semi"), "Aggregate codes already in use")
     ordered = releases.withColumn("__age", release_ordinal(F.col("release_month"), F.col("release_year")))
     of_expected = ordered.join(expected_codes, F.col("REF_AREA_CODE") == F.col("legacy"), "left_semi")
     labels = first_label(of_expected, "REF_AREA_CODE", "REF_AREA_LABEL", "__age")
@@ -92,27 +85,33 @@ def unit_map_by_value(bulk, api, area_map) -> DataFrame:
         ),
         "unit-targets",
     )
-    _none_of(targets.filter("n_targets > 1"), "Ambiguous unit pairs")
+    refuse_rows(targets.filter("n_targets > 1"), "Ambiguous unit pairs")
     return targets.select(F.col("CONCEPT_CODE").alias("concept"), "letter", F.col("target").alias("unit"))
 
 
 def observed_pairs(releases: DataFrame) -> DataFrame:
     """(concept, letter, label) over all releases with the label of the earliest one."""
     age = release_ordinal(F.col("release_month"), F.col("release_year"))
-    first = F.min_by(F.struct(F.col("UNIT_LABEL").alias("label")), F.struct(age, F.col("UNIT_LABEL")))
-    return releases.groupBy(F.col("CONCEPT_CODE").alias("concept"), F.col("UNIT_CODE").alias("letter")).agg(
-        first["label"].alias("label")
-    )
+    first = F.min_by(F.struct("label"), F.struct("age", "label"))
+    # Distinct rows come by hashing; the earliest of the few that are left by sorting.
+    seen = releases.select(F.col("CONCEPT_CODE").alias("concept"), F.col("UNIT_CODE").alias("letter"), F.col("UNIT_LABEL").alias("label"), age.alias("age"))
+    return seen.distinct().groupBy("concept", "letter").agg(first["label"].alias("label"))
 
 
 def extend_unit_map(releases, matched, decisions=None) -> DataFrame:
-    """(concept, letter, unit) for every observed pair and every pair decided to have no unit."""
+    """(concept, letter, unit) for every observed pair and every pair decided to have no unit, each once.
+
+    What the values or the label of a pair say comes before a decision that it has no unit.
+    """
     spark = releases.sparkSession
-    decided = spark.createDataFrame(UNIT_DECISIONS, UNIT_MAP_SCHEMA) if decisions is None else decisions
+    decided = inline(spark, UNIT_DECISIONS, UNIT_MAP_SCHEMA) if decisions is None else decisions
     resolved = stored(resolve_attributes(observed_pairs(releases), matched, decided, ["concept", "letter"]), "unit-pairs")
-    _none_of(resolved.filter("source = 'unexplained'"), "Unit pairs nothing explains")
-    known = resolved.select("concept", "letter", "unit").unionByName(matched.select("concept", "letter", "unit"))
-    return known.unionByName(decided.filter("unit is null")).distinct()
+    refuse_rows(resolved.filter("source = 'unexplained'"), "Unit pairs nothing explains")
+    pair = ["concept", "letter"]
+    seen = matched.select(*pair, "unit")
+    seen = seen.unionByName(resolved.select(*pair, "unit").join(matched.select(*pair), pair, "left_anti"))
+    without = decided.filter("unit is null").select(*pair, "unit").distinct()
+    return seen.unionByName(without.join(seen.select(*pair), pair, "left_anti"))
 
 
 def derive_vocabulary(releases, api, anchor, min_score=MIN_SCORE, min_margin=MIN_MARGIN, decisions=None, bulk_only=None):

@@ -7,11 +7,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from macroloom.operators.metadata import newest_per_key
+from macroloom.plans.align import align_observations
+from macroloom.showcase.alignment import ALIGNED_SQL, area_map, codelists, feed
 from macroloom.showcase.documents import series_text
 from macroloom.showcase.registry import query
 from macroloom.sources import csvs, snapshots, text_lines, xml_docs
-from macroloom.work import new_folder
-from macroloom.streaming.ingest import ingest_stream, landed_stream
+from macroloom.streaming.ingest import ingest_stream, landed_stream, read_ingested
+from macroloom.work import new_folder, stored
 
 CSV_STYLE = {"header": "true", "escape": '"', "emptyValue": ""}
 
@@ -20,11 +22,14 @@ CSV_STYLE = {"header": "true", "escape": '"', "emptyValue": ""}
     SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, CASE WHEN lang = 'en' THEN NULL ELSE lang END AS lang FROM documents
 """)
 def q_csv_scan(spark, table):
-    """Texts with quotes, commas and line breaks, through a CSV file and back."""
-    folder = new_folder(spark, "csv")
+    """Texts with quotes, commas and line breaks, through CSV files and back; half of the files have another order of columns."""
     lang = F.when(F.col("lang") == "en", "n/a").otherwise(F.col("lang"))
-    table("documents").select("doc_id", "text", lang.alias("lang")).write.options(**CSV_STYLE).csv(folder)
-    return csvs.scan_observations(spark, folder)
+    docs = table("documents").select("doc_id", "text", lang.alias("lang"))
+    folders = [new_folder(spark, "csv"), new_folder(spark, "csv")]
+    english = F.coalesce(F.col("lang") == "n/a", F.lit(False))
+    docs.filter(english).write.options(**CSV_STYLE).csv(folders[0])
+    docs.filter(~english).select("lang", "doc_id", "text").write.options(**CSV_STYLE).csv(folders[1])
+    return csvs.scan_observations(spark, folders)
 
 
 @query("""
@@ -83,21 +88,23 @@ def q_fresh_snapshot(spark, table):
 
 
 @query("""
-    SELECT l_orderkey, l_linenumber, CAST(year(l_shipdate) AS INTEGER) AS release_year, l_returnflag AS flow_id,
-           CASE WHEN year(l_shipdate) = 1996 AND l_returnflag = 'A' THEN l_extendedprice * 2 ELSE l_extendedprice END AS "OBS_VALUE"
-    FROM lineitem WHERE year(l_shipdate) < 1999
+    SELECT l_orderkey, l_linenumber, CAST(year(l_shipdate) AS INTEGER) AS release_year, '9.1' AS flow_version, '1' AS schema_version,
+           CASE WHEN year(l_shipdate) = 1996 THEN l_extendedprice * 2 ELSE l_extendedprice END AS "OBS_VALUE"
+    FROM lineitem WHERE year(l_shipdate) < 1999 AND l_returnflag = 'A'
 """)
 def q_snapshot_store(spark, table):
-    """All releases are stored, one partition is replaced, and the older releases are read back."""
+    """All releases are stored under two schema versions, one partition is replaced, and one flow version is read back."""
     store = new_folder(spark, "store")
+    version = F.when(F.col("l_returnflag") == "A", "9.1").when(F.col("l_returnflag") == "R", "9.10").otherwise("9.2")
     lines = table("lineitem").select(
-        "l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("OBS_VALUE"), F.year("l_shipdate").alias("release_year"), F.col("l_returnflag").alias("flow_id")
+        "l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("OBS_VALUE"), F.year("l_shipdate").alias("release_year"), version.alias("flow_version")
     )
-    parts = ["release_year", "flow_id"]
-    snapshots.write_snapshot(lines, store, parts, ["l_orderkey"])
-    revised = lines.filter("release_year = 1996 AND flow_id = 'A'").withColumn("OBS_VALUE", F.col("OBS_VALUE") * 2)
-    snapshots.write_snapshot(revised, store, parts, ["l_orderkey"])
-    return snapshots.read_snapshot(spark, store).filter("release_year < 1999").drop("ingested_at")
+    parts = ["release_year", "flow_version", "schema_version"]
+    for schema in ("1", "2"):
+        snapshots.write_snapshot(lines.withColumn("schema_version", F.lit(schema)), store, parts, ["l_orderkey"])
+    revised = lines.filter("release_year = 1996 AND flow_version = '9.1'").withColumn("OBS_VALUE", F.col("OBS_VALUE") * 2)
+    snapshots.write_snapshot(revised.withColumn("schema_version", F.lit("1")), store, parts, ["l_orderkey"])
+    return snapshots.read_snapshot(spark, store, flow_version="9.1", schema_version="1").filter("release_year < 1999").drop("ingested_at")
 
 
 @query("SELECT event_id, user_id, 'sdr' AS sublayer FROM events WHERE event_type IN ('signup', 'error')")
@@ -113,17 +120,24 @@ def q_clear_scope(spark, table):
     return snapshots.read_snapshot(spark, store, sublayer="sdr").select("event_id", "user_id", "sublayer")
 
 
-@query("""
-    SELECT l_orderkey, l_linenumber, l_extendedprice * 2 AS "OBS_VALUE", CAST(year(l_shipdate) AS INTEGER) AS release_year FROM lineitem
+@query(f"""
+    SELECT l_orderkey, l_linenumber, "REF_AREA_CODE", "CONCEPT_LABEL", "TIME_PERIOD",
+           CASE WHEN "TIME_PERIOD" = 1996 THEN "OBS_VALUE" * 2 ELSE "OBS_VALUE" END AS "OBS_VALUE" FROM ({ALIGNED_SQL})
 """)
 def q_stream_ingest(spark, table):
-    """The lineitem file as a stream of landed files, aligned into partitions by release."""
-    lineitem = table("lineitem")
-    store, checkpoint = new_folder(spark, "stream"), new_folder(spark, "progress")
-    stream = landed_stream(spark, lineitem.inputFiles()[0].rsplit("/", 1)[0], lineitem.schema, "parquet", pathGlobFilter="lineitem.parquet")
+    """Landed files go through the alignment pipeline as a stream; then one year is landed again with other values."""
+    landing, store, checkpoint = (new_folder(spark, purpose) for purpose in ("landing", "stream", "progress"))
+    rows = feed(table)
+    lists, areas = stored(codelists(table), "codelists"), stored(area_map(table), "areas")
 
     def transform(batch):
-        return batch.select("l_orderkey", "l_linenumber", (F.col("l_extendedprice") * 2).alias("OBS_VALUE"), F.year("l_shipdate").alias("release_year"))
-
-    ingest_stream(stream, transform, store, checkpoint, ["release_year"], ["l_orderkey"]).awaitTermination()
-    return spark.read.parquet(store).select("l_orderkey", "l_linenumber", "OBS_VALUE", "release_year")
+        aligned = align_observations(batch, lists, areas, keep=["l_orderkey", "l_linenumber"])
+        return aligned.withColumn("release_year", F.col("TIME_PERIOD"))
+
+    restated = rows.filter("TIME_PERIOD = '1996'").withColumn("OBS_VALUE", (F.col("OBS_VALUE").cast("double") * 2).cast("string"))
+    for landed in (rows, restated):
+        landed.write.mode("append").parquet(landing)
+        stream = landed_stream(spark, landing, rows.schema, "parquet")
+        ingest_stream(stream, transform, store, checkpoint, ["release_year"], ["l_orderkey"]).awaitTermination()
+    newest = read_ingested(spark, store, ["l_orderkey", "l_linenumber", "REF_AREA_CODE", "CONCEPT_CODE", "UNIT_CODE", "TIME_PERIOD"])
+    return newest.select("l_orderkey", "l_linenumber", "REF_AREA_CODE", "CONCEPT_LABEL", "TIME_PERIOD", "OBS_VALUE")

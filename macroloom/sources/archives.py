@@ -67,10 +67,16 @@ def release_of_path(path):
     return month, F.nullif(F.regexp_extract(path, name, 2), F.lit("")).try_cast("int")
 
 
+def is_known_corrupt(month, year):
+    """Whether the published archive of a release is itself corrupt; false where the release is not known."""
+    either = F.lit(False)
+    for bad_month, bad_year in CORRUPT_RELEASES:
+        either = either | ((month == bad_month) & (year == bad_year))
+    return F.coalesce(either, F.lit(False))
+
+
 def with_verdict(report: DataFrame, known_corrupt=None) -> DataFrame:
     """Add ``verdict`` and ``is_retryable``; the published copy of some releases is itself corrupt."""
-    if known_corrupt is None:
-        known_corrupt = report.sparkSession.createDataFrame(CORRUPT_RELEASES, "month string, year int")
     verdict = (
         F.when(~F.col("is_zip"), "not a zip")
         .when(F.col("bad_member").isNotNull(), "bad member")
@@ -79,6 +85,8 @@ def with_verdict(report: DataFrame, known_corrupt=None) -> DataFrame:
     )
     month, year = release_of_path(F.col("path"))
     labelled = report.withColumns({"verdict": verdict, "month": month, "year": year})
+    if known_corrupt is None:
+        return labelled.withColumn("is_retryable", ~is_known_corrupt(F.col("month"), F.col("year")))
     corrupt = known_corrupt.select("month", "year", F.lit(True).alias("__corrupt"))
     joined = labelled.join(corrupt, ["month", "year"], "left")
     return joined.withColumn("is_retryable", F.col("__corrupt").isNull()).drop("__corrupt")

@@ -1,7 +1,12 @@
 """CSV scans. Every cell is read as text; types are assigned by the pipelines."""
 
+import re
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from macroloom.functions.text import null_if_in
 from macroloom.operators.observations import drop_envelope, named, plain_headers
@@ -9,23 +14,52 @@ from macroloom.schema import MISSING_TOKENS
 from macroloom.sources.text_lines import scan_lines
 
 
-def has_multi_line_cells(spark: SparkSession, path) -> bool:
-    """True when some cell spans lines, which shows as a line with an odd number of quotes."""
+def file_forms(spark: SparkSession, path) -> list:
+    """(file, header line, whether some cell spans lines) of every file: one row each, from one text scan.
+
+    A cell that spans lines shows as a line with an odd number of quotes.
+    """
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq")).alias("at"),
+        "value",
+        (quotes % 2 == 1).alias("open"),
+    )
+    header = F.regexp_replace(F.min_by("value", "at"), "^\ufeff", "")
+    return lines.groupBy("file").agg(header.alias("header"), F.max("open").alias("multi_line")).orderBy("file").collect()
+
+
+def _of_one_header(spark: SparkSession, files: list, header: str, multi_line: bool) -> DataFrame:
+    names = spark.range(1).select(csv_cells(F.lit(header)).alias("c")).first()[0]
+    names = [n or f"_c{i}" for i, n in enumerate(names)]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "__broken"]])
+    df = spark.read.schema(schema).option("columnPruning", "false").csv(
+        files, header=True, multiLine=multi_line, quote='"', escape='"', encoding="UTF-8", columnNameOfCorruptRecord="__broken"
+    )
+    # Short rows end in nulls; a row with more cells than the header names cannot be placed.
+    too_long = F.size(csv_cells(F.rtrim("__broken"))) > len(names)
+    message = F.concat(F.lit(f"more than {len(names)} cells in a row: "), F.col("__broken"))
+    checked = F.when(F.col("__broken").isNull() | ~too_long, True).otherwise(F.raise_error(message).cast("boolean"))
+    return df.filter(checked).drop("__broken")
 
 
 def read_text_csv(spark: SparkSession, path, multi_line=None) -> DataFrame:
     """CSV with a header and doubled quotes; an empty cell is null and nothing else is.
 
-    A file with cells that span lines cannot be split between tasks. With ``multi_line=None`` a
-    text scan finds out whether there is any such cell, and only then files are read whole.
+    Every file is read by its own header, which is one line; columns that only some files have are
+    null in the others. A row with more cells than its header is an error. Files with cells that
+    span lines cannot be split between tasks and are read whole, the others are split;
+    ``multi_line`` decides it for all files instead.
     """
-    if multi_line is None:
-        multi_line = has_multi_line_cells(spark, path)
-    return spark.read.csv(
-        path, header=True, inferSchema=False, multiLine=multi_line, quote='"', escape='"', encoding="UTF-8"
-    )
+    forms: dict = {}
+    for file, header, spans in file_forms(spark, path):
+        name = re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(file))
+        forms.setdefault((header, spans if multi_line is None else multi_line), []).append(name)
+    if not forms:
+        return spark.read.csv(path, header=True)
+    parts = [_of_one_header(spark, files, header, spans) for (header, spans), files in forms.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def scan_observations(spark: SparkSession, path, multi_line=None) -> DataFrame:

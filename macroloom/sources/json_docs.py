@@ -23,10 +23,10 @@ def explode_codes(df: DataFrame, keys, codes: Column) -> DataFrame:
 
 
 def scan_codelists(spark: SparkSession, folder: str) -> DataFrame:
-    """(agency, codelist_id, code, label) from landed ``<agency>/<id>.json`` files."""
+    """(agency, codelist_id, code, label) from landed ``<agency>/<id>.json`` files. A broken document fails the scan."""
     path = F.col("_metadata.file_path")
     docs = spark.read.json(
-        folder, schema=f"data {CODELIST_MESSAGE}", multiLine=True, recursiveFileLookup=True, pathGlobFilter="*.json"
+        folder, schema=f"data {CODELIST_MESSAGE}", multiLine=True, recursiveFileLookup=True, pathGlobFilter="*.json", mode="FAILFAST"
     ).select(
         F.regexp_extract(path, r"([^/]+)/([^/]+)\.json$", 1).alias("agency"),
         F.regexp_extract(path, r"([^/]+)/([^/]+)\.json$", 2).alias("codelist_id"),
@@ -36,8 +36,8 @@ def scan_codelists(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scan_catalogue(spark: SparkSession, path) -> DataFrame:
-    """(pos, flow_id, version) of every dataflow the catalogue lists."""
-    doc = spark.read.json(path, schema=f"data {CATALOGUE_MESSAGE}", multiLine=True)
+    """(pos, flow_id, version) of every dataflow the catalogue lists. A broken document fails the scan."""
+    doc = spark.read.json(path, schema=f"data {CATALOGUE_MESSAGE}", multiLine=True, mode="FAILFAST")
     return doc.select(F.posexplode("data.dataflows").alias("pos", "flow")).select(
         "pos", F.col("flow.id").alias("flow_id"), F.coalesce(F.col("flow.version"), F.lit("")).alias("version")
     )

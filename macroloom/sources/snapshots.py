@@ -10,11 +10,13 @@ import logging
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from macroloom.operators.observations import named
 
 log = logging.getLogger(__name__)
 PARTITIONS = ["sublayer", "release_year", "release_month", "flow_id", "flow_version", "schema_version"]
+PARTITION_TYPES = {p: T.IntegerType() if p == "release_year" else T.StringType() for p in PARTITIONS}
 SCHEMA_VERSION = "1"
 # Snapshot lifetimes in seconds: mapping, announcement date, data.
 HOUR, DAY, WEEK = 3_600, 86_400, 604_800
@@ -45,8 +47,14 @@ def write_snapshot(df: DataFrame, root: str, partitions=tuple(PARTITIONS), sort_
 
 
 def read_snapshot(spark: SparkSession, root: str, **keys) -> DataFrame:
-    """Snapshots with the given partition values; other partitions are pruned."""
-    df = spark.read.option("basePath", root).parquet(root)
+    """Snapshots with the given partition values; other partitions are pruned.
+
+    The partition columns have set types. Inferred ones would take the flow versions 9.1 and 9.10
+    for the same number.
+    """
+    found = spark.read.option("basePath", root).parquet(root).schema
+    fields = [T.StructField(f.name, PARTITION_TYPES.get(f.name, f.dataType)) for f in found]
+    df = spark.read.option("basePath", root).schema(T.StructType(fields)).parquet(root)
     for column, wanted in keys.items():
         df = df.filter(named(column) == F.lit(wanted))
     return df

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from macroloom.schema import BULK_OBS_ATTRIBUTES, BULK_SERIES_ATTRIBUTES
 
 # Attribute names are kept bare, and their text is kept as it is.
-XML_OPTIONS = {"attributePrefix": "", "ignoreSurroundingSpaces": "false", "rowTag": "Series"}
+XML_OPTIONS = {"attributePrefix": "", "ignoreSurroundingSpaces": "false", "rowTag": "Series", "mode": "FAILFAST"}
 SIMPLE_TYPE = (
     "_name string, `xs:restriction` struct<`xs:enumeration`: array<struct<_value: string,"
     " `xs:annotation`: struct<`xs:documentation`: string>>>>"
@@ -19,7 +19,7 @@ def series_type(series_attributes=tuple(BULK_SERIES_ATTRIBUTES), obs_attributes=
 
 
 def parse_series(xml: Column, **attributes) -> Column:
-    """One ``<Series>`` element as a struct."""
+    """One ``<Series>`` element as a struct. A malformed one fails the job: dropping it would lose its observations."""
     return F.from_xml(xml, series_type(**attributes), XML_OPTIONS)
 
 
@@ -67,9 +67,9 @@ def enumerations(raw: DataFrame, keep=()) -> DataFrame:
 
 def scan_schema_codes(spark: SparkSession, path) -> DataFrame:
     """Code lists of unpacked schema files."""
-    reader = spark.read.format("xml").option("rowTag", "xs:simpleType").schema(SIMPLE_TYPE)
+    reader = spark.read.format("xml").option("rowTag", "xs:simpleType").option("mode", "FAILFAST").schema(SIMPLE_TYPE)
     return enumerations(reader.load(path))
 
 
 def parse_simple_type(xml: Column) -> Column:
-    return F.from_xml(xml, SIMPLE_TYPE, {"rowTag": "xs:simpleType"})
+    return F.from_xml(xml, SIMPLE_TYPE, {"rowTag": "xs:simpleType", "mode": "FAILFAST"})

@@ -1,6 +1,7 @@
 """Incremental ingest: files that land are aligned once and become snapshot partitions."""
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,19 @@ def landed_stream(spark: SparkSession, path: str, schema, fmt="csv", files_per_t
     return reader.load(path)
 
 
+def read_ingested(spark: SparkSession, store: str, observation: Sequence[str]) -> DataFrame:
+    """What the stream has stored, each observation as the newest batch that holds it has it.
+
+    ``observation`` names the columns that tell observations apart. A restated file replaces the
+    observations it repeats; a late file only adds its own.
+    """
+    rows = spark.read.option("basePath", store).parquet(store)
+    newest = rows.groupBy(*observation).agg(F.max("batch").alias("__newest"))
+    newest = newest.toDF(*[f"__{c}" for c in observation], "__newest")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in observation])
+    return rows.join(newest, same & (F.col("batch") == F.col("__newest")), "left_semi")
+
+
 def ingest_stream(
     stream: DataFrame,
     transform: Callable[[DataFrame], DataFrame],
@@ -30,7 +44,7 @@ def ingest_stream(
     partition column, so a batch that is run again after a failure overwrites what its first run
     left, and rows of one release that land in different batches do not replace each other.
     """
-    keys = [*partitions, "batch"]
+    keys = [*partitions, "batch"]  # ``read_ingested`` tells restated rows from rows that came late
 
     def write(batch: DataFrame, batch_id: int):
         frame = transform(batch).withColumn("batch", F.lit(batch_id))

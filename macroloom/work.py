@@ -6,6 +6,7 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 _local_root = None
@@ -45,13 +46,45 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the input has fewer splits than the cluster has cores.
+    """Rows dealt evenly over as many partitions as this session's shuffles have.
 
-    For parsing that costs far more than a shuffle of its input. Inputs of many splits, which is
-    what large inputs are, stay as they are.
+    For parsing that costs far more than a shuffle of its input.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def inline(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """A handful of rows as an inline relation.
+
+    Unlike a frame made of a Python list its size is known to the planner, so that joining it does
+    not shuffle the other side.
+    """
+    columns = T.StructType.fromDDL(schema)
+    if not rows:
+        return spark.createDataFrame([], columns)
+
+    def literal(value):
+        if value is None:
+            return "NULL"
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(value, str) else repr(value)
+
+    values = ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
+    names = ", ".join(f"`{c.name}`" for c in columns)
+    found = spark.sql(f"SELECT * FROM VALUES {values} AS rows({names})")
+    return found.select(*[F.col(f"`{c.name}`").cast(c.dataType).alias(c.name) for c in columns])
+
+
+def refuse_rows(df: DataFrame, message: str, error: type[Exception] = ValueError) -> None:
+    """Raises ``error`` if the frame has rows, with their exact number and where all of them are written.
+
+    The message lists the first rows in order too, as many as fit on a screen; the table has the rest.
+    """
+    if df.isEmpty():
+        return
+    table = stored(df, "refused")
+    number = table.count()
+    listed = [tuple(r) if len(df.columns) > 1 else r[0] for r in table.orderBy(*table.columns).limit(100).collect()]
+    raise error(f"{message}: {listed} ({number} in all, in {table.inputFiles()[0].rsplit('/', 1)[0]})")
 
 
 def landed(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:

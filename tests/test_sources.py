@@ -50,14 +50,15 @@ def zipped(*members):
 
 def test_observation_scan_nulls_missing_tokens(spark, tmp_path):
     path = write(tmp_path / "o.csv", 'COUNTRY,OBS_VALUE,NOTE\nUSA,1.5,"a ""b"" c"\nBEL,n/a,NA\nDEU,,"two\nlines"\n')
-    assert csvs.has_multi_line_cells(spark, path)
+    assert [r.multi_line for r in csvs.file_forms(spark, path)] == [True]
     assert rows(csvs.scan_observations(spark, path)) == [
         ("BEL", None, None), ("DEU", None, "two\nlines"), ("USA", "1.5", 'a "b" c'),
     ]
 
 
 def test_single_line_file_stays_splittable(spark, tmp_path):
-    assert not csvs.has_multi_line_cells(spark, write(tmp_path / "o.csv", 'A,B\n1,"x ""y"""\n'))
+    forms = csvs.file_forms(spark, write(tmp_path / "o.csv", 'A,B\n1,"x ""y"""\n'))
+    assert [(r.header, r.multi_line) for r in forms] == [("A,B", False)]
 
 
 def test_sidecar_envelope_and_headers(spark, tmp_path):
