@@ -20,8 +20,8 @@ from macroloom.llm.decontaminate import words_of
 SHINGLE, THRESHOLD = 5, 0.8
 #: A pair of the least similarity has no common band once in (1 - 0.8**5)**-28 = 66,000 times.
 BANDS, ROWS = 28, 5
-#: Turns of further leaders at most, before the pairs that are left are compared one by one.
-TURNS = 8
+#: Turns of further leaders at most, before what they leave open is compared in blocks of about SIDE documents.
+TURNS, SIDE = 3, 256
 #: Distinct words whose hashes a task keeps.
 STORE_WORDS = 500_000
 
@@ -159,6 +159,54 @@ def region_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["id", "regions"])
 
 
+def shared_regions(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """Number of regions that each document of one side shares with each of the other, some thousand regions at a time."""
+    sizes = np.array([len(x) for x in one + other])
+    names, codes = np.unique(np.concatenate(one + other), return_inverse=True)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(codes, kind="stable")
+    codes, owner = codes[order], owner[order]
+    out = np.zeros((len(one), len(other)), np.float32)
+    for start in range(0, len(names), 8192):
+        a, b = np.searchsorted(codes, (start, start + 8192))
+        held = np.zeros((len(sizes), 8192), np.float32)
+        held[owner[a:b], codes[a:b] - start] = 1
+        out += held[: len(one)] @ held[len(one) :].T
+    return out
+
+
+def face_batches(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """(band, whether both are one, block of a bucket, other block) to links (a, b), one for each two components.
+
+    Two documents are compared in the first band that they share, if their components differ and
+    neither weights nor distances to the bucket's leader rule a link out.
+    """
+    for batch in batches:
+        for band, same, one, other in zip(*(batch.column(i) for i in range(4))):
+            sides = [one.values, other.values]
+            rep, component, weight, far = ([x.field(n).to_numpy(zero_copy_only=False) for x in sides] for n in ("rep", "component", "weight", "far"))
+            keys = [x.field("keys").flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1) for x in sides]
+            asked = component[0][:, None] != component[1][None, :]
+            asked &= np.abs(far[0][:, None] - far[1][None, :]) <= 1 - threshold + 1e-9
+            asked &= np.minimum(weight[0][:, None], weight[1][None, :]) >= (threshold - 1e-9) * np.maximum(weight[0][:, None], weight[1][None, :])
+            for earlier in range(band.as_py()):
+                asked &= keys[0][:, earlier][:, None] != keys[1][:, earlier][None, :]
+            if same.as_py():
+                asked = np.triu(asked, 1)
+            rows, columns = (np.flatnonzero(asked.any(axis)) for axis in (1, 0))
+            if not len(rows):
+                continue
+            lists = [[x.field("regions")[int(i)].values.to_numpy() for i in some] for x, some in zip(sides, (rows, columns))]
+            shared = shared_regions(*lists)
+            total = weight[0][rows][:, None] + weight[1][columns][None, :] - shared
+            i, j = np.nonzero(asked[np.ix_(rows, columns)] & (shared >= threshold * total))
+            if not len(i):
+                continue
+            a, b = rows[i], columns[j]
+            _, first = np.unique(np.stack([component[0][a], component[1][b]]), axis=1, return_index=True)
+            yield pa.RecordBatch.from_arrays([pa.array(rep[0][a[first]]), pa.array(rep[1][b[first]])], names=["a", "b"])
+
+
 def similarities(pairs: DataFrame, regions: DataFrame) -> DataFrame:
     """(a, b, similarity) of pairs: exact weighted Jaccard similarity, as shared over all unit regions."""
     one = regions.select(F.col("id").alias("a"), F.col("regions").alias("of_a"))
@@ -209,9 +257,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     bands of their signatures. In a bucket all members are compared with its least one, not with
     each other. While that leaves many pairs of a bucket in different components, members of other
     components than a further one, chosen by a hash, are compared with that one, which joins most
-    large groups. What is then left in different components is compared pair by pair, unless known
-    distances to the least member rule a link out by the triangle inequality; so every pair that
-    meets is linked, of one component, or known not to be similar. All comparisons are exact.
+    large groups. What is then left of a bucket in different components is compared in blocks, unless
+    known distances to the least member rule a link out by the triangle inequality; so every pair
+    that meets is linked, of one component, or known not to be similar. All comparisons are exact.
 
     Documents without words (null, empty) link with nothing. Repeated rows have equal words and are
     one class; different texts under one id are one document with both texts' links. A row with a
@@ -241,9 +289,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     asked = judged.select("a", "b")
     for turn in range(TURNS):
         open_pairs = members.join(classes, "rep").groupBy("band", "key", "component").agg(F.count("*").alias("n"))
-        open_pairs = open_pairs.groupBy("band", "key").agg((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("ordered"))
-        left, limit = open_pairs.agg(F.sum("ordered"), F.count("*")).first()
-        if (left or 0) <= limit:
+        open_pairs = open_pairs.groupBy("band", "key").agg(F.sum("n").alias("n"), (F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("ordered"))
+        left, all_members = open_pairs.agg(F.sum("ordered"), F.sum("n")).first()
+        if (left or 0) <= 2 * (all_members or 0):  # no more pairs than members: as many comparisons as a turn
             break
         pairs = _with_other_leaders(members, classes, turn).join(asked, ["a", "b"], "left_anti")
         found = stored(similarities(pairs, regions), f"neardup-turn{turn}")
@@ -256,26 +304,16 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     far = judged.select(F.col("a").alias("rep"), F.col("b").alias("leader"), (1 - F.col("similarity")).alias("far"))
     placed = members.join(classes, "rep")
     mixed = placed.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-    inside = placed.join(mixed.where("low != high and n > 2").select("band", "key"), ["band", "key"])
-    home = inside.where("rep = leader").select("band", "key", F.col("component").alias("home"))
-    inside = stored(inside.where("rep != leader").join(far, ["rep", "leader"]).join(home, ["band", "key"]), "neardup-mixed")
-    strays = inside.where("component != home").select(
-        "band", "key", F.col("rep").alias("a"), F.col("weight").alias("weight_a"), F.col("component").alias("component_a"), F.col("far").alias("far_a")
-    )
-    slack = 1 - threshold + 1e-9
-    more = (
-        strays.join(inside, ["band", "key"])
-        .where(
-            (F.col("component") != F.col("component_a"))
-            & (F.abs(F.col("far") - F.col("far_a")) <= slack)
-            & (F.least("weight", "weight_a") >= (threshold - 1e-9) * F.greatest("weight", "weight_a"))
-        )
-        .select(F.greatest("a", "rep").alias("a"), F.least("a", "rep").alias("b"))
-        .distinct()
-        .join(asked, ["a", "b"], "left_anti")
-    )
-    found = stored(similarities(more, regions), "neardup-more")
-    classes = _united(classes, links.union(found.where(F.col("similarity") >= threshold).select("a", "b")))
+    mixed = mixed.where("low != high and n > 2").select("band", "key", F.ceil(F.col("n") / SIDE).alias("blocks"))
+    inside = placed.where("rep != leader").join(mixed, ["band", "key"]).join(far, ["rep", "leader"])
+    whole = inside.join(regions.withColumnRenamed("id", "rep"), "rep").join(unique.select("rep", "keys"), "rep")
+    member = F.struct("rep", "component", "weight", "far", "keys", "regions")
+    blocks = whole.groupBy("band", "key", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("blocks")).alias("block")).agg(F.collect_list(member).alias("members"))
+    blocks = stored(blocks, "neardup-blocks")
+    other = blocks.select("band", "key", F.col("block").alias("other_block"), F.col("members").alias("others"))
+    facing = blocks.join(other, ["band", "key"]).where("block <= other_block").select("band", F.col("block").eqNullSafe(F.col("other_block")).alias("same"), "members", "others")
+    found = stored(facing.mapInArrow(lambda b: face_batches(b, threshold), f"a {kind}, b {kind}"), "neardup-more")
+    classes = _united(classes, links.union(found))
     final = classes.select("rep", F.col("component").alias("component_id"))
 
     named = unique.select("digest", "rep").join(final, "rep", "left").select("digest", F.coalesce("component_id", "rep").alias("component_id"))
