@@ -14,7 +14,7 @@ from macroloom.llm.common import portions, stored
 #: Bytes of a repeated string.
 LENGTH = 50
 #: Bytes of the strings that name the initial buckets. A string of LENGTH bytes holds REACH of them.
-FIRST = 20
+FIRST = 24
 REACH = LENGTH - FIRST + 1
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
@@ -135,7 +135,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """(id, n_bytes, spans, kept) of every document: ``spans`` of bytes covered by a 50-byte string that
     also starts in a document of a smaller id, merged where they touch, and the bytes kept.
 
-    Suffixes are put into buckets by their first 20 bytes. Of the 31 such buckets within a 50-byte
+    Suffixes are put into buckets by their first 24 bytes. Of the 27 such buckets within a 50-byte
     string the one of least name stands for the string, so that neighbouring strings mostly share
     one and travel as one run, with a name of all the bytes it covers. Buckets are names instead of
     ranks: a name of twice the length is made of the names at two offsets, as refinement by the
@@ -172,6 +172,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .where(F.col("earliest") < F.col("id"))
         .select("id", "first", (F.col("first") + LENGTH).alias("after"))
     )
+    again = stored(again, "repeats-strings")  # frees the shuffled texts and strings before spans are gathered
     spans = stored(settled.union(again).groupBy("id").agg(F.collect_list(F.struct("first", "after")).alias("spans")), "repeats-spans")
     schema = f"id {kind}, n_bytes long, spans array<struct<first:int,after:int>>, kept binary"
     return rows.join(spans, "id", "left").select("id", "text", "spans").mapInArrow(cut_batches, schema).withColumnRenamed("id", id_column)
