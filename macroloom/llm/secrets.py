@@ -9,6 +9,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from macroloom.llm.common import stored
+
 #: What a finding is replaced with.
 MASK = "[SECRET]"
 #: Built-in labelled findings of each kind, trees of the forest and their depth.
@@ -160,7 +162,8 @@ def find_secrets(
     with its most suspicious surroundings. Null and empty texts have none; repeated rows are one
     document. Other columns are ignored; ``words`` is a dictionary as ``dictionary`` gives it.
     """
-    judged = model.transform(features(candidates(docs, id_column, text_column, source_column), words))
+    found = stored(candidates(docs, id_column, text_column, source_column), "secret-candidates")  # read twice below
+    judged = model.transform(features(found, words))
     scored = judged.select("id", F.col("value").alias("secret"), vector_to_array("probability")[1].alias("probability")).where(F.col("probability") >= least)
     return scored.groupBy("id", "secret").agg(F.max("probability").alias("probability")).withColumnRenamed("id", id_column)
 
