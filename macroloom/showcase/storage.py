@@ -11,7 +11,7 @@ from macroloom.plans.align import align_observations
 from macroloom.showcase.alignment import ALIGNED_SQL, area_map, codelists, feed
 from macroloom.showcase.documents import series_text
 from macroloom.showcase.registry import query
-from macroloom.sources import csvs, snapshots, text_lines, xml_docs
+from macroloom.sources import csvs, json_docs, snapshots, text_lines, xml_docs
 from macroloom.streaming.ingest import ingest_stream, landed_stream, read_ingested
 from macroloom.work import new_folder, stored
 
@@ -32,6 +32,27 @@ def q_csv_scan(spark, table):
     return csvs.scan_observations(spark, folders)
 
 
+@query("SELECT 'agency=' || c_nationkey AS agency, CAST(c_custkey AS VARCHAR) AS code, c_mktsegment AS label FROM customer")
+def q_codelist_scan(spark, table):
+    """One landed code list document per nation, with its customers as codes; file names are Spark's own."""
+    folder = new_folder(spark, "codelists")
+    entry = F.struct(F.col("c_custkey").cast("string").alias("id"), F.col("c_mktsegment").alias("name"))
+    lists = table("customer").groupBy(F.col("c_nationkey").alias("agency")).agg(F.collect_list(entry).alias("codes"))
+    message = F.struct(F.array(F.struct("codes")).alias("codelists")).alias("data")
+    lists.select("agency", message).write.partitionBy("agency").json(folder)
+    return json_docs.scan_codelists(spark, folder).select("agency", "code", "label")
+
+
+@query("SELECT CAST(row_number() OVER (ORDER BY n_nationkey) - 1 AS INTEGER) AS pos, n_name AS flow_id, CAST(n_regionkey AS VARCHAR) AS version FROM nation")
+def q_catalogue_scan(spark, table):
+    """A landed catalogue document that lists every nation as a dataflow."""
+    folder = new_folder(spark, "catalogue")
+    flow = F.struct("n_nationkey", F.col("n_name").alias("id"), F.col("n_regionkey").cast("string").alias("version"))
+    flows = F.array_sort(F.collect_list(flow)).alias("dataflows")
+    table("nation").agg(flows).select(F.struct("dataflows").alias("data")).write.json(folder)
+    return json_docs.scan_catalogue(spark, folder)
+
+
 @query("""
     SELECT CAST(c_custkey AS VARCHAR) AS "COUNTRY", 'n/a' AS "INDICATOR", CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS "TOPIC" FROM customer
 """)
