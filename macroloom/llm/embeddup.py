@@ -1,13 +1,10 @@
-"""Near-duplicate embeddings by NN-descent over neighbour lists, with exact counts per component."""
+"""Near-duplicate embeddings: every pair of vectors of a label is compared, tile by tile."""
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from macroloom.llm.common import stored
@@ -15,14 +12,12 @@ from macroloom.llm.components import components
 
 #: Least cosine of a link.
 THRESHOLD = 0.98
-#: Neighbours of a list at first, and most after enlarging; what lists of that length leave out is counted in blocks.
-SHORTEST, LONGEST = 8, 64
-#: Orders by random hyperplanes from which the first lists come, and neighbours taken from each.
-TABLES, NEXT = 6, 2
-#: Rounds of the descent between two audits, vectors an audit asks for, recall it demands, and audits at most.
-ROUNDS, ASKED, RECALL, AUDITS = 3, 1000, 0.98, 3
-#: Vectors of a block in exact counts (in expectation).
-BLOCK = 1024
+#: Share of links that are found: no pair of a label goes uncompared.
+RECALL = 1.0
+#: Vectors of the one block of a small label; blocks grow with the square root of the label from there.
+BLOCK = 256
+#: Numbers that the vectors of a block have together, and cosines that are held at once, at most (in expectation).
+NUMBERS, CELLS = 1 << 21, 1 << 22
 
 
 def unit_rows(vectors: pa.Array) -> np.ndarray:
@@ -35,127 +30,60 @@ def unit_rows(vectors: pa.Array) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(1, keepdims=True))
 
 
-def plane_batches(batches: Iterator[pa.RecordBatch], bits: int, first: int, tables: int) -> Iterator[pa.RecordBatch]:
-    """(rep, label, vec) to (rep, label, dim, table, key, place): the side of random planes, and a projection, by table."""
-    planes: dict[int, np.ndarray] = {}
-    for batch in batches:
-        dims = np.array([len(v) for v in batch.column(2)])
-        for dim in np.unique(dims).tolist():
-            some = batch.take(pa.array(np.flatnonzero(dims == dim)))
-            if dim not in planes:
-                planes[dim] = np.stack([np.random.default_rng([table, dim]).standard_normal((dim, bits + 1)) for table in range(first, first + tables)])
-            sides = np.einsum("nd,tdb->tnb", unit_rows(some.column(2)), planes[dim])
-            keys = ((sides[:, :, :bits] > 0) * (1 << np.arange(bits))).sum(2)
-            n = some.num_rows
-            columns = [pa.concat_arrays([some.column(i)] * tables) for i in (0, 1)]
-            columns += [pa.array(np.full(n * tables, dim), pa.int32()), pa.array(np.repeat(np.arange(first, first + tables), n), pa.int32())]
-            columns += [pa.array(keys.ravel(), pa.int64()), pa.array(sides[:, :, bits].ravel())]
-            yield pa.RecordBatch.from_arrays(columns, names=["rep", "label", "dim", "table", "key", "place"])
-
-
-def meet_batches(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """(members of one neighbourhood: id, fresh, floor, vec) to (a, b, cosine) of pairs with a fresh member.
-
-    Each member gets its ``most`` nearest here, of which the cosine is above the least of its list.
+def linked_pairs(rows: np.ndarray, others: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs of unit rows link. Cosines in single precision decide, but for those within its error of the threshold."""
+    cosine = rows.astype(np.float32) @ others.astype(np.float32).T
+    linked = cosine >= threshold
+    unsure = np.argwhere(np.abs(cosine - np.float32(threshold)) <= (rows.shape[1] + 8) * 2.0**-23)
+    for i in range(0, len(unsure), 1 << 16):
+        a, b = unsure[i : i + (1 << 16)].T
+        linked[a, b] = np.einsum("nd,nd->n", rows[a], others[b]) >= threshold
+    return linked
+
+
+def tile_links(tile: pa.Table, threshold: float) -> pa.Table:
+    """(i, j, block, rep, copies, vec) of two blocks i, j, or of one against itself, to (rep, n, root) of vectors that link.
+
+    ``n`` counts the links between the blocks, repeated vectors each; ``root`` is the least id that
+    these links lead to, so that a tile of n vectors gives n rows, however many pairs link.
     """
-    for batch in batches:
-        out = []
-        for group in batch.column(0):
-            values = group.values
-            ids, fresh, floor = (values.field(n).to_numpy(zero_copy_only=False) for n in ("id", "fresh", "floor"))
-            rows = unit_rows(values.field("vec"))
-            cosine = rows @ rows.T
-            asked = fresh[:, None] | fresh[None, :]
-            asked &= (ids[:, None] != ids[None, :]) & (cosine > floor[:, None])
-            a, b = np.nonzero(asked)
-            if len(a) > most * len(ids):
-                order = np.lexsort((-cosine[a, b], a))
-                a, b = a[order], b[order]
-                begin = np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1])))
-                rank = np.arange(len(a)) - np.repeat(begin, np.diff(np.append(begin, len(a))))
-                a, b = a[rank < most], b[rank < most]
-            out.append((ids[a], ids[b], cosine[a, b]))
-        a, b, c = (np.concatenate([x[i] for x in out]) if out else np.zeros(0) for i in range(3))
-        for i in range(0, max(1, len(a)), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(a[i : i + (1 << 16)].astype(np.int64)), pa.array(b[i : i + (1 << 16)].astype(np.int64)), pa.array(c[i : i + (1 << 16)].astype(np.float64))], names=["a", "b", "cosine"])
-
-
-def count_batches(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """(one block, other block) of a component to (rep, links to the other block's vectors)."""
-    for batch in batches:
-        for one, other in zip(batch.column(0), batch.column(1)):
-            a, b = one.values, other.values
-            ids, others = (x.field("rep").to_numpy(zero_copy_only=False) for x in (a, b))
-            linked = unit_rows(a.field("vec")) @ unit_rows(b.field("vec")).T >= threshold
-            linked &= ids[:, None] != others[None, :]
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(linked @ b.field("copies").to_numpy(zero_copy_only=False))], names=["rep", "n"])
-
-
-def audit_batches(batches: Iterator[pa.RecordBatch], asked: list[tuple], threshold: float) -> Iterator[pa.RecordBatch]:
-    """(rep, label, vec, component) against the asked (same four): (links, links inside one component)."""
-    by: dict[tuple, list[tuple]] = {}
-    for q in asked:
-        by.setdefault((q[1], len(q[2])), []).append(q)
-    for batch in batches:
-        links = inside = 0
-        dims = np.array([len(v) for v in batch.column(2)])
-        labels = batch.column(1).to_numpy(zero_copy_only=False)
-        for (label, dim), questions in by.items():
-            some = batch.take(pa.array(np.flatnonzero((labels == label) & (dims == dim))))
-            if some.num_rows:
-                rows = unit_rows(pa.array([q[2] for q in questions], pa.list_(pa.float64()))) @ unit_rows(some.column(2)).T >= threshold
-                rows &= np.array([q[0] for q in questions])[:, None] != some.column(0).to_numpy()[None, :]
-                same = np.array([q[3] for q in questions])[:, None] == some.column(3).to_numpy()[None, :]
-                links, inside = links + int(rows.sum()), inside + int((rows & same).sum())
-        yield pa.RecordBatch.from_arrays([pa.array([links], pa.int64()), pa.array([inside], pa.int64())], names=["links", "inside"])
-
-
-def _meet(near: DataFrame, reps: DataFrame, floors: DataFrame | None, most: int) -> DataFrame:
-    """Cosines inside the neighbourhoods ``near`` (pivot, id, fresh)."""
-    with_vectors = near.join(reps.select(F.col("rep").alias("id"), "vec"), "id")
-    with_vectors = with_vectors.withColumn("floor", F.lit(-1.0)) if floors is None else with_vectors.join(floors, "id", "left").fillna(-1.0, ["floor"])
-    grouped = with_vectors.groupBy("pivot").agg(F.collect_list(F.struct("id", "fresh", "floor", "vec")).alias("members")).select("members")
-    return grouped.mapInArrow(lambda b: meet_batches(b, most), "a long, b long, cosine double")
-
-
-def _merged(lists: DataFrame, found: DataFrame, threshold: float) -> DataFrame:
-    """Lists (a, b, cosine, fresh, room) after taking in what was found; a list full of links gets twice the room."""
-    new = found.select("a", "b", "cosine", F.lit(True).alias("fresh"), F.lit(SHORTEST).alias("room"))
-    each = lists.union(new).groupBy("a", "b").agg(F.max("cosine").alias("cosine"), F.min("fresh").alias("fresh"), F.max("room").alias("room"))
-    own = Window.partitionBy("a")
-    each = each.withColumn("room", F.max("room").over(own)).withColumn("close", F.sum((F.col("cosine") >= threshold).cast("int")).over(own))
-    each = each.withColumn("room", F.when(F.col("close") >= F.col("room"), F.least(2 * F.col("room"), F.lit(LONGEST))).otherwise(F.col("room")))
-    ranked = each.withColumn("place", F.row_number().over(own.orderBy(F.desc("cosine"), "b")))
-    return ranked.where("place <= room").select("a", "b", "cosine", "fresh", "room")
-
-
-def _descend(lists: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
-    """One round: members of each vector's list, and of the lists that it is in, meet each other."""
-    back = lists.withColumn("place", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("cosine"), "a")))
-    back = back.where("place <= room").select(F.col("b").alias("pivot"), F.col("a").alias("id"), "fresh")
-    near = lists.select(F.col("a").alias("pivot"), F.col("b").alias("id"), "fresh").union(back)
-    near = near.groupBy("pivot", "id").agg(F.max("fresh").alias("fresh"))
-    full = lists.groupBy("a").agg(F.min("cosine").alias("least"), F.count("*").alias("n"), F.max("room").alias("room"))
-    floors = full.where("n >= room").select(F.col("a").alias("id"), F.col("least").alias("floor"))
-    found = _meet(near, reps, floors, SHORTEST)
-    return stored(_merged(lists.withColumn("fresh", F.lit(False)), found, threshold), "embeddup-lists")
+    tile = tile.combine_chunks()
+    i, j = tile.column("i")[0].as_py(), tile.column("j")[0].as_py()
+    block, ids, copies = (tile.column(c).to_numpy() for c in ("block", "rep", "copies"))
+    rows = unit_rows(tile.column("vec").combine_chunks())
+    one, other = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    roots, counts, weights = ids.copy(), np.zeros(len(ids)), copies.astype(np.float64)
+    step = max(1, CELLS // max(1, len(other)))
+    for start in range(0, len(one), step):
+        part = one[start : start + step]
+        linked = linked_pairs(rows[part], rows[other], threshold)
+        linked &= ids[part][:, None] != ids[other][None, :]
+        some = np.flatnonzero(linked.any(1))
+        part, linked = part[some], linked[some]
+        counts[part] += linked @ weights[other]
+        if i != j:
+            counts[other] += weights[part] @ linked
+        for at, row in zip(part.tolist(), linked):
+            met = roots[other[row]]
+            if (met != roots[at]).any():
+                met = np.unique(np.append(met, roots[at]))
+                roots[np.isin(roots, met)] = met[0]
+    found = np.flatnonzero(counts > 0)
+    return pa.table({"rep": pa.array(ids[found], pa.int64()), "n": pa.array(counts[found].astype(np.int64)), "root": pa.array(roots[found], pa.int64())})
 
 
 def near_duplicate_vectors(
     vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", label_column: str = "label", threshold: float = THRESHOLD
 ) -> tuple[DataFrame, float]:
-    """((id, n_links, component_id, kept) of every row, recall of the last audit).
+    """((id, n_links, component_id, kept) of every row, RECALL).
 
     Vectors of equal label and length link when the cosine of their angle, in double precision, is at
     least ``threshold``. ``component_id`` is the least id that links lead to; only it is kept.
 
-    Equal vectors of a label are one to begin with. First neighbour lists come from neighbours in
-    orders by random planes; then the members of every neighbourhood meet each other and each list
-    keeps its nearest (NN-descent). A list full of links gets twice the room. An audit asks for all
-    links of up to ``ASKED`` vectors by brute force in blocks of rows; while it finds too many links
-    between different components, planes are added and the descent goes on. Components come from
-    the links found. ``n_links`` is then counted exactly in each component, block by block, so it
-    does not depend on the length of any list.
+    Equal vectors of a label are one to begin with. The vectors of a label and length are dealt into
+    blocks, and every block meets every other and itself in a task of its own, so that no pair is
+    left out. A task counts the links of each vector and joins what links; components come from
+    these joins. Only the counts and one id a vector leave a task.
 
     Rows with a null id or label, a null, empty or zero vector, or a null or non-finite component
     link with nothing; a null id has a null ``component_id`` and is kept. Repeated rows count as
@@ -168,47 +96,21 @@ def near_duplicate_vectors(
     rows = rows.withColumn("sound", F.coalesce(sound, F.lit(False)))
     reps = rows.where("sound").groupBy("label", "vec").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     reps = stored(reps.select("rep", "label", "copies", "vec"), "embeddup-vectors")
-    many = reps.count()
-    bits = max(2, math.ceil(math.log2(max(2, many))) - 6)
-
-    lists = recall = classes = None
-    for attempt in range(AUDITS):
-        tables, first = TABLES * 2**attempt, TABLES * (2**attempt - 1)
-        placed = reps.select("rep", "label", "vec").mapInArrow(
-            lambda b, first=first, tables=tables: plane_batches(b, bits, first, tables), "rep long, label long, dim int, table int, key long, place double"
-        )
-        order = Window.partitionBy("label", "dim", "table", "key").orderBy("place", "rep")
-        next_ids = F.array(*[F.lead("rep", k).over(order) for k in range(1, NEXT + 1)])
-        pairs = placed.select("rep", next_ids.alias("ids")).select(F.col("rep").alias("pivot"), F.explode("ids").alias("id")).where("id is not null")
-        near = pairs.union(pairs.select("pivot", F.col("pivot").alias("id"))).distinct().withColumn("fresh", F.lit(True))
-        found = _meet(near, reps, None, SHORTEST)
-        empty = found.select("a", "b", "cosine", F.lit(False).alias("fresh"), F.lit(SHORTEST).alias("room")).where("false")
-        lists = stored(_merged(empty if lists is None else lists, found, threshold), "embeddup-lists")
-        for _ in range(ROUNDS):
-            lists = _descend(lists, reps, threshold)
-        classes = components(lists.where(F.col("cosine") >= threshold).select("a", "b"))
-        placed = reps.join(classes.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        placed = stored(placed, "embeddup-placed")
-        share = min(1.0, ASKED / max(1, many))
-        chance = F.pmod(F.xxhash64("rep"), F.lit(1_000_000)) / 1_000_000
-        asked = [tuple(r) for r in placed.where(chance < share).select("rep", "label", "vec", "component").collect()]  # about ASKED
-        sent = vectors.sparkSession.sparkContext.broadcast(asked)
-        seen = placed.select("rep", "label", "vec", "component").mapInArrow(lambda b, sent=sent: audit_batches(b, sent.value, threshold), "links long, inside long")
-        links, inside = seen.agg(F.sum("links"), F.sum("inside")).first()
-        sent.unpersist()
-        recall = inside / links if links else 1.0
-        if recall >= RECALL:
-            break
-
-    sizes = placed.groupBy("component").agg(F.count("*").alias("size")).where("size > 1")
-    member = placed.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("rep", F.lit(7)), F.ceil(F.col("size") / BLOCK)))
-    blocks = stored(member.groupBy("component", "block").agg(F.collect_list(F.struct("rep", "copies", "vec")).alias("members")), "embeddup-blocks")
-    facing = blocks.select("component", F.col("members").alias("one")).join(blocks.select("component", F.col("members").alias("other")), "component")
-    counted = facing.select("one", "other").mapInArrow(lambda b: count_batches(b, threshold), "rep long, n long").groupBy("rep").agg(F.sum("n").alias("n"))
-    named = placed.join(counted, "rep", "left").select("label", "vec", "component", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    lengths = reps.withColumn("dim", F.size("vec"))
+    sizes = lengths.groupBy("label", "dim").agg(F.count("*").alias("size"))
+    blocks = F.ceil(F.greatest(F.sqrt(F.col("size") / BLOCK), F.col("size") * F.col("dim") / NUMBERS))
+    dealt = lengths.join(sizes.select("label", "dim", blocks.alias("blocks")), ["label", "dim"]).withColumn("block", F.pmod(F.xxhash64("vec"), "blocks"))
+    facing = dealt.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("facing"))
+    tiles = facing.select("label", "dim", F.least("block", "facing").alias("i"), F.greatest("block", "facing").alias("j"), "block", "rep", "copies", "vec")
+    links = tiles.groupBy("label", "dim", "i", "j").applyInArrow(lambda tile: tile_links(tile, threshold), "rep long, n long, root long")
+    links = stored(links, "embeddup-links")
+    classes = components(links.select(F.col("rep").alias("a"), F.col("root").alias("b"))).withColumnRenamed("id", "rep")
+    counted = links.groupBy("rep").agg(F.sum("n").alias("n"))
+    placed = reps.join(classes, "rep", "left").join(counted, "rep", "left")
+    named = placed.select("label", "vec", F.coalesce("component", "rep").alias("component"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     joined = rows.where("sound").join(named, ["label", "vec"]).select("id", "n_links", "component")
     alone = rows.where("not sound").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
     out = joined.union(alone).select(
         F.col("id").alias(id_column), "n_links", F.col("component").alias("component_id"), F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept")
     )
-    return out, recall
+    return out, RECALL

@@ -55,3 +55,17 @@ def test_agrees_with_brute_force(spark, monkeypatch):
     assert all(r.kept == (r.component_id in (None, r.vec_id)) for r in got)
     none, recall = embeddup.near_duplicate_vectors(table.where("false"))
     assert none.count() == 0 and recall == 1.0
+
+
+def test_links_across_full_groups(spark):
+    """Two groups of 100 and 90 vectors, each nearer to its own than to any of the other, that link across all the same."""
+    rng = np.random.default_rng(3)
+    one = np.zeros(64)
+    one[0] = 1
+    other = one * 0.985
+    other[1] = np.sqrt(1 - 0.985**2)
+    near = lambda center, n: [(center + 0.0006 * rng.standard_normal(64)).tolist() for _ in range(n)]
+    rows = [(i, v, 0) for i, v in enumerate(near(one, 100) + near(other, 90))]
+    out, _ = embeddup.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    assert {r.vec_id: (r.n_links, r.component_id) for r in out.collect()} == brute(rows)
+    assert out.where("kept").count() == 1
