@@ -69,3 +69,20 @@ def test_links_across_full_groups(spark):
     out, _ = embeddup.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
     assert {r.vec_id: (r.n_links, r.component_id) for r in out.collect()} == brute(rows)
     assert out.where("kept").count() == 1
+
+
+def test_pairs_beside_a_hot_group(spark):
+    """Lone pairs just above the threshold count as much as a group that has nearly all links."""
+    rng = np.random.default_rng(5)
+    lone = rng.standard_normal((2400, 64))
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    lone = unit(lone)
+    aside = rng.standard_normal((200, 64))
+    aside = unit(aside - (aside * lone[:200]).sum(1, keepdims=True) * lone[:200])
+    twins = 0.9805 * lone[:200] + np.sqrt(1 - 0.9805**2) * aside
+    hot = unit(lone[2399] + 0.003 * rng.standard_normal((1200, 64)))
+    data = np.concatenate([lone, twins, hot])
+    out, recall = embeddup.near_duplicate_vectors(spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(data)], "vec_id long, embedding array<double>, label int"))
+    got = {r.vec_id: (r.n_links, r.component_id) for r in out.collect()}
+    assert [got[2400 + i] for i in range(200)] == [(1, i) for i in range(200)] and recall == 1.0
+    assert {got[i] for i in range(2600, 3800)} == {(1200, 2399)}
