@@ -16,20 +16,25 @@ MASK = "[SECRET]"
 #: Built-in labelled findings of each kind, trees of the forest and their depth.
 EXAMPLES, TREES, DEPTH = 60, 24, 6
 
-# A run of 16 or more characters with a digit, or six or more after the name of a secret.
+# A run of 16 or more characters with a digit, six or more after the name of a secret, or the password of
+# a URL (from four on: masking a shorter one would mask parts of common words). The name may go on up to
+# the next name in it; a value ends before ;key=, &key= or ,key=. _EACH matches without taking text, so
+# that values inside others are found too, and only in the last word.
 _RUN = r"(?=[A-Za-z_+/.\-]*[0-9])[A-Za-z0-9_+/.\-]{16,}={0,2}"
 _NAME = r"passw(?:or)?d|passphrase|pwd|secret|token|api[_\-]?key|credential|private[_\-]?key"
-_NAMED = rf"(?i)(?:{_NAME})s?[\"']?\s*[:=]+\s*[\"']?([^\s\"']{{6,}})"
+_NAMED = rf"(?i)(?:{_NAME})(?:(?!{_NAME})[a-z0-9_\-])*+[\"']?\s*[:=]+\s*[\"']?((?:(?![;&,][a-z0-9_.\-]+=)[^\s\"']){{6,}}+)"
+_EACH = rf"(?i)(?={_NAMED[4:]}\S*+$)"
+_LOGIN = r"://[^\s/:@\"']*:([^\s/\"']{4,})@"
 _PREFIX = r"^(?:AKIA|ASIA|gh[pousr]_|xox[abp]-|sk_live_|sk-|AIza|eyJ|glpat-)"
 _PLACEHOLDER = r"(?i)\b(?:example|sample|dummy|test|placeholder|todo|changeme|your)\b|x{6,}|(?:1234567|abcdefg)"
 
-FEATURES = ["n", "digits", "uppers", "lowers", "others", "distinct", "transitions", "dictionary", "path", "mail", "named", "assigned", "prefix", "placeholder", "quoted", "test_source"]
+FEATURES = ["n", "digits", "uppers", "lowers", "others", "distinct", "transitions", "dictionary", "path", "mail", "named", "assigned", "prefix", "placeholder", "quoted", "login", "test_source"]
 
 
 def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str | None = "source") -> DataFrame:
     """(id, source, value, before, after): each candidate value with what stands around it, two words before and one behind."""
     source = F.col(source_column).cast("string") if source_column else F.lit(None).cast("string")
-    words = docs.where(F.col(text_column).rlike(_RUN) | F.col(text_column).rlike(_NAMED)).select(
+    words = docs.where(F.col(text_column).rlike(_RUN) | F.col(text_column).rlike(_NAMED) | F.col(text_column).rlike(_LOGIN)).select(
         F.col(id_column).alias("id"), source.alias("source"), F.split(text_column, r"\s+").alias("words")
     )
     # Neighbours come from shifted copies: a look-up by number inside a function would have the text
@@ -46,11 +51,12 @@ def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
         F.arrays_zip("w", "one", "two", "after"),
         lambda x: F.struct(x["w"].alias("w"), F.trim(F.concat_ws(" ", x["two"], x["one"])).alias("before"), F.coalesce(x["after"], F.lit("")).alias("after")),
     )
-    hit = F.filter(around, lambda x: x["w"].rlike(_RUN) | F.concat_ws(" ", x["before"], x["w"]).rlike(_NAMED))
+    hit = F.filter(around, lambda x: x["w"].rlike(_RUN) | F.concat_ws(" ", x["before"], x["w"]).rlike(_EACH) | x["w"].rlike(_LOGIN))
     found = shifted.select("id", "source", F.explode(hit).alias("x")).select("id", "source", "x.*")
-    named = F.regexp_replace(F.regexp_extract(F.concat_ws(" ", "before", "w"), _NAMED, 1), r"[.,;:!?)\]}|&$%*]+$", "")
-    values = F.array_distinct(F.concat(F.regexp_extract_all("w", F.lit(f"({_RUN})")), F.array(F.when(F.contains("w", named), named))))
-    each = found.select("id", "source", "w", "before", "after", F.explode(values).alias("value")).where("length(value) >= 6")
+    bare = lambda v: F.regexp_replace(v, r"[.,;:!?)\]}|&$%*]+$", "")
+    named = F.filter(F.transform(F.regexp_extract_all(F.concat_ws(" ", "before", "w"), F.lit(_EACH), 1), bare), lambda v: F.length(v) >= 6)
+    values = F.array_distinct(F.concat(F.regexp_extract_all("w", F.lit(f"({_RUN})")), named, F.regexp_extract_all("w", F.lit(_LOGIN), 1)))
+    each = found.select("id", "source", "w", "before", "after", F.explode(values).alias("value"))
     at = F.instr("w", F.col("value"))
     return each.select(
         "id",
@@ -94,6 +100,7 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
         flag(v.rlike(_PREFIX)).alias("prefix"),
         flag(v.rlike(_PLACEHOLDER) | F.col("before").rlike(_PLACEHOLDER)).alias("placeholder"),
         flag(F.col("after").rlike("^[\"']")).alias("quoted"),
+        flag(F.col("before").rlike(r"://[^\s/:@\"']*:$") & F.col("after").rlike("^@")).alias("login"),
         flag(F.col("source").rlike(r"(?i)test|example|fixture|spec|vendor|\.lock")).alias("test_source"),
     )
 
@@ -117,6 +124,17 @@ def labelled_findings(spark: SparkSession, each: int = EXAMPLES) -> DataFrame:
         (1, "'Bearer '", "concat('eyJ', translate(b, '+/=', '-_'), '.', substr(b, 3, 20))", "''"),
         (1, "'aws_secret_access_key = '", "substr(b, 1, 40)", "''"),
         (1, "'client_secret=\"'", "concat(substr(b, 1, 24), '==')", "'\"'"),
+        (1, "'SECRET_KEY='", "concat(substr(b, 1, 9), '!', substr(h, 1, 6))", "''"),
+        (1, "'DB_PASSWORD_PROD='", "concat(substr(b, 1, 5), '!', substr(h, 1, 3))", "' of'"),
+        (1, "'{\"user\":\"a\",\"token\":\"'", "concat(substr(h, 1, 3), '!', substr(b, 1, 5))", "'\"}'"),
+        (1, "'password=some!one token='", "concat(substr(b, 1, 3), '!', substr(b, 5, 5))", "' and'"),
+        (1, "'the token='", "translate(concat(substr(h, 1, 3), '!', substr(h, 4, 5)), '0123456789', 'ghijklmnop')", "' of'"),
+        (1, "'{\"password\":\"x!\",\"secret\":\"'", "translate(concat(substr(h, 1, 4), '!', substr(h, 5, 4)), '0123456789', 'ghijklmnop')", "'\"}'"),
+        (1, "'postgres://app:'", "concat(substr(h, 1, 3), '!', substr(b, 1, 3))", "'@db.host:5432/main'"),
+        (1, "'see amqp://user:'", "concat(substr(b, 1, 4), substr(h, 1, 3))", "'@queue/'"),
+        (0, "'https://user:'", "element_at(array('password', 'your-password', 'example', 'secret'), CAST(n % 4 + 1 AS INT))", "'@host/'"),
+        (0, "'the secretary: '", "element_at(array('something', 'meeting', 'chairman', 'between', 'another'), CAST(n % 5 + 1 AS INT))", "' of'"),
+        (0, "'token_count: '", "CAST(100000 + n * 37 AS STRING)", "','"),
         (0, "'the of '", "substr(translate(h, 'abcdef', '012345'), 1, 16)", "' and'"),
         (0, "'card '", "substr(translate(h, 'abcdef', '678901'), 1, 16)", "','"),
         (0, "'tel '", "concat('+', substr(translate(h, 'abcdef', '678901'), 1, 15))", "' in'"),
@@ -136,7 +154,8 @@ def labelled_findings(spark: SparkSession, each: int = EXAMPLES) -> DataFrame:
         (0, "'table '", "concat('identifier_with_number_', n % 30)", "''"),
         (0, "'page '", "concat('page=', n, '..', n, '..', n, '..', n)", "''"),
     ]
-    rows = " UNION ALL ".join(f"SELECT CAST(NULL AS STRING) AS source, {b} AS before, {v} AS value, {a} AS after, {label}D AS label, {k} AS kind, n FROM made" for k, (label, b, v, a) in enumerate(kinds))
+    sources = "element_at(array('src/app', 'web/page', NULL, 'tests/fixtures', 'vendor/module.lock'), CAST(n % 5 + 1 AS INT))"
+    rows = " UNION ALL ".join(f"SELECT {sources} AS source, {b} AS before, {v} AS value, {a} AS after, {label}D AS label, {k} AS kind, n FROM made" for k, (label, b, v, a) in enumerate(kinds))
     made = f"SELECT id AS n, sha2(CAST(id AS STRING), 256) AS h, base64(unhex(sha2(concat('b', id), 256))) AS b FROM range({each})"
     return spark.sql(f"WITH made AS ({made}) {rows}")
 

@@ -77,3 +77,21 @@ def test_agrees_with_patterns_of_planted_secrets(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
     want = {(d.doc_id, m) for d in docs for p in (r'(?i)token\W+([0-9a-f]{40})', r"(?i)password=([0-9a-f]{18})", r"(?i)\b(AKIA[0-9A-Z]{16})\b") for m in re.findall(p, d.text)}
     assert want and got == want
+
+
+def test_every_named_value_and_url_passwords(spark, words, model):
+    texts = {
+        1: ("password=Hunter!22 token=abc!defgh", {"Hunter!22", "abc!defgh"}),
+        2: ("db password=k7!pQz92 secret=Xy!zzz99", {"k7!pQz92", "Xy!zzz99"}),
+        3: ('{"password":"Hunt!r22","token":"abc!defg"}', {"Hunt!r22", "abc!defg"}),
+        4: ("SECRET_KEY=q8!Rt5xw DB_PASSWORD_PROD=Zp4!mm7k", {"q8!Rt5xw", "Zp4!mm7k"}),
+        5: ("jdbc:x://h/d;user=a;password=Hunter!22;secret=Xy!zzz99", {"Hunter!22", "Xy!zzz99"}),
+        6: ("at postgres://app:s3!cr7@db.host/main", {"s3!cr7"}),
+        7: ("the secretary: something", set()),
+    }
+    docs = spark.createDataFrame([(i, t, "src/a") for i, (t, _) in texts.items()], "doc_id long, text string, source string")
+    values = {(r.id, r.value) for r in secrets.candidates(docs).collect()}
+    assert {(i, v) for i, (_, want) in texts.items() for v in want} <= values
+    found = secrets.find_secrets(docs, words, model)
+    assert {(r.doc_id, r.secret) for r in found.collect()} == {(i, v) for i, (_, want) in texts.items() for v in want}
+    assert all(v not in r.text for r in secrets.mask_secrets(docs, found).collect() for v in texts[r.doc_id][1])
