@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from macroloom.llm import bpe, decontaminate, embeddup, langid, licenses, neardup, repeats, secrets, tokenfiles, urls
+from macroloom.llm import bpe, decontaminate, embeddup, langid, licenses, neardup, negatives, periodic, quality, repeats, secrets, tokenfiles, urls
 from macroloom.llm.common import table
 from macroloom.work import new_folder
 
@@ -156,6 +156,87 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find_licenses(docs, known, licenses.train(licenses.paragraphs(docs), known))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    model = quality.train(docs, labels.where(~held_out))
+    scored = quality.score_quality(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.find_periodic(table(spark, sf_dir, "documents"), repeat_tails=True).select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")
+    )
+
+
+#: Words on their distance: windows of nine words that recur name the distances at which words may go on being equal.
+OP12_SQL = r"""
+WITH bits AS (SELECT list(n ORDER BY b) AS t FROM (
+  SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS n FROM range(256) AS r(b))),
+split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents),
+hashed AS (
+  SELECT doc_id, w, len(w) AS n, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) AS h
+  FROM split, bits
+),
+tails AS (SELECT doc_id, w, n, h % 10 = 0 AND n > 0 AS tail, CASE WHEN n > 0 THEN (h // 10) % n END AS a, h // 10 AS g FROM hashed),
+sized AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM tails),
+words AS (
+  SELECT doc_id, n, i, CASE WHEN tail AND i >= a THEN w[a + (i - a) % p + 1] ELSE w[i + 1] END AS word
+  FROM sized, unnest(range(n)) AS s(i)
+),
+windows AS (
+  SELECT doc_id, n, i, hash(list(word) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 8 FOLLOWING)) AS name FROM words
+),
+distances AS (
+  SELECT DISTINCT x.doc_id, y.i - x.i AS q FROM windows x JOIN windows y ON x.doc_id = y.doc_id AND x.name = y.name AND y.i > x.i AND 3 * (y.i - x.i) <= x.n
+),
+equal AS (
+  SELECT d.doc_id, d.q, x.i, x.i - row_number() OVER (PARTITION BY d.doc_id, d.q ORDER BY x.i) AS stretch
+  FROM distances d JOIN words x ON d.doc_id = x.doc_id JOIN words y ON y.doc_id = x.doc_id AND y.i = x.i + d.q AND y.word = x.word
+),
+stretches AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM equal GROUP BY doc_id, q, stretch HAVING count(*) + q >= greatest(24, 3 * q)),
+runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length),
+gone AS (SELECT DISTINCT doc_id, i FROM runs, unnest(range(start + period, start + length)) AS s(i)),
+kept AS (SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.i) AS collapsed FROM words x ANTI JOIN gone g ON x.doc_id = g.doc_id AND x.i = g.i GROUP BY x.doc_id),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs,
+    list({'s': start, 'l': length, 'p': period} ORDER BY length / period DESC, start, period)[1] AS best
+  FROM runs GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.p AS period, 1000 * best.l // best.p AS exponent_milli,
+  sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM split d LEFT JOIN listed l ON d.doc_id = l.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine_negatives(vectors.withColumn("label", label), "vec_id % 50 = 0")
+
+
+OP13_SQL = """
+WITH sound AS (
+  SELECT row_number() OVER () AS key, vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.key AS anchor, a.id AS anchor_id, b.id, b.key, a.label = b.label AS alike, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM sound a JOIN sound b ON a.key <> b.key WHERE a.id % 50 = 0
+),
+positives AS (SELECT * FROM scored WHERE alike QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id, key) <= 5),
+found AS (
+  SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor, p.key ORDER BY n.score DESC, n.id, n.key) AS rank
+  FROM positives p JOIN scored n ON p.anchor = n.anchor AND NOT n.alike AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM found WHERE rank <= 3
+"""
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
@@ -167,10 +248,15 @@ QUERIES = {
     "op8_near_vectors": op8_near_vectors,
     "op9_token_files": op9_token_files,
     "op10_licenses": op10_licenses,
+    "op11_quality": op11_quality,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES = {
     "op2_decontamination": OP2_SQL,
     "op4_repeated_passages": OP4_SQL,
     "op5_url_filter": OP5_SQL,
+    "op12_periodic_runs": OP12_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }

@@ -16,7 +16,7 @@ DATA = "/root/testdata/sf0.001"
 def test_query_equals_its_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     connection = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "embeddings"):
         connection.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     result = connection.execute(ORACLES[name])
     names = [d[0] for d in result.description]
@@ -26,7 +26,7 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_entry_works_without_the_operators(tmp_path):
