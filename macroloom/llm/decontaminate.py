@@ -116,7 +116,7 @@ def merged(one: Sequence[tuple[int, int]], other: Sequence[tuple[int, int]]) ->
 SPANS = pa.list_(pa.struct([("first", pa.int32()), ("after", pa.int32())]))
 
 
-def search_batches(batches: Iterator[pa.RecordBatch], items: Sequence[tuple[str, bytes]], kept: int) -> Iterator[pa.RecordBatch]:
+def search_batches(batches: Iterator[pa.RecordBatch], items: Sequence[tuple[str | None, bytes]], kept: int) -> Iterator[pa.RecordBatch]:
     """(kept columns, text, n_words, spans, items) with what these items add to spans and items."""
     phrases = Phrases(items)
     shard, held, sizes = Shard(phrases), [], []
@@ -129,7 +129,7 @@ def search_batches(batches: Iterator[pa.RecordBatch], items: Sequence[tuple[str,
             start += batch.num_rows
             old_spans = [[(s["first"], s["after"]) for s in x] for x in batch.column(kept + 2).to_pylist()]
             both = [merged(old, spans[i]) for old, i in zip(old_spans, rows)]
-            names = [sorted(found[i].union(old)) for old, i in zip(batch.column(kept + 3).to_pylist(), rows)]
+            names = [sorted(found[i].union(old), key=lambda x: (x is None, x)) for old, i in zip(batch.column(kept + 3).to_pylist(), rows)]
             columns = [pa.array([sizes[i] for i in rows], pa.int64()), pa.array([[{"first": a, "after": b} for a, b in x] for x in both], SPANS), pa.array(names, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays([*batch.columns[: kept + 1], *columns], names=batch.schema.names)
 
@@ -156,10 +156,11 @@ def find_passages(
 
     The benchmark is sent to the tasks in blocks of about ``block_bytes``; documents pass all blocks
     one after another, and spans and items are united. Null texts have no words; null, empty and
-    wordless items have no windows, and items with a null id are left out. Items that repeat an id
-    count as one, repeated documents are reported row by row. Other columns are ignored.
+    wordless items have no windows. Items that repeat an id count as one, and so do all items with a
+    null id, which stand last among ``items``. Repeated documents are reported row by row. Other
+    columns are ignored.
     """
-    asked = benchmark.where(F.col(item_column).isNotNull() & F.col(item_text_column).isNotNull()).select(
+    asked = benchmark.where(F.col(item_text_column).isNotNull()).select(
         F.col(item_column).cast("string").alias("item"), F.col(item_text_column).alias("text")
     )
     size = asked.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -8,6 +8,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,8 +21,10 @@ from macroloom.llm.decontaminate import words_of
 SHINGLE, THRESHOLD = 5, 0.8
 #: A pair of the least similarity has no common band once in (1 - 0.8**5)**-28 = 66,000 times.
 BANDS, ROWS = 28, 5
-#: Turns of further leaders at most, before what they leave open is compared in blocks of about SIDE documents.
-TURNS, SIDE = 3, 256
+#: Turns of further leaders at most, before what they leave open is compared in blocks.
+TURNS = 3
+#: Regions and documents of a block (in expectation).
+REGIONS, SIDE = 1 << 17, 512
 #: Distinct words whose hashes a task keeps.
 STORE_WORDS = 500_000
 
@@ -162,12 +165,14 @@ def region_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def shared_regions(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
     """Number of regions that each document of one side shares with each of the other, some thousand regions at a time."""
     sizes = np.array([len(x) for x in one + other])
-    names, codes = np.unique(np.concatenate(one + other), return_inverse=True)
+    _, codes, often = np.unique(np.concatenate(one + other), return_inverse=True, return_counts=True)
     owner = np.repeat(np.arange(len(sizes)), sizes)
+    held = often[codes] > 1  # a region that one document alone has is shared by none
+    codes, owner = (np.cumsum(often > 1) - 1)[codes[held]], owner[held]
     order = np.argsort(codes, kind="stable")
     codes, owner = codes[order], owner[order]
     out = np.zeros((len(one), len(other)), np.float32)
-    for start in range(0, len(names), 8192):
+    for start in range(0, int(codes[-1]) + 1 if len(codes) else 0, 8192):
         a, b = np.searchsorted(codes, (start, start + 8192))
         held = np.zeros((len(sizes), 8192), np.float32)
         held[owner[a:b], codes[a:b] - start] = 1
@@ -175,36 +180,38 @@ def shared_regions(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray
     return out
 
 
-def face_batches(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """(band, whether both are one, block of a bucket, other block) to links (a, b), one for each two components.
+def cell_links(cell: pa.Table, threshold: float) -> pa.Table:
+    """(block, rep, component, weight, regions) of one or two blocks to links (a, b), one for each two components.
 
-    Two documents are compared in the first band that they share, if their components differ and
-    neither weights nor distances to the bucket's leader rule a link out.
+    Every document of a block is compared with every one of the other block, or of its own if there
+    is but one, unless the two are of one component or their weights rule a link out.
     """
-    for batch in batches:
-        for band, same, one, other in zip(*(batch.column(i) for i in range(4))):
-            sides = [one.values, other.values]
-            rep, component, weight, far = ([x.field(n).to_numpy(zero_copy_only=False) for x in sides] for n in ("rep", "component", "weight", "far"))
-            keys = [x.field("keys").flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1) for x in sides]
-            asked = component[0][:, None] != component[1][None, :]
-            asked &= np.abs(far[0][:, None] - far[1][None, :]) <= 1 - threshold + 1e-9
-            asked &= np.minimum(weight[0][:, None], weight[1][None, :]) >= (threshold - 1e-9) * np.maximum(weight[0][:, None], weight[1][None, :])
-            for earlier in range(band.as_py()):
-                asked &= keys[0][:, earlier][:, None] != keys[1][:, earlier][None, :]
-            if same.as_py():
-                asked = np.triu(asked, 1)
-            rows, columns = (np.flatnonzero(asked.any(axis)) for axis in (1, 0))
-            if not len(rows):
-                continue
-            lists = [[x.field("regions")[int(i)].values.to_numpy() for i in some] for x, some in zip(sides, (rows, columns))]
-            shared = shared_regions(*lists)
-            total = weight[0][rows][:, None] + weight[1][columns][None, :] - shared
-            i, j = np.nonzero(asked[np.ix_(rows, columns)] & (shared >= threshold * total))
-            if not len(i):
-                continue
-            a, b = rows[i], columns[j]
-            _, first = np.unique(np.stack([component[0][a], component[1][b]]), axis=1, return_index=True)
-            yield pa.RecordBatch.from_arrays([pa.array(rep[0][a[first]]), pa.array(rep[1][b[first]])], names=["a", "b"])
+    kind = cell.schema.field("rep").type
+    cell = cell.sort_by("rep").combine_chunks()
+    first = pc.equal(cell.column("block"), cell.column("i"))
+    same = cell.column("i")[0] == cell.column("j")[0]
+    sides = [cell, cell] if same else [cell.filter(first), cell.filter(pc.invert(first))]
+    none = pa.table({"a": pa.array([], kind), "b": pa.array([], kind)})
+    if not all(map(len, sides)):
+        return none
+    component = [x.column("component").combine_chunks().dictionary_encode() for x in sides]
+    names, which = np.unique(np.concatenate([np.array(c.dictionary.to_pylist())[c.indices.to_numpy()] for c in component]), return_inverse=True)
+    of = [which[: len(sides[0])], which[len(sides[0]) :]]
+    weight = [x.column("weight").to_numpy() for x in sides]
+    asked = of[0][:, None] != of[1][None, :]
+    asked &= np.minimum(weight[0][:, None], weight[1][None, :]) >= (threshold - 1e-9) * np.maximum(weight[0][:, None], weight[1][None, :])
+    if same:
+        asked = np.triu(asked, 1)
+    rows, columns = np.flatnonzero(asked.any(1)), np.flatnonzero(asked.any(0))
+    if not len(rows):
+        return none
+    lists = [[x.column("regions")[int(i)].values.to_numpy() for i in some] for x, some in zip(sides, (rows, columns))]
+    shared = shared_regions(*lists)
+    total = weight[0][rows][:, None] + weight[1][columns][None, :] - shared
+    i, j = np.nonzero(asked[np.ix_(rows, columns)] & (shared >= threshold * total))
+    a, b = rows[i], columns[j]
+    _, one = np.unique(np.stack([of[0][a], of[1][b]]), axis=1, return_index=True) if len(a) else (None, np.zeros(0, np.int64))
+    return pa.table({"a": sides[0].column("rep").take(pa.array(a[one])), "b": sides[1].column("rep").take(pa.array(b[one]))})
 
 
 def similarities(pairs: DataFrame, regions: DataFrame) -> DataFrame:
@@ -237,15 +244,45 @@ def _drawn_closer(classes: DataFrame, links: DataFrame) -> DataFrame:
     return stored(classes.join(two, "component", "left").select("rep", F.coalesce("joined", "component").alias("component")), "neardup-classes")
 
 
-def _with_other_leaders(members: DataFrame, classes: DataFrame, turn: int) -> DataFrame:
+def _placed(placed: DataFrame, classes: DataFrame) -> DataFrame:
+    """(bucket, rep, component): classes are joined on one row a document, whose buckets follow."""
+    return placed.join(classes, "rep").select("rep", "component", F.explode("buckets").alias("bucket"))
+
+
+def _with_other_leaders(members: DataFrame, turn: int) -> DataFrame:
     """Pairs (a, b) of each bucket's leader of this turn, chosen by a hash, with the members of other components."""
-    placed = members.select("band", "key", "rep").join(classes, "rep")
-    order = F.xxhash64("rep", "band", "key", F.lit(turn))
-    leaders = placed.groupBy("band", "key").agg(F.min(F.struct(order.alias("h"), "rep", "component")).alias("x")).select("band", "key", F.col("x.rep").alias("leader"), F.col("x.component").alias("home"))
-    pairs = placed.join(leaders, ["band", "key"]).where("component != home")
+    order = F.xxhash64("rep", "bucket", F.lit(turn))
+    leaders = members.groupBy("bucket").agg(F.min(F.struct(order.alias("h"), "rep", "component")).alias("x")).select("bucket", F.col("x.rep").alias("leader"), F.col("x.component").alias("home"))
+    pairs = members.join(leaders, "bucket").where("component != home")
     return pairs.select(F.greatest("rep", "leader").alias("a"), F.least("rep", "leader").alias("b")).distinct()
 
 
+def _compared_in_blocks(placed: DataFrame, classes: DataFrame, regions: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between the components that buckets still hold.
+
+    Each document of such a bucket is in one block of the largest one it is in. Two blocks that meet in a
+    bucket are a cell, once, however many buckets they meet in, and hold there the documents that
+    these buckets have. A document's regions travel once for each of its cells.
+    """
+    members = _placed(placed, classes)
+    mixed = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+    mixed = stored(mixed.where("low != high and n > 2").select("bucket", "n"), "neardup-mixed")
+    held = members.join(mixed, "bucket")
+    homes = held.groupBy("rep").agg(F.max(F.struct("n", "bucket")).alias("home"), F.collect_list("bucket").alias("buckets"))
+    homes = homes.join(placed.select("rep", "weight"), "rep").select("rep", "weight", F.col("home.bucket").alias("home"), "buckets")
+    homes = stored(homes, "neardup-homes")
+    sizes = homes.groupBy("home").agg(F.ceil(F.greatest(F.sum("weight") / REGIONS, F.count("*") / SIDE)).alias("blocks"))
+    block = F.xxhash64("home", F.pmod(F.xxhash64("rep", F.lit(7)), "blocks"))
+    homes = stored(homes.join(sizes, "home").select("rep", "weight", "buckets", block.alias("block")), "neardup-blocks")
+    inside = homes.select("rep", "block", F.explode("buckets").alias("bucket"))
+    met = inside.groupBy("bucket").agg(F.collect_set("block").alias("others"))
+    cells = inside.join(met, "bucket").select("rep", "block", F.explode("others").alias("other"))
+    cells = cells.select(F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep").distinct()
+    whole = homes.select("rep", "block", "weight").join(classes, "rep").join(regions.withColumnRenamed("id", "rep"), "rep")
+    kind = dict(placed.dtypes)["rep"]
+    return cells.join(whole, "rep").groupBy("i", "j").applyInArrow(lambda cell: cell_links(cell, threshold), f"a {kind}, b {kind}")
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(id, weight, component_id, kept) of every document.
 
@@ -274,26 +311,33 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .agg(F.min("id").alias("rep"), F.first("keys").alias("keys"), F.first("weight").alias("weight"))
     )
     unique = stored(unique, "neardup-unique")
-    bands = unique.select("rep", "weight", F.posexplode("keys").alias("band", "key"))
-    leaders = bands.groupBy("band", "key").agg(F.min("rep").alias("leader"), F.count("*").alias("members")).where("members > 1")
-    members = stored(bands.join(leaders.drop("members"), ["band", "key"]), "neardup-members")
+    bands = unique.select("rep", F.posexplode("keys").alias("band", "key")).select("rep", F.xxhash64("band", "key").alias("bucket"))
+    sets = bands.groupBy("bucket").agg(
+        F.min("rep").alias("leader"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("rep")).alias("h1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("h2")
+    )
+    # Buckets of the same members, as two near copies have in most bands, are opened once.
+    sets = sets.where("n > 1").groupBy("n", "h1", "h2", "leader").agg(F.min("bucket").alias("bucket")).select("bucket", "leader")
+    members = stored(bands.join(sets, "bucket"), "neardup-members")
     stars = members.where("rep != leader").select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct()
+    placed = members.groupBy("rep").agg(F.collect_list("bucket").alias("buckets")).join(unique.select("rep", "weight"), "rep")
+    placed = stored(placed, "neardup-placed")
 
-    wanted = members.select(F.col("rep").alias("id")).distinct()
+    wanted = placed.select(F.col("rep").alias("id"))
     regions = stored(rows.join(wanted, "id").mapInArrow(region_batches, f"id {kind}, regions array<long>"), "neardup-regions")
     judged = stored(similarities(stars, regions), "neardup-stars")
-    apart = wanted.select(F.col("id").alias("rep"), F.col("id").alias("component"))
+    apart = placed.select("rep", F.col("rep").alias("component"))
     links = judged.where(F.col("similarity") >= threshold).select("a", "b")
     classes = _united(apart, links)
 
     asked = judged.select("a", "b")
     for turn in range(TURNS):
-        open_pairs = members.join(classes, "rep").groupBy("band", "key", "component").agg(F.count("*").alias("n"))
-        open_pairs = open_pairs.groupBy("band", "key").agg(F.sum("n").alias("n"), (F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("ordered"))
+        members = _placed(placed, classes)
+        open_pairs = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+        open_pairs = open_pairs.groupBy("bucket").agg(F.sum("n").alias("n"), (F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("ordered"))
         left, all_members = open_pairs.agg(F.sum("ordered"), F.sum("n")).first()
         if (left or 0) <= 2 * (all_members or 0):  # no more pairs than members: as many comparisons as a turn
             break
-        pairs = _with_other_leaders(members, classes, turn).join(asked, ["a", "b"], "left_anti")
+        pairs = _with_other_leaders(members, turn).join(asked, ["a", "b"], "left_anti")
         found = stored(similarities(pairs, regions), f"neardup-turn{turn}")
         new = found.where(F.col("similarity") >= threshold).select("a", "b")
         if new.isEmpty():
@@ -301,18 +345,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         asked, links = asked.union(found.select("a", "b")), links.union(new)
         classes = _drawn_closer(classes, new)
 
-    far = judged.select(F.col("a").alias("rep"), F.col("b").alias("leader"), (1 - F.col("similarity")).alias("far"))
-    placed = members.join(classes, "rep")
-    mixed = placed.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-    mixed = mixed.where("low != high and n > 2").select("band", "key", F.ceil(F.col("n") / SIDE).alias("blocks"))
-    inside = placed.where("rep != leader").join(mixed, ["band", "key"]).join(far, ["rep", "leader"])
-    whole = inside.join(regions.withColumnRenamed("id", "rep"), "rep").join(unique.select("rep", "keys"), "rep")
-    member = F.struct("rep", "component", "weight", "far", "keys", "regions")
-    blocks = whole.groupBy("band", "key", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("blocks")).alias("block")).agg(F.collect_list(member).alias("members"))
-    blocks = stored(blocks, "neardup-blocks")
-    other = blocks.select("band", "key", F.col("block").alias("other_block"), F.col("members").alias("others"))
-    facing = blocks.join(other, ["band", "key"]).where("block <= other_block").select("band", F.col("block").eqNullSafe(F.col("other_block")).alias("same"), "members", "others")
-    found = stored(facing.mapInArrow(lambda b: face_batches(b, threshold), f"a {kind}, b {kind}"), "neardup-more")
+    found = stored(_compared_in_blocks(placed, classes, regions, threshold), "neardup-more")
     classes = _united(classes, links.union(found))
     final = classes.select("rep", F.col("component").alias("component_id"))
 

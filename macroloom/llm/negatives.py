@@ -229,8 +229,13 @@ def _best_of(found: DataFrame, most: int) -> DataFrame:
 
 
 def _dealt(df: DataFrame, parts: int, columns: list, name: str) -> DataFrame:
-    """Rows in ranges of the columns, each range with its number, stored."""
-    return stored(df.repartitionByRange(parts, *columns).withColumn(name, F.spark_partition_id()), f"negatives-{name}")
+    """Rows in ``parts`` ranges of the columns at most, each with the number of its range; stored.
+
+    Where a session deals rows into more ranges than asked for, neighbouring ones are one.
+    """
+    dealt = stored(df.repartitionByRange(parts, *columns).withColumn("__part", F.spark_partition_id()), f"negatives-{name}")
+    ranges = max(parts, (dealt.agg(F.max("__part")).first()[0] or 0) + 1)
+    return dealt.withColumn(name, F.expr(f"cast(__part * bigint({parts}) div {ranges} as int)")).drop("__part")
 
 
 def _search_all(tiles: DataFrame, boxes: DataFrame, pages: int, asked: DataFrame, blocks: int, most: int, same: bool) -> DataFrame:

@@ -7,12 +7,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from macroloom.llm.common import portions, stored
 
-#: Labelled documents of a class that the vectors are fitted on, at most. All labelled rows count for the priors.
+#: Labelled documents of a class that the vectors are fitted on (in expectation, where there are more). All labelled rows count for the priors.
 SAMPLE = 3000
 #: Vectors of the model and their length.
 BUCKETS, DIM = 1 << 16, 16
@@ -153,7 +153,8 @@ def fit(table: pa.Table) -> pa.Table:
 def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "quality", sample: int = SAMPLE) -> Model | None:
     """The model of ``labels`` (id, label: whole numbers); None if no document has a label.
 
-    Of each class the ``sample`` rows of least hash are fitted on, whole texts. They are chosen by
+    Of each class about ``sample`` rows are fitted on, whole texts: those whose hash lies below the
+    share that gives this number. They are chosen by
     ids alone, so texts of other documents are neither shuffled nor gathered. Features are counted
     in the tasks that read the texts; one task descends, and what leaves it is the model. A class's
     share counts all labelled rows. Null labels and ids, and ids without a document, count for
@@ -162,11 +163,12 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     marked = labels.select(F.col(id_column).alias("id"), F.col(label_column).cast("long").alias("label")).where("id is not null and label is not null")
     marked = marked.join(docs.select(F.col(id_column).alias("id")).distinct(), "id", "left_semi")
     marked = stored(marked, "quality-labels")
-    shares = {r["label"]: r["n"] for r in marked.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    sizes = stored(marked.groupBy("label").agg(F.count("*").alias("n")), "quality-sizes")
+    shares = {r["label"]: r["n"] for r in sizes.collect()}
     if not shares:
         return None
-    by_hash = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    chosen = stored(marked.withColumn("nth", F.row_number().over(by_hash)).where(F.col("nth") <= sample).drop("nth"), "quality-sample")
+    low = F.pmod(F.xxhash64("id"), F.lit(1 << 32)) / (1 << 32) < F.lit(sample) / F.col("n")
+    chosen = stored(marked.join(sizes, "label").where(low).select("id", "label"), "quality-sample")
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     counted = texts.join(chosen, "id").select("label", "text").mapInArrow(count_batches, "label long, buckets array<int>, shares array<float>")
     made = counted.groupBy().applyInArrow(fit, "classes array<long>, vectors binary, output binary").collect()[0]

@@ -32,8 +32,8 @@ def brute(text, items):
             for j in range(len(words) - width + 1):
                 if words[j : j + width] == own[i : i + width]:
                     hit.update(range(j, j + width))
-                    found.add(str(name))
-    return len(words), len(hit), sorted(found)
+                    found.add(name if name is None else str(name))
+    return len(words), len(hit), sorted(found, key=lambda x: (x is None, x))
 
 
 @pytest.mark.parametrize("block_bytes", [1 << 20, 300])
@@ -48,14 +48,13 @@ def test_agrees_with_brute_force(spark, monkeypatch, block_bytes):
     for _ in range(30):
         whole = rng.choice(items[:12])[1].split()
         texts.append(phrase(5) + ", " + "-".join(whole[rng.randint(0, 2) :]).upper() + "\n" + phrase(5))
-    texts += [texts[-1], (items[4][1] + " ") * 300]
+    texts += [texts[-1], (items[4][1] + " ") * 300, "so " + items[-1][1] + " on"]  # the last one is of an item without an id
     docs = spark.createDataFrame([(i if i else None, t, 7, 8) for i, t in enumerate(texts)], "doc_id long, text string, items int, n_hit int")
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     got = {r.doc_id or 0: r for r in d.find_passages(docs, benchmark, block_bytes=block_bytes).collect()}
     assert len(got) == len(texts)
-    kept = [x for x in items if x[0] is not None]
     for i, text in enumerate(texts):
-        assert (got[i].n_words, got[i].n_hit, list(got[i].items)) == brute(text, kept)
+        assert (got[i].n_words, got[i].n_hit, list(got[i].items)) == brute(text, items)
         assert all(a.after < b.first for a, b in zip(got[i].spans, got[i].spans[1:]))
     assert d.find_passages(docs.where("false"), benchmark).count() == 0
     assert {r.n_hit for r in d.find_passages(docs, benchmark.where("false")).collect()} == {0}
