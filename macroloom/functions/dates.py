@@ -31,6 +31,16 @@ def long_date(value: Column) -> Column:
     return F.try_to_date(value, "MMMM d, yyyy")
 
 
+#: Forms of a publication date, the likeliest first; of day and month in figures the month comes first.
+PUBLISHED_FORMS = ["yyyy-M-d", "yyyy/M/d", "M/d/yyyy", "M-d-yyyy", "yyyyMMdd", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy", "yyyy-MM", "yyyy"]
+
+
+def published_date(value: Column) -> Column:
+    """Publication date in any usual form, with or without a time behind it; anything else is null."""
+    day = F.regexp_replace(F.trim(value), r"(?:[T ]+[0-9]{1,2}:[0-9]{2}.*)$", "")
+    return F.coalesce(*[F.try_to_date(day, form) for form in PUBLISHED_FORMS])
+
+
 def feed_date(value: Column, patterns) -> Column:
     """First of ``patterns`` that parses; text no pattern parses fails the job."""
     parsed = F.coalesce(*[F.try_to_date(value, p) for p in patterns])

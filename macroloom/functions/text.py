@@ -51,6 +51,45 @@ def nth_element(html: Column, tag: str, n: int) -> Column:
     return F.get(F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>"), F.lit(0)), F.lit(n))
 
 
+def html_segments(html: Column, tag: str) -> Column:
+    """A page cut before each ``<tag …>`` and behind each ``</tag>``, so that a segment opens and closes one at most. Comments are gone."""
+    plain = F.regexp_replace(F.regexp_replace(html, r"(?s)<!--.*?-->", ""), rf"(?i)</{tag}\s*>", f"</{tag}>")
+    return F.split(plain, rf"(?i)(?=<{tag}\b)|(?<=</{tag}>)")
+
+
+def opens(segment: Column, tag: str) -> Column:
+    return segment.rlike(rf"(?i)^<{tag}\b")
+
+
+def nested_element(html: Column, tag: str, n: int) -> Column:
+    """The ``n``-th (from zero) ``<tag>`` of a page with all that stands in it, elements of the same tag too.
+
+    Elements count in the order they open. A fold over the segments keeps the depth behind each; an
+    element ends where the depth falls back to what it was before it, or with the page. Closing tags
+    without an opening one are passed over.
+    """
+    start = F.struct(F.lit(0).alias("opened"), F.lit(0).alias("depth"), F.lit(-1).alias("base"), F.lit(False).alias("done"), F.lit("").alias("text"))
+
+    def step(state, segment):
+        opening = opens(segment, tag)
+        base = F.when(opening & (state["opened"] == n), state["depth"]).otherwise(state["base"])
+        depth = F.greatest(state["depth"] + opening.cast("int") - segment.endswith(f"</{tag}>").cast("int"), F.lit(0))
+        inside = (base >= 0) & ~state["done"]
+        return F.struct(
+            (state["opened"] + opening.cast("int")).alias("opened"),
+            depth.alias("depth"),
+            base.alias("base"),
+            (state["done"] | (inside & (depth <= base))).alias("done"),
+            F.when(inside, F.concat(state["text"], segment)).otherwise(state["text"]).alias("text"),
+        )
+
+    return F.aggregate(html_segments(html, tag), start, step, lambda state: F.when(state["base"] >= 0, state["text"]))
+
+
+def count_elements(html: Column, tag: str) -> Column:
+    return F.size(F.filter(html_segments(html, tag), lambda s: opens(s, tag)))
+
+
 def element_text(block: Column) -> Column:
     """Text of an HTML block: tags removed, ends trimmed."""
     return F.regexp_replace(F.regexp_replace(block, r"(?s)<[^>]*>", ""), r"^\s+|\s+$", "")

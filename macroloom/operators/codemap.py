@@ -31,6 +31,8 @@ from macroloom.work import stored
 
 MIN_SCORE = 0.90
 MIN_MARGIN = 0.3
+#: Rows that more right sets than this hold are compared by classes of sets, not by pairs.
+RARE = 32
 
 
 class CodeSets(NamedTuple):
@@ -176,27 +178,88 @@ def score_codes(left: CodeSets, right: CodeSets, min_score=MIN_SCORE, min_margin
     return scored.select(F.col("code").alias("code_left"), "n", "code_right", "overlap", "ratio", outcome.alias("outcome"))
 
 
+def top_overlaps(left_rows: DataFrame, right_rows: DataFrame, copies: DataFrame, k: int, rare: int = RARE) -> DataFrame:
+    """(left, code_right, overlap): the ``k`` right codes that share most rows with each left set, ties to the greater code.
+
+    ``left_rows`` and ``right_rows`` hold each set once (code, n, f0.., v); ``copies`` are the at
+    most ``k`` greatest codes (right, code_right) of every right set.
+
+    Rows that at most ``rare`` right sets hold are probed first. The k-th best count so far bounds
+    the answer of a left set: where it exceeds the number of its widely held rows, a right set not met
+    yet is out, and of those met only the ones that can still pass it have their widely held rows
+    counted. The other left sets compare widely held rows by classes: left and right
+    sets that hold the same of them are one class, two classes are compared once, and of the right
+    sets that share nothing rare with a left set only the k best of the classes matter.
+    """
+    feats = _features(left_rows)
+    rights = right_rows.select(F.col("code").alias("right"), *feats)
+    held = rights.groupBy(*feats).agg((F.count("*") > rare).alias("hot"))
+    placed = stored(left_rows.select(F.col("code").alias("left"), *feats).join(held, feats), "placed")
+    probed = placed.filter(~F.col("hot")).join(rights, feats).groupBy("left", "right").agg(F.count("*").alias("shared"))
+    probed = stored(probed, "probed")
+    kth = keep_first_k(probed, ["left"], [F.col("shared").desc()], k).groupBy("left")
+    kth = kth.agg(F.when(F.count("*") == k, F.min("shared")).otherwise(0).alias("kth"))
+    rest = placed.groupBy("left").agg(F.count(F.when(F.col("hot"), 1)).alias("rest"))
+    state = rest.join(kth, "left", "left").withColumn("kth", F.coalesce("kth", F.lit(0)))
+    state = stored(state.withColumn("open", (F.col("rest") > 0) & (F.col("kth") <= F.col("rest"))), "bounds")
+
+    # Left sets that no further right set can enter: widely held rows of the pairs that can pass.
+    hot_rows = rights.join(held.filter("hot"), feats).select("right", *feats)
+    left_hot = placed.filter("hot").select("left", *feats)
+    passing = probed.join(state.filter(~F.col("open")), "left").filter(F.col("shared") + F.col("rest") >= F.col("kth"))
+    passing = stored(passing.select("left", "right", "shared"), "passing")
+    more = passing.select("left", "right").join(left_hot, "left").join(hot_rows, ["right", *feats])
+    more = more.groupBy("left", "right").agg(F.count("*").alias("more"))
+    closed = passing.join(more, ["left", "right"], "left")
+
+    # The others: classes of equal widely held rows, each pair of classes once.
+    is_open = state.filter("open").select("left")
+    left_part, left_class = _classes(left_hot.join(is_open, "left", "left_semi"), "left", feats)
+    right_part, right_class = _classes(hot_rows, "right", feats)
+    met = left_part.join(right_part, feats).groupBy("left_class", "right_class").agg(F.count("*").alias("more"))
+    met = stored(met, "classes")
+    seen = probed.join(left_class, "left").join(right_class, "right", "left").join(met, ["left_class", "right_class"], "left")
+    both = closed.select("left", "right", "shared", "more").union(seen.select("left", "right", "shared", "more"))
+    both = both.select("left", "right", (F.col("shared") + F.coalesce("more", F.lit(0))).alias("overlap"))
+    best_of_class = keep_first_k(right_class.join(copies, "right"), ["right_class"], [F.col("code_right").desc()], k)
+    order = [F.col("more").desc(), F.col("code_right").desc()]
+    unseen = keep_first_k(met.join(best_of_class.drop("rank"), "right_class"), ["left_class"], order, k)
+    unseen = unseen.join(left_class, "left_class").select("left", "code_right", F.col("more").alias("overlap"))
+    # A right set met both ways has its whole count in the first.
+    found = both.join(copies, "right").select("left", "code_right", "overlap").union(unseen)
+    found = found.groupBy("left", "code_right").agg(F.max("overlap").alias("overlap"))
+    return keep_first_k(found, ["left"], [F.col("overlap").desc(), F.col("code_right").desc()], k)
+
+
+def _classes(rows: DataFrame, code: str, feats) -> tuple[DataFrame, DataFrame]:
+    """Rows of one code per distinct row set (<code>_class, f0.., v), and (code, <code>_class) of all codes."""
+    name = f"{code}_class"
+    marks = rows.groupBy(code).agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64(*feats)).alias("h1"), F.bit_xor(F.xxhash64(F.lit(1), *feats)).alias("h2")
+    )
+    groups = marks.groupBy("n", "h1", "h2").agg(F.min(code).alias(name))
+    members = stored(marks.join(groups, ["n", "h1", "h2"]).select(code, name), "classes")
+    leading = members.filter(F.col(code) == F.col(name))
+    return rows.join(leading, code).select(name, *feats), members
+
+
 def candidates_for(codes: DataFrame, left: CodeSets, right: CodeSets, k=3, min_share=0.0) -> DataFrame:
     """The ``k`` best right codes of each left code in ``codes`` (column ``code_left``).
 
-    A report for people who resolve ambiguous codes, meant for few of them: with ``min_share=0``
-    every shared value counts, so its cost is the rows of those codes times the right sets that
-    hold each of them. A higher ``min_share`` lists only closer candidates and probes rare rows.
+    A report for people who resolve ambiguous codes. Every shared value counts, and a left code with
+    fewer than ``k`` partners that share at least ``min_share`` of its rows has fewer rows.
     """
     wanted = left.codes.join(codes.select(F.col("code_left").alias("code")).distinct(), "code", "left_semi")
     wanted_sets = wanted.select(F.col("stands_for").alias("code")).distinct()
-    pairs, _ = overlapping_sets(left.heads.join(wanted_sets, "code", "left_semi"), right.heads, min_share)
     # Copies tie, and ties go to the greater code, so k copies of a set are all that can be listed.
     copies = keep_first_k(
         right.codes.select(F.col("code").alias("code_right"), F.col("stands_for").alias("right")),
         ["right"], [F.col("code_right").desc()], k,
     ).drop("rank")
-    order = [F.col("overlap").desc(), F.col("code_right").desc()]
-    top = keep_first_k(pairs.join(copies, "right"), ["left"], order, k)
-    members = wanted.select(F.col("code").alias("code_left"), F.col("stands_for").alias("left"))
-    return top.join(members, "left").select(
-        "code_left", "rank", "code_right", "overlap", (F.col("overlap") / F.col("n")).alias("ratio")
-    )
+    top = top_overlaps(left.heads.join(wanted_sets, "code", "left_semi"), right.heads, stored(copies, "copies"), k)
+    members = wanted.select(F.col("code").alias("code_left"), F.col("stands_for").alias("left"), "n")
+    listed = top.join(members, "left").filter(F.col("overlap") >= F.col("n") * min_share - 1e-9)
+    return listed.select("code_left", "rank", "code_right", "overlap", (F.col("overlap") / F.col("n")).alias("ratio"))
 
 
 def attribute_targets(left, right, keys, value, group, attr_left, attr_right) -> DataFrame:

@@ -60,6 +60,21 @@ def pair_by_ordinal(left, right, group, left_order, right_order, how, out="ordin
     return joined.select("__pair.*", *[F.col(f"a.`{c}`") for c in a_values], *[F.col(f"b.`{c}`") for c in b_values])
 
 
+def pair_classes(entries: DataFrame, group, position: str, left_columns, right_columns, how, out="ordinal") -> DataFrame:
+    """As ``pair_by_ordinal`` for two classes of rows of one frame: ``is_left`` tells them apart.
+
+    Both classes are numbered in one pass, with one table of the rows before each chunk, and an
+    aggregate puts the k-th rows of both beside each other: the frame is not joined with itself.
+    ``position`` is a whole number that no two rows of a class and group share.
+    """
+    numbered = ordinal(entries, [*group, "is_left"], [position], out)
+    is_left = F.col("is_left")
+    values = [F.max(F.when(is_left, named(c))).alias(c) for c in left_columns]
+    values += [F.max(F.when(~is_left, named(c))).alias(c) for c in right_columns]
+    paired = numbered.groupBy(*[named(g) for g in group], named(out)).agg(F.max("is_left").alias("is_left"), *values)
+    return (paired if how == "full" else paired.filter("is_left")).drop("is_left")
+
+
 def _numbered(df, group, order, out, chunk):
     numbered = ordinal(df, group, order, out, chunk)
     # A struct key equals itself even where a group column is null.

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from macroloom.functions.dates import release_month, release_ordinal, version_key, vintage_month, vintage_year
 from macroloom.functions.labels import archive_paths
 from macroloom.operators.observations import named
+from macroloom.work import inline
 from macroloom.schema import BULK_RELEASES, CORRUPT_RELEASES, MAX_ROLL_BACK
 
 
@@ -50,7 +51,20 @@ def preferred_flow(labelled: DataFrame, key=("month", "year")) -> DataFrame:
 def known_bulk(spark: SparkSession) -> DataFrame:
     """(month, year, corrupt) of every bulk release ever published."""
     rows = [(*release, release in CORRUPT_RELEASES) for release in BULK_RELEASES]
-    return spark.createDataFrame(rows, "month string, year int, corrupt boolean")
+    return inline(spark, rows, "month string, year int, corrupt boolean")
+
+
+def release_table(mapped: DataFrame, bulk: DataFrame) -> DataFrame:
+    """(month, year, flow_id, version, listed) of every release of either source, newest first.
+
+    The flow is null for releases that only the bulk archive has. ``listed`` is false for those whose
+    published archive is corrupt: they are not offered, although a flow may serve them by name.
+    """
+    listed = served_releases(mapped, bulk, bulk.filter("corrupt")).withColumn("listed", F.lit(True))
+    every = bulk.select("month", "year").union(mapped.select("month", "year")).distinct()
+    flows = every.join(mapped.select("month", "year", "flow_id", "version"), ["month", "year"], "left")
+    known = flows.join(listed, ["month", "year"], "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
+    return newest_first(known.select("month", "year", "flow_id", "version", "listed"))
 
 
 def newest_first(releases: DataFrame) -> DataFrame:

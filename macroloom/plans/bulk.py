@@ -7,7 +7,7 @@ from macroloom.functions.numbers import grouped_real, whole
 from macroloom.operators.lookup import lookup
 from macroloom.operators.observations import named
 from macroloom.schema import BULK_CODELISTS, BULK_REALS, BULK_WHOLE_NUMBERS
-from macroloom.sources.archives import audit_archives, require_sound, unpack_elements, with_verdict
+from macroloom.sources.archives import open_archives, require_sound
 from macroloom.sources.xml_docs import enumerations, parse_series, parse_simple_type, series_to_rows
 from macroloom.work import stored
 
@@ -35,15 +35,21 @@ def clean_numbers(rows: DataFrame) -> DataFrame:
 def parse_archives(archives: DataFrame, check: bool = True, with_path: bool = False) -> DataFrame:
     """Observations of any number of archives, in the vocabulary they were published in.
 
-    ``check`` reads every member once more beforehand and raises for an archive that is not a
-    sound zip of one XML and one XSD file.
+    ``check`` raises for an archive that is not a sound zip of one XML and one XSD file; without it
+    such archives have no rows.
     """
+    rows, report = parse_with_report(archives)
     if check:
-        require_sound(with_verdict(audit_archives(archives)))
-    series = unpack_elements(archives, "xml").select("path", parse_series(F.col("element")).alias("s"))
+        require_sound(report)
+    return rows if with_path else rows.drop("path")
+
+
+def parse_with_report(archives: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(observations of the sound archives with their path, report with verdict of every archive)."""
+    report, elements = open_archives(archives)
+    series = elements.filter("kind = 'xml'").select("path", parse_series(F.col("element")).alias("s"))
     rows = series_to_rows(series.select("path", "s.*"), keep=["path"])
-    types = unpack_elements(archives, "xsd").select("path", parse_simple_type(F.col("element")).alias("t"))
+    types = elements.filter("kind = 'xsd'").select("path", parse_simple_type(F.col("element")).alias("t"))
     # Five labels are read from the code lists, so they are written once; they are small.
     codes = stored(enumerations(types.select("path", "t.*"), keep=["path"]), "bulk-codes")
-    parsed = clean_numbers(add_labels(rows, codes, per=("path",)))
-    return parsed if with_path else parsed.drop("path")
+    return clean_numbers(add_labels(rows, codes, per=("path",))), report

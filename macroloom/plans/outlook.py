@@ -9,15 +9,19 @@ Layout under the landing root::
     codelists/<agency>/<id>.json             code lists
     bulk/<year>/.../weo<mon><year>-sdmxdata.zip   bulk archives
     vocabulary/{area_map,unit_map,legacy_labels}  tables of ``plans.vocabulary`` (Parquet)
+    releases/                                which flow serves which release, by version (``sources.manifest``)
 """
 
 import logging
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cached_property
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from macroloom import vocabulary_values
 from macroloom.errors import DataflowDiscoveryError, NoDataError, VersionNotAvailableError
@@ -29,16 +33,17 @@ from macroloom.operators.metadata import (
     repair_if_degraded,
 )
 from macroloom.operators.observations import contract
-from macroloom.operators.releases import candidate_flows, first_existing_path, label_flows, preferred_flow
+from macroloom.operators.releases import candidate_flows, first_existing_path, known_bulk, label_flows, preferred_flow, release_table
 from macroloom.plans.align import align_observations
 from macroloom.plans.bulk import parse_archives
 from macroloom.plans.translate import translate_release
-from macroloom.schema import AREA_MAP_SCHEMA, BULK_RELEASES, CODELIST_SCHEMA, CORRUPT_RELEASES, MAX_ROLL_BACK
+from macroloom.schema import AREA_MAP_SCHEMA, CODELIST_SCHEMA, MAX_ROLL_BACK
 from macroloom.plans.vocabulary import derive_vocabulary, write_vocabulary
 from macroloom.sources.archives import is_known_corrupt, release_of_path, scan_archives
 from macroloom.sources.csvs import scan_observations, scan_probes, scan_sidecar
 from macroloom.sources.json_docs import scan_catalogue, scan_codelists
-from macroloom.sources.snapshots import SCHEMA_VERSION, WEEK, fresh, keyed, read_snapshot, write_snapshot
+from macroloom.sources import manifest
+from macroloom.sources.snapshots import HOUR, SCHEMA_VERSION, WEEK, fresh, keyed, read_snapshot, write_snapshot
 from macroloom.work import landed, stored
 
 log = logging.getLogger(__name__)
@@ -59,13 +64,39 @@ class Served(NamedTuple):
     ref: FlowRef | None
 
 
+class Pinned(NamedTuple):
+    """One version of the release table: (release, FlowRef or None, listed), newest first."""
+
+    entries: list
+
+    @property
+    def flows(self) -> dict:
+        return {release: ref for release, ref, _ in self.entries if ref}
+
+    @property
+    def listed(self) -> list:
+        return [release for release, _, listed in self.entries if listed]
+
+
+RELEASE_TABLE = (
+    T.StructType().add("month", "string").add("year", "integer").add("flow_id", "string").add("version", "string").add("listed", "boolean")
+)
+
+
 class Outlook:
-    """Releases of one landing root. Frames are lazy; only release resolution runs jobs."""
+    """Releases of one landing root.
+
+    Frames of flows are lazy; resolving a release reads the manifest, and bulk archives are unpacked
+    when they are asked for. ``mapping_ttl`` is the lifetime of a manifest in seconds.
+    """
 
-    def __init__(self, spark: SparkSession, root: str, area_map: DataFrame | None = None):
+    def __init__(self, spark: SparkSession, root: str, area_map: DataFrame | None = None, mapping_ttl: int = HOUR):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.manifest = f"{self.root}/releases"
+        self.mapping_ttl = mapping_ttl
         self._area_map = area_map
+        self._pin = ContextVar("pin", default=None)
 
     # -- dimensions ---------------------------------------------------------------------
 
@@ -108,41 +139,70 @@ class Outlook:
 
     # -- releases -----------------------------------------------------------------------
 
-    def flow_mapping(self) -> dict:
-        """{(month, year): FlowRef} of the releases that the catalogue's flows serve."""
+    def pinned(self) -> "Pinned":
+        """The releases as the newest manifest has them; made anew if none is younger than its lifetime.
+
+        Every public call reads it once (``_one_manifest``), so that both legs of a call, and all calls
+        within an hour, see the same flows whatever lands meanwhile.
+        """
+        if self._pin.get() is not None:
+            return self._pin.get()
+        entries = manifest.newest(self.spark, self.manifest, RELEASE_TABLE, self.mapping_ttl)
+        if entries is None:
+            self.refresh_mapping()
+            entries = manifest.newest(self.spark, self.manifest, RELEASE_TABLE, self.mapping_ttl)
+        rows = [((r["month"], r["year"]), r["flow_id"] and FlowRef(r["flow_id"], r["version"]), r["listed"]) for r in entries]
+        return Pinned(sorted(rows, key=lambda row: release_sort_key(row[0]), reverse=True))
+
+    @contextmanager
+    def _one_manifest(self):
+        """Inside, in this thread, all steps of a call see one manifest, or each for itself that there is none."""
+        try:
+            token = self._pin.set(self.pinned())
+        except DataflowDiscoveryError:
+            token = None
+        try:
+            yield
+        finally:
+            if token is not None:
+                self._pin.reset(token)
+
+    def refresh_mapping(self) -> None:
+        """Publish a new manifest from the landed catalogue and probes. One that is unusable is never published."""
         catalogue = self._optional(scan_catalogue, f"{self.root}/catalogue")
         if catalogue is None:
             raise DataflowDiscoveryError(f"No dataflow catalogue is landed under {self.root}/catalogue")
         probes = self._optional(scan_probes, f"{self.root}/probes")
         if probes is None:
             probes = self.spark.createDataFrame([], "flow_id string, version string, published date")
-        # Both are bounded by the catalogue: a few dozen flow versions.
-        labelled = label_flows(candidate_flows(catalogue), probes)
+        labelled = stored(label_flows(candidate_flows(catalogue), probes), "flows")
+        # Bounded by the catalogue: a few dozen flow versions.
         for row in labelled.filter(~F.col("probed")).collect():
             if row["is_bare"]:
-                raise ValueError(f"PUBLICATION_DATE probe returned no usable data for WEO {row['version']}")
+                raise ValueError(f"WEO {row['version']}, which decides what is newest, has no readable publication date")
             how = f"labelled {row['month']} {row['year']} by its id" if row["month"] else "skipped"
             log.warning("No publication date for %s %s; %s", row["flow_id"], row["version"], how)
-        rows = preferred_flow(labelled).collect()
-        mapping = {(r["month"], r["year"]): FlowRef(r["flow_id"], r["version"]) for r in rows}
-        if not any(ref.flow_id == "WEO" for ref in mapping.values()):
+        mapped = stored(preferred_flow(labelled), "flows")
+        if mapped.filter("flow_id = 'WEO'").isEmpty():
             raise DataflowDiscoveryError(f"The dataflow catalogue under {self.root}/catalogue has no usable WEO dataflow")
-        return mapping
+        manifest.publish(release_table(mapped, known_bulk(self.spark)), self.manifest)
+
+    def flow_mapping(self) -> dict:
+        """{(month, year): FlowRef} of the releases that the catalogue's flows serve."""
+        return self.pinned().flows
 
     def versions(self) -> list:
         """Every release that can be served, newest first."""
-        served = (set(self.flow_mapping()) | set(BULK_RELEASES)) - set(CORRUPT_RELEASES)
-        return sorted(served, key=release_sort_key, reverse=True)
+        return self.pinned().listed
 
     def resolve(self, release=None, purpose="observations"):
         """(release, FlowRef) from the flow mapping alone; None means its newest release."""
         mapping = self.flow_mapping()
         if release is None:
-            release = max(mapping, key=release_sort_key)
+            release = next(iter(mapping))
         if release not in mapping:
             note = "Series metadata exists only for releases a flow serves. " if purpose == "series metadata" else ""
-            listed = sorted(mapping, key=release_sort_key, reverse=True)
-            raise VersionNotAvailableError(f"Version {release} not available from the API. {note}Available: {listed}")
+            raise VersionNotAvailableError(f"No flow serves {release}. {note}Served are {list(mapping)}")
         return release, mapping[release]
 
     # -- observations -------------------------------------------------------------------
@@ -174,7 +234,7 @@ class Outlook:
         wanted = self.spark.createDataFrame([release], "month string, year int")
         row = first_existing_path(wanted, manifest).first()
         if row is None or row["outcome"] != "found":
-            raise NoDataError(f"No SDMX data found for {release[0]} {release[1]} under {base}")
+            raise NoDataError(f"{base} holds no archive of {release[0]} {release[1]}")
         return base + row["path"]
 
     def bulk_releases(self) -> DataFrame:
@@ -218,19 +278,20 @@ class Outlook:
         An explicit release may come from the bulk archive but is never replaced by another. The
         newest one may be replaced by one of the next three older ones, if there is no data.
         """
-        if release is not None:
-            return self._from_either_source(requested_release(release))
-        versions = self.versions()
-        try:
-            return self._from_either_source(versions[0])
-        except NoDataError as original:
-            for older in versions[1 : 1 + MAX_ROLL_BACK]:
-                log.warning("No data for %s %s; trying %s %s", *versions[0], *older)
-                try:
-                    return self._from_either_source(older)
-                except NoDataError:
-                    continue
-            raise original
+        with self._one_manifest():
+            if release is not None:
+                return self._from_either_source(requested_release(release))
+            versions = self.versions()
+            try:
+                return self._from_either_source(versions[0])
+            except NoDataError as original:
+                for older in versions[1 : 1 + MAX_ROLL_BACK]:
+                    log.warning("No data for %s %s; trying %s %s", *versions[0], *older)
+                    try:
+                        return self._from_either_source(older)
+                    except NoDataError:
+                        continue
+                raise original
 
     def fetch_data(self, release=None) -> DataFrame:
         """The 16 contract columns of a release."""
@@ -272,13 +333,14 @@ class Outlook:
         that moved to another flow is never served from its old snapshot.
         """
         release = requested_release(release)
-        try:
-            ref = self.resolve(release)[1]
-        except (VersionNotAvailableError, DataflowDiscoveryError):
-            ref = None
-        found = self._optional(_snapshot, store, release, ref)
-        if found is None or fresh(found, ttl_seconds).isEmpty():
-            self.ingest(store, release)
+        with self._one_manifest():
+            try:
+                ref = self.resolve(release)[1]
+            except (VersionNotAvailableError, DataflowDiscoveryError):
+                ref = None
+            found = self._optional(_snapshot, store, release, ref)
+            if found is None or fresh(found, ttl_seconds).isEmpty():
+                self.ingest(store, release)
         return read_release(self.spark, store, release, ref)
 
 

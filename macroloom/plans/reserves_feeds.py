@@ -13,14 +13,8 @@ from macroloom.functions.numbers import digits_only_real, real
 from macroloom.functions.text import field, fields
 from macroloom.operators.lookup import lookup
 from macroloom.operators.observations import melt
-from macroloom.operators.positional import (
-    first_occurrences,
-    header_positions,
-    pair_by_ordinal,
-    require_columns,
-    rows_labelled,
-    without_labels,
-)
+from macroloom.operators.positional import header_positions, pair_classes, require_columns, without_labels
+from macroloom.work import stored
 
 # Fixed values of the feeds: labels that are matched, columns that have to be there.
 INTEREST_LABEL = "SDR Interest Rate"
@@ -53,19 +47,26 @@ def exchange_rates(lines: DataFrame, unit_basis="SDR", check=True, date_patterns
     """(file, ordinal, date, exchange_rate): the k-th distinct date beside the k-th rate."""
     label = rate_label(unit_basis)
     rows = with_header_columns(lines, EXCHANGE_COLUMNS, check)
-    rates = rows_labelled(rows, F.col("parts"), label, label_at=F.col("label_at"), out="exchange_rate")
-    dated = rows.filter(field(F.col("parts"), 3).isNotNull())
-    dates = first_occurrences(
-        dated.select("file", "line_no", field(F.col("parts"), 0).alias("date")), ["file"], ["date"], "line_no"
-    )
-    paired = pair_by_ordinal(
-        dates, rates.select("file", "line_no", "exchange_rate"), ["file"], ["line_no"], ["line_no"], "full"
-    )
+    parts, none = F.col("parts"), F.lit(None).cast("string")
+    # A line may be both: a dated row counts once per date, a rate row for itself.
+    dated = F.when(field(parts, 3).isNotNull(), _entry(True, field(parts, 0), none, F.lit(None).cast("bigint")))
+    rate = F.when(F.get(parts, F.col("label_at")) == label, _entry(False, none, F.get(parts, F.lit(1)), F.col("line_no")))
+    found = rows.select("file", "line_no", F.explode(F.array_compact(F.array(dated, rate))).alias("e")).select("file", "line_no", "e.*")
+    paired = pair_classes(_first_lines(found, ["date", "exchange_rate"]), ["file"], "line_no", ["date"], ["exchange_rate"], "full")
     return paired.withColumns(
         {"date": feed_date(F.col("date"), date_patterns), "exchange_rate": real(F.col("exchange_rate"))}
     )
 
 
+def _entry(is_left, date, rate, own):
+    return F.struct(F.lit(is_left).alias("is_left"), date.alias("date"), rate.alias("exchange_rate"), own.alias("own"))
+
+
+def _first_lines(found: DataFrame, columns) -> DataFrame:
+    """Distinct values of each class with the line they are first seen on; stored, as numbering reads them twice."""
+    return stored(found.groupBy("file", "is_left", "own", *columns).agg(F.min("line_no").alias("line_no")), "feed-entries")
+
+
 def interest_rows(lines: DataFrame, check=True) -> DataFrame:
     """(file, line_no, effective_from, effective_to) of lines that have a second field."""
     rows = with_header_columns(lines, INTEREST_COLUMNS, check)
@@ -82,9 +83,17 @@ def interest_rates(lines: DataFrame, check=True, date_patterns=DATE_PATTERNS) ->
     """(file, ordinal, interest_rate, effective_from, effective_to): one row per published rate."""
     rows = without_labels(interest_rows(lines, check), F.col("effective_from"), INTEREST_SKIPPED)
     is_rate = F.coalesce(F.col("effective_from") == INTEREST_LABEL, F.lit(False))
-    rates = rows.filter(is_rate).select("file", "line_no", F.col("effective_to").alias("interest_rate"))
-    periods = first_occurrences(rows.filter(~is_rate), ["file"], ["effective_from", "effective_to"], "line_no")
-    paired = pair_by_ordinal(rates, periods, ["file"], ["line_no"], ["line_no"], "left")
+    found = rows.select(
+        "file",
+        "line_no",
+        is_rate.alias("is_left"),
+        F.when(is_rate, F.col("line_no")).alias("own"),
+        F.when(is_rate, F.col("effective_to")).alias("interest_rate"),
+        F.when(~is_rate, F.col("effective_from")).alias("effective_from"),
+        F.when(~is_rate, F.col("effective_to")).alias("effective_to"),
+    )
+    periods = ["effective_from", "effective_to"]
+    paired = pair_classes(_first_lines(found, ["interest_rate", *periods]), ["file"], "line_no", ["interest_rate"], periods, "left")
     return paired.withColumns(
         {
             "interest_rate": real(F.col("interest_rate")),

@@ -11,6 +11,7 @@ from macroloom.showcase import (
     feeds,
     joins,
     releases_served,
+    serving,
     storage,
     values,
     vocabularies,
@@ -26,6 +27,7 @@ __all__ = [
     "feeds",
     "joins",
     "releases_served",
+    "serving",
     "storage",
     "values",
     "vocabularies",

@@ -12,7 +12,7 @@ from macroloom.showcase.alignment import ALIGNED_SQL, area_map, codelists, feed
 from macroloom.showcase.documents import series_text
 from macroloom.showcase.registry import query
 from macroloom.sources import csvs, json_docs, snapshots, text_lines, xml_docs
-from macroloom.streaming.ingest import ingest_stream, landed_stream, read_ingested
+from macroloom.streaming.ingest import compact_ingested, ingest_stream, landed_stream, read_ingested
 from macroloom.work import new_folder, stored
 
 CSV_STYLE = {"header": "true", "escape": '"', "emptyValue": ""}
@@ -141,12 +141,15 @@ def q_clear_scope(spark, table):
     return snapshots.read_snapshot(spark, store, sublayer="sdr").select("event_id", "user_id", "sublayer")
 
 
+OBSERVATION = ["l_orderkey", "l_linenumber", "REF_AREA_CODE", "CONCEPT_CODE", "UNIT_CODE", "TIME_PERIOD"]
+
+
 @query(f"""
     SELECT l_orderkey, l_linenumber, "REF_AREA_CODE", "CONCEPT_LABEL", "TIME_PERIOD",
            CASE WHEN "TIME_PERIOD" = 1996 THEN "OBS_VALUE" * 2 ELSE "OBS_VALUE" END AS "OBS_VALUE" FROM ({ALIGNED_SQL})
 """)
 def q_stream_ingest(spark, table):
-    """Landed files go through the alignment pipeline as a stream; then one year is landed again with other values."""
+    """Landed files go through the alignment pipeline as a stream; one year is landed again with other values; each run is compacted."""
     landing, store, checkpoint = (new_folder(spark, purpose) for purpose in ("landing", "stream", "progress"))
     rows = feed(table)
     lists, areas = stored(codelists(table), "codelists"), stored(area_map(table), "areas")
@@ -160,5 +163,6 @@ def q_stream_ingest(spark, table):
         landed.write.mode("append").parquet(landing)
         stream = landed_stream(spark, landing, rows.schema, "parquet")
         ingest_stream(stream, transform, store, checkpoint, ["release_year"], ["l_orderkey"]).awaitTermination()
-    newest = read_ingested(spark, store, ["l_orderkey", "l_linenumber", "REF_AREA_CODE", "CONCEPT_CODE", "UNIT_CODE", "TIME_PERIOD"])
+        compact_ingested(spark, store, OBSERVATION, ["l_orderkey"])
+    newest = read_ingested(spark, store, OBSERVATION)
     return newest.select("l_orderkey", "l_linenumber", "REF_AREA_CODE", "CONCEPT_LABEL", "TIME_PERIOD", "OBS_VALUE")

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from macroloom.errors import BulkPayloadCorruptError, UnexpectedFileError
 from macroloom.schema import CORRUPT_RELEASES
+from macroloom.work import stored
 
-REPORT_SCHEMA = "path string, is_zip boolean, bad_member string, n_xml int, n_xsd int"
-ELEMENT_SCHEMA = "path string, pos bigint, element string"
+REPORT_COLUMNS = ["path", "is_zip", "bad_member", "n_xml", "n_xsd"]
+UNPACKED_SCHEMA = "path string, kind string, pos bigint, element string, is_zip boolean, bad_member string, n_xml int, n_xsd int"
 ELEMENT_TAG = {"xml": "Series", "xsd": "xs:simpleType"}
 PIECE = 1 << 20
 ROWS_PER_BATCH = 5_000
@@ -34,29 +35,76 @@ def scan_archives(spark: SparkSession, path) -> DataFrame:
     )
 
 
-def _inspect(content):
+def _members(path, content, kinds):
+    """Rows of one archive from one inflation: its elements of ``kinds``, and its report last."""
     stream = io.BytesIO(content)
     if not zipfile.is_zipfile(stream):
-        return False, None, 0, 0
+        yield path, "report", None, None, False, None, 0, 0
+        return
     with zipfile.ZipFile(stream) as folder:
         names = folder.namelist()
         counts = [sum(n.endswith(suffix) for n in names) for suffix in (".xml", ".xsd")]
-        try:
-            bad = folder.testzip()
-        except Exception:  # a broken stream fails before its CRC can be compared
-            bad = names[0] if names else ""
-        return True, bad, *counts
+        bad = None
+        for name in names:
+            kind = name.rsplit(".", 1)[-1]
+            try:
+                with folder.open(name) as member:
+                    if kind in kinds:
+                        for pos, element in enumerate(_elements(member, ELEMENT_TAG[kind])):
+                            yield path, kind, pos, element, None, None, None, None
+                    else:
+                        while member.read(PIECE):
+                            pass
+            except Exception:  # a wrong checksum, a broken stream, or text that is not UTF-8
+                bad = name
+                break
+        yield path, "report", None, None, True, bad, *counts
 
 
-def audit_archives(archives: DataFrame) -> DataFrame:
-    """Report per archive: is it a zip, which member fails its CRC, how many XML and XSD members."""
+def unpack_archives(archives: DataFrame, kinds=("xml", "xsd")) -> DataFrame:
+    """Series (``xml``) and simple types (``xsd``) of every archive, and a report row for each, in one pass.
 
-    def check(batches):
+    Reading a member to its end checks its CRC, so the archive is inflated once for all three.
+    Elements of an archive that turns out to be broken are among the rows: ``open_archives``
+    leaves them out.
+    """
+
+    def unpack(batches):
         for batch in batches:
-            rows = [(p, *_inspect(c)) for p, c in zip(batch["path"], batch["content"])]
-            yield pd.DataFrame(rows, columns=["path", "is_zip", "bad_member", "n_xml", "n_xsd"])
+            rows = []
+            for path, content in zip(batch["path"], batch["content"]):
+                for row in _members(path, content, kinds):
+                    rows.append(row)
+                    if len(rows) == ROWS_PER_BATCH:
+                        yield _frame(rows)
+                        rows = []
+            yield _frame(rows)
+
+    return archives.mapInPandas(unpack, UNPACKED_SCHEMA)
+
+
+def _frame(rows):
+    columns = [c.split()[0] for c in UNPACKED_SCHEMA.split(", ")]
+    return pd.DataFrame(rows, columns=columns).astype({"pos": "Int64", "is_zip": "boolean", "n_xml": "Int32", "n_xsd": "Int32"})
+
+
+def audit_archives(archives: DataFrame) -> DataFrame:
+    """Report per archive: is it a zip, which member cannot be read, how many XML and XSD members."""
+    return unpack_archives(archives, kinds=()).select(*REPORT_COLUMNS)
+
+
+def open_archives(archives: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(report with verdict of every archive, (path, kind, pos, element) of the sound ones).
 
-    return archives.mapInPandas(check, REPORT_SCHEMA)
+    The pass is stored, so that the report, the series and the code lists are read from it and no
+    archive is inflated again. One task inflates an archive; the shuffle spreads its elements evenly, so
+    that many tasks share the parsing of a large one.
+    """
+    unpacked = stored(unpack_archives(archives), "unpacked")
+    report = stored(with_verdict(unpacked.filter("kind = 'report'").select(*REPORT_COLUMNS)), "archive-report")
+    sound = report.filter("verdict = 'ok'").select("path")
+    elements = unpacked.filter("kind <> 'report'").select("path", "kind", "pos", "element")
+    return report, elements.join(sound, "path", "left_semi").repartition("path", "pos")
 
 
 def release_of_path(path):
@@ -138,31 +186,3 @@ def _elements(stream, tag):
             text = text[-(len(tag) + 2) :]
         elif start.start():
             text = text[start.start() :]
-
-
-def unpack_elements(archives: DataFrame, kind: str) -> DataFrame:
-    """(path, pos, element): every series (``xml``) or every simple type (``xsd``) of sound archives.
-
-    One task inflates the members of that kind of one archive; the shuffle that follows spreads
-    the elements evenly, so that parsing a large archive is shared by many tasks.
-    """
-    tag = ELEMENT_TAG[kind]
-    columns = ["path", "pos", "element"]
-
-    def unpack(batches):
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as folder:
-                    for name in folder.namelist():
-                        if not name.endswith(f".{kind}"):
-                            continue
-                        with folder.open(name) as member:
-                            rows = []
-                            for pos, element in enumerate(_elements(member, tag)):
-                                rows.append((path, pos, element))
-                                if len(rows) == ROWS_PER_BATCH:
-                                    yield pd.DataFrame(rows, columns=columns)
-                                    rows = []
-                            yield pd.DataFrame(rows, columns=columns)
-
-    return archives.mapInPandas(unpack, ELEMENT_SCHEMA).repartition("path", "pos")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from macroloom.functions.dates import published_date
 from macroloom.functions.text import null_if_in
 from macroloom.operators.observations import drop_envelope, named, plain_headers
 from macroloom.schema import MISSING_TOKENS
@@ -38,7 +39,8 @@ def _of_one_header(spark: SparkSession, files: list, header: str, multi_line: bo
         files, header=True, multiLine=multi_line, quote='"', escape='"', encoding="UTF-8", columnNameOfCorruptRecord="__broken"
     )
     # Short rows end in nulls; a row with more cells than the header names cannot be placed.
-    too_long = F.size(csv_cells(F.rtrim("__broken"))) > len(names)
+    # Named beside the broken line, a cell keeps the scan from reading that line alone, which Spark refuses.
+    too_long = F.size(csv_cells(F.rtrim(F.coalesce("__broken", named(names[0]))))) > len(names)
     message = F.concat(F.lit(f"more than {len(names)} cells in a row: "), F.col("__broken"))
     checked = F.when(F.col("__broken").isNull() | ~too_long, True).otherwise(F.raise_error(message).cast("boolean"))
     return df.filter(checked).drop("__broken")
@@ -89,6 +91,8 @@ def csv_cells(line):
 def scan_probes(spark: SparkSession, folder: str) -> DataFrame:
     """(flow_id, version, published) from landed ``<flow>/<version>.csv`` probe files.
 
+    Folders ``flow_id=<flow>/version=<version>`` with files of any name are read alike.
+
     A file without rows or without a PUBLICATION_DATE column yields no row, which is what a
     failed probe looks like downstream. Each file's own header line decides which cell is the
     date; a probe asks for one observation, so only two lines per file matter.
@@ -99,9 +103,14 @@ def scan_probes(spark: SparkSession, folder: str) -> DataFrame:
         F.max(F.when(F.col("line_no") == 1, F.col("value"))).alias("row"),
     )
     at = F.array_position(csv_cells(F.col("header")), "PUBLICATION_DATE")
+
+    def part(name, nth):
+        folder = F.regexp_extract("file", rf"/{name}=([^/]+)/", 1)
+        return F.when(folder != "", folder).otherwise(F.regexp_extract("file", r"([^/]+)/([^/]+)\.csv$", nth))
+
     published = F.when(at > 0, F.get(csv_cells(F.col("row")), (at - 1).cast("int")))
     return per_file.select(
-        F.regexp_extract("file", r"([^/]+)/([^/]+)\.csv$", 1).alias("flow_id"),
-        F.regexp_extract("file", r"([^/]+)/([^/]+)\.csv$", 2).alias("version"),
-        F.try_to_date(F.substring(published, 1, 10), "yyyy-MM-dd").alias("published"),
+        part("flow_id", 1).alias("flow_id"),
+        part("version", 2).alias("version"),
+        published_date(published).alias("published"),
     ).filter(F.col("published").isNotNull())

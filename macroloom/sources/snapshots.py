@@ -52,14 +52,20 @@ def read_snapshot(spark: SparkSession, root: str, **keys) -> DataFrame:
     The partition columns have set types. Inferred ones would take the flow versions 9.1 and 9.10
     for the same number.
     """
-    found = spark.read.option("basePath", root).parquet(root).schema
-    fields = [T.StructField(f.name, PARTITION_TYPES.get(f.name, f.dataType)) for f in found]
-    df = spark.read.option("basePath", root).schema(T.StructType(fields)).parquet(root)
+    df = read_partitioned(spark, root)
     for column, wanted in keys.items():
         df = df.filter(named(column) == F.lit(wanted))
     return df
 
 
+def read_partitioned(spark: SparkSession, root: str, types=None) -> DataFrame:
+    """A partitioned table whose partition columns have the set types, or those of ``types``."""
+    types = PARTITION_TYPES if types is None else types
+    found = spark.read.option("basePath", root).parquet(root).schema
+    fields = [T.StructField(f.name, types.get(f.name, f.dataType)) for f in found]
+    return spark.read.option("basePath", root).schema(T.StructType(fields)).parquet(root)
+
+
 def fresh(df: DataFrame, ttl_seconds: int, now=None, stamp="ingested_at") -> DataFrame:
     """Rows younger than the lifetime; a stamp in the future counts as age zero."""
     present = F.current_timestamp() if now is None else now

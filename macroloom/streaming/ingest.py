@@ -1,12 +1,22 @@
 """Incremental ingest: files that land are aligned once and become snapshot partitions."""
 
+import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from macroloom.sources.snapshots import write_snapshot
+from macroloom.operators.observations import named
+from macroloom.sources.snapshots import PARTITION_TYPES, read_partitioned, write_snapshot
+from macroloom.work import stored
+
+#: Folder of a store, hidden from readers of the batches: its log and the compacted partitions.
+STATE = "_state"
+LOG_SCHEMA = "kind string, batch bigint, at timestamp, generation string, types string, parts array<struct<part:string,generation:string>>"
 
 
 def landed_stream(spark: SparkSession, path: str, schema, fmt="csv", files_per_trigger: int | None = None, **options):
@@ -17,17 +27,133 @@ def landed_stream(spark: SparkSession, path: str, schema, fmt="csv", files_per_t
     return reader.load(path)
 
 
+def _optional(read):
+    try:
+        return read()
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        return None
+
+
+def _log(spark: SparkSession, store: str) -> Row | None:
+    """Newest finished batch, types of the partition columns, and the newest compaction, from the store's log."""
+    log = _optional(lambda: spark.read.schema(LOG_SCHEMA).parquet(f"{store}/{STATE}/log"))
+    if log is None:
+        return None
+    is_batch = F.col("kind") == "batch"
+    return log.agg(
+        F.max("batch").alias("newest"),
+        F.max_by(F.when(is_batch, F.col("types")), F.when(is_batch, F.struct("batch", "at"))).alias("types"),
+        F.max_by(F.when(~is_batch, F.struct("batch", "parts")), F.when(~is_batch, F.struct("batch", "at"))).alias("compaction"),
+    ).first()
+
+
+def _append_log(spark: SparkSession, store: str, entry: DataFrame) -> None:
+    """One row in one file: it becomes visible by a single rename, so readers see all of it or nothing."""
+    entry = entry.withColumn("at", F.current_timestamp())
+    fields = T.StructType.fromDDL(LOG_SCHEMA)
+    columns = [F.col(f.name).cast(f.dataType) if f.name in entry.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+    entry.select(*columns).coalesce(1).write.mode("append").parquet(f"{store}/{STATE}/log")
+
+
+def _part(partitions):
+    return F.to_json(F.struct(*[named(p).cast("string").alias(p) for p in partitions]))
+
+
+def _same(left, right, observation):
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"__{c}"]) for c in observation])
+
+
+def _newest(rows: DataFrame, observation) -> DataFrame:
+    """Each observation as the newest batch that holds it has it; one shuffle."""
+    newest = F.max("batch").over(Window.partitionBy(*[named(c) for c in observation]))
+    return rows.withColumn("__newest", newest).filter(F.col("batch") == F.col("__newest")).drop("__newest")
+
+
+class _Store(NamedTuple):
+    """Rows of finished batches since the last compaction, and the compacted rows (None where there are none)."""
+
+    deltas: DataFrame | None
+    base: DataFrame | None
+    parts: DataFrame | None
+    newest: int | None
+    types: dict
+
+
+def _open(spark: SparkSession, store: str) -> _Store:
+    log = _log(spark, store)
+    types = {f.name: f.dataType for f in T.StructType.fromDDL(log["types"])} if log and log["types"] else PARTITION_TYPES
+    landed = _optional(lambda: read_partitioned(spark, store, types))
+    if log is None:
+        return _Store(landed, None, None, None, types)
+    deltas = landed.filter(F.col("batch") <= log["newest"])
+    if log["compaction"] is None:
+        return _Store(deltas, None, None, log["newest"], types)
+    upto, listed = log["compaction"]
+    deltas = deltas.filter(F.col("batch") > upto) if log["newest"] > upto else None
+    parts = spark.createDataFrame([tuple(p) for p in listed], "part string, generation string")
+    compacted = read_partitioned(spark, f"{store}/{STATE}/compacted", {**types, "generation": T.StringType()})
+    live = compacted.filter(F.col("generation").isin(sorted({p["generation"] for p in listed})))
+    current = live.withColumn("__part", _part([p for p in types if p != "batch"]))
+    base = current.join(parts.withColumnRenamed("part", "__part"), ["generation", "__part"], "left_semi")
+    return _Store(deltas, base.drop("generation", "__part"), parts, log["newest"], types)
+
+
 def read_ingested(spark: SparkSession, store: str, observation: Sequence[str]) -> DataFrame:
     """What the stream has stored, each observation as the newest batch that holds it has it.
 
     ``observation`` names the columns that tell observations apart. A restated file replaces the
-    observations it repeats; a late file only adds its own.
+    observations it repeats; a late file only adds its own. Batches that have not finished are not
+    read. What ``compact_ingested`` has merged is read as it is; only batches since then are reduced.
+    """
+    opened = _open(spark, store)
+    if opened.base is None:
+        return _newest(opened.deltas, observation)
+    if opened.deltas is None:
+        return opened.base
+    fresh = _newest(opened.deltas, observation)
+    keys = _keys(fresh, observation)
+    return opened.base.join(keys, _same(opened.base, keys, observation), "left_anti").unionByName(fresh)
+
+
+def _keys(rows, observation):
+    return rows.select(*[named(c).alias(f"__{c}") for c in observation]).distinct()
+
+
+def compact_ingested(spark: SparkSession, store: str, observation: Sequence[str], sort_by: Sequence[str] = ()) -> bool:
+    """Merge finished batches into compacted partitions; False if there was nothing to merge.
+
+    Only partitions that new batches have rows for, or hold observations that they restate, are
+    written again, as a new generation beside the old one. One log row then names the generation of
+    every partition. Until it is there readers follow the old row, so a crash in between leaves
+    files that nobody reads and the next run merges anew. Files of old generations may be removed
+    when no reader uses them any more.
     """
-    rows = spark.read.option("basePath", store).parquet(store)
-    newest = rows.groupBy(*observation).agg(F.max("batch").alias("__newest"))
-    newest = newest.toDF(*[f"__{c}" for c in observation], "__newest")
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in observation])
-    return rows.join(newest, same & (F.col("batch") == F.col("__newest")), "left_semi")
+    opened = _open(spark, store)
+    if opened.deltas is None:
+        return False
+    partitions = [p for p in opened.types if p != "batch"]
+    generation = uuid.uuid4().hex
+    fresh = stored(_newest(opened.deltas, observation), "ingest-deltas")
+    touched = fresh.select(_part(partitions).alias("part"))
+    rows = fresh
+    if opened.base is not None:
+        keys = _keys(fresh, observation)
+        marked = opened.base.withColumn("__part", _part(partitions))
+        touched = stored(touched.union(marked.join(keys, _same(marked, keys, observation), "left_semi").select("__part")).distinct(), "ingest-parts")
+        kept = marked.join(touched.withColumnRenamed("part", "__part"), "__part", "left_semi").drop("__part")
+        rows = kept.join(keys, _same(kept, keys, observation), "left_anti").unionByName(fresh)
+    target = f"{store}/{STATE}/compacted"
+    write_snapshot(rows.withColumn("generation", F.lit(generation)), target, ["generation", *partitions], sort_by)
+    written = read_partitioned(spark, target, {**opened.types, "generation": T.StringType()}).filter(F.col("generation") == generation)
+    parts = written.select(_part(partitions).alias("part"), "generation").distinct()
+    if opened.parts is not None:
+        parts = parts.union(opened.parts.join(touched, "part", "left_anti"))
+    listed = parts.agg(F.collect_list(F.struct("part", "generation")).alias("parts"))
+    entry = listed.select(F.lit("compaction").alias("kind"), F.lit(opened.newest).alias("batch"), F.lit(generation).alias("generation"), "parts")
+    _append_log(spark, store, entry)
+    return True
 
 
 def ingest_stream(
@@ -42,13 +168,17 @@ def ingest_stream(
 
     Each batch goes through ``transform`` and replaces only partitions of its own: ``batch`` is a
     partition column, so a batch that is run again after a failure overwrites what its first run
-    left, and rows of one release that land in different batches do not replace each other.
+    left, and rows of one release that land in different batches do not replace each other. A row
+    of the store's log says that a batch has finished.
     """
     keys = [*partitions, "batch"]  # ``read_ingested`` tells restated rows from rows that came late
 
     def write(batch: DataFrame, batch_id: int):
-        frame = transform(batch).withColumn("batch", F.lit(batch_id))
+        frame = transform(batch).withColumn("batch", F.lit(batch_id).cast("bigint"))
         write_snapshot(frame, store, partitions=keys, sort_by=sort_by)
+        types = ", ".join(f"`{k}` {frame.schema[k].dataType.simpleString()}" for k in keys)
+        entry = batch.sparkSession.range(1).select(F.lit("batch").alias("kind"), F.lit(batch_id).alias("batch"), F.lit(types).alias("types"))
+        _append_log(batch.sparkSession, store, entry)
 
     return (
         stream.writeStream.foreachBatch(write)
