@@ -6,7 +6,7 @@ again. All stages but the last return the columns of the documents they got.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from macroloom.llm import bpe, decontaminate, langid, neardup, secrets
@@ -17,22 +17,36 @@ from macroloom.llm.queries import BYTE_BPE, MULTI_BPE
 LEAST_SCORE = 0.5
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """Id and text, and beside them the whole row in one column, so that no result can have the name of another column."""
+    return docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a recognised language. Null, empty and letterless texts go."""
     model = langid.train(docs, MULTI_BPE)
-    judged = langid.identify(docs, model, keep=docs.columns)
-    return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
+    judged = langid.identify(packed(docs), model, keep=["row"])
+    return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least id, of each class of near duplicates. Rows without an id stay."""
-    gone = neardup.near_duplicates(docs).where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One document, that of the least id, of each class of near duplicates.
+
+    Of rows that share an id, or have none, those of equal text are copies too, and one stays. Rows
+    without an id are otherwise classes of their own.
+    """
+    gone = stored(neardup.near_duplicates(docs.select("doc_id", "text")).where("not kept").select("doc_id").distinct(), "pipeline-gone")
+    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    shared = stored(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("shared")), "pipeline-shared")
+    same = F.col("doc_id").eqNullSafe(F.col("shared"))
+    nth = F.row_number().over(Window.partitionBy("doc_id", "text").orderBy(F.xxhash64(*docs.columns)))
+    again = packed(kept.join(shared, same, "left_semi")).select("row", nth.alias("nth")).where("nth = 1").select("row.*")
+    return kept.join(shared, same, "left_anti").union(again)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any passage of the benchmark."""
-    return decontaminate.find_passages(docs, table(spark, sf_dir, "benchmark"), keep=docs.columns).where("n_hit = 0").select(docs.columns)
+    return decontaminate.find_passages(packed(docs), table(spark, sf_dir, "benchmark"), keep=["row"]).where("n_hit = 0").select("row.*")
 
 
 def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
