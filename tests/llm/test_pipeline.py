@@ -3,6 +3,7 @@ import re
 import sys
 
 import numpy as np
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
@@ -59,3 +60,21 @@ def test_empty_documents(spark):
         out = stage(spark, docs, DATA)
         assert out.count() == 0
         docs = docs.sparkSession.createDataFrame([], docs.schema)
+
+
+def test_copies_under_one_id_and_clashing_columns(spark):
+    """Columns named like the stages' results stay, and of rows that share an id or have none one of equal text stays."""
+    text = spark.read.parquet(f"{DATA}/documents.parquet").where("lang = 'en' and length(text) > 400").orderBy("doc_id").limit(2).collect()
+    one, two = text[0].text, text[1].text
+    names = ["lang_pred", "score", "items", "spans", "n_words", "n_hit", "weight", "kept", "component_id", "row", "shared"]
+    rows = [(5, one), (5, one), (5, one), (7, one), (None, two), (None, two), (3, None), (3, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, *[f"{n}{k}" for n in names]) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names))
+    kept = corpus_pipeline.near_duplicates(spark, docs, DATA)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(5, one), (None, two), (3, None)], key=str)
+    clean = corpus_pipeline.decontaminated(spark, docs, DATA)
+    assert clean.columns == docs.columns and {r["n_hit"][:5] for r in clean.collect()} <= {"n_hit"}
+    # The language stage learns from the documents it gets, so it gets all others too.
+    every = spark.read.parquet(f"{DATA}/documents.parquet").select("*", *[F.lit(n).alias(n) for n in names])
+    judged = corpus_pipeline.language(spark, every, DATA)
+    assert judged.columns == every.columns and judged.where("score = 'score' and lang_pred = 'lang_pred'").count() == judged.count() > 0
