@@ -39,7 +39,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
     shared = stored(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("shared")), "pipeline-shared")
     same = F.col("doc_id").eqNullSafe(F.col("shared"))
-    nth = F.row_number().over(Window.partitionBy("doc_id", "text").orderBy(F.xxhash64(*docs.columns)))
+    nth = F.row_number().over(Window.partitionBy("doc_id", "text").orderBy(F.xxhash64("row")))
     again = packed(kept.join(shared, same, "left_semi")).select("row", nth.alias("nth")).where("nth = 1").select("row.*")
     return kept.join(shared, same, "left_anti").union(again)
 

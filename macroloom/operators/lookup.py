@@ -65,8 +65,10 @@ def strict_lookup(df, dim, on, take, what, check=True) -> DataFrame:
     ``check=True`` runs one job over the distinct keys and raises before anything is built.
     ``check=False`` builds the same test into the plan, so that the job that uses the result
     fails on the first unmapped key, with no pass of its own; a stream needs this form.
+    ``check="flag"`` fails nothing: rows that break the rule say why in ``__faults``, which
+    ``operators.checks.staged`` counts in the job that writes them.
     """
-    if check:
+    if check is True:
         refuse_rows(repeated_keys(dim, dict.fromkeys(on.values())), f"Repeated keys in the mapping for {what}")
         require_mapped(df, dim, on, what)
         return lookup(df, dim, on, take)
@@ -76,14 +78,21 @@ def strict_lookup(df, dim, on, take, what, check=True) -> DataFrame:
     key_text = F.concat_ws(", ", *[F.coalesce(named(f).cast("string"), F.lit("null")) for f in on])
     # The offending key is written down before the lookup replaces any of its parts.
     joined = lookup(df.withColumn("__key_text", key_text), flagged, on, {**take, "__known": "__known"})
+    if check == "flag":
+        fault = F.when(~F.coalesce("__known", F.lit(False)), F.concat(_fault(what), F.col("__key_text")))
+        earlier = F.col("__faults") if "__faults" in df.columns else F.lit(None).cast("string")
+        return joined.withColumn("__faults", F.coalesce(earlier, fault)).drop("__known", "__key_text")
     return _fail_unknown(joined, take, what).drop("__known", "__key_text")
 
 
+def _fault(what):
+    return F.when(F.col("__known").isNull(), f"No mapping for {what}: ").otherwise(f"Repeated keys in the mapping for {what}: ")
+
+
 def _fail_unknown(joined, take, what):
     def guard(out):
-        fault = F.when(F.col("__known").isNull(), f"No mapping for {what}: ").otherwise(f"Repeated keys in the mapping for {what}: ")
         return F.when(F.col("__known"), named(out)).otherwise(
-            F.raise_error(F.concat(fault, F.col("__key_text"))).cast(
+            F.raise_error(F.concat(_fault(what), F.col("__key_text"))).cast(
                 joined.schema[out].dataType
             )
         )

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from macroloom import vocabulary_values
 from macroloom.errors import DataflowDiscoveryError, NoDataError, VersionNotAvailableError
 from macroloom.functions.labels import release_sort_key, requested_release
+from macroloom.operators.checks import staged
 from macroloom.operators.metadata import (
     attach_series_metadata,
     merge_public_metadata,
@@ -43,7 +44,7 @@ from macroloom.sources.archives import is_known_corrupt, release_of_path, scan_a
 from macroloom.sources.csvs import scan_observations, scan_probes, scan_sidecar
 from macroloom.sources.json_docs import scan_catalogue, scan_codelists
 from macroloom.sources import manifest
-from macroloom.sources.snapshots import HOUR, SCHEMA_VERSION, WEEK, fresh, keyed, read_snapshot, write_snapshot
+from macroloom.sources.snapshots import DAY, HOUR, PARTITIONS, SCHEMA_VERSION, WEEK, fresh, keyed, read_snapshot, write_snapshot
 from macroloom.work import landed, stored
 
 log = logging.getLogger(__name__)
@@ -260,9 +261,9 @@ class Outlook:
 
     def bulk_release(self, release) -> DataFrame:
         archives = scan_archives(self.spark, self.archive_path(release))
-        return translate_release(
-            parse_archives(archives), self.codelists, self.area_map, self.unit_map, self.legacy_labels
-        )
+        dimensions = self.codelists, self.area_map, self.unit_map, self.legacy_labels
+        translated = translate_release(parse_archives(archives), *dimensions, check="flag")
+        return staged(translated, "bulk-release", f"{release[0]} {release[1]} cannot be translated")[0]
 
     def _from_either_source(self, release) -> Served:
         try:
@@ -326,6 +327,28 @@ class Outlook:
         write_snapshot(frame, store, sort_by=["CONCEPT_CODE", "REF_AREA_CODE", "TIME_PERIOD"])
         return served.release
 
+    def ingest_metadata(self, store: str, release=None) -> tuple:
+        """Write the series metadata of a release that a flow serves to the snapshot store; which release it was."""
+        release = None if release is None else requested_release(release, "series metadata")
+        release, ref = self.resolve(release, "series metadata")
+        frame = public_metadata(self.sidecar(ref))
+        write_snapshot(keyed(frame, sublayer="weo_metadata", release=release, flow_id=ref.flow_id, flow_version=ref.version), store)
+        return release
+
+    def ingest_codelists(self, store: str) -> None:
+        write_snapshot(keyed(self.codelists, sublayer="weo_codelists", release=("none", 0)), store)
+
+    def fetch_stored_metadata(self, store: str, release, ttl_seconds: int = DAY) -> DataFrame:
+        """Stored series metadata of the flow version that serves the release now; written first if it is not fresh."""
+        release = requested_release(release, "series metadata")
+        with self._one_manifest():
+            ref = self.resolve(release, "series metadata")[1]
+            keys = {"sublayer": "weo_metadata", "flow_id": ref.flow_id, "flow_version": ref.version}
+            found = self._optional(lambda spark: read_snapshot(spark, store, **keys))
+            if found is None or fresh(found, ttl_seconds).isEmpty():
+                self.ingest_metadata(store, release)
+        return read_snapshot(self.spark, store, **keys).drop(*PARTITIONS, "ingested_at")
+
     def fetch_stored(self, store: str, release, ttl_seconds: int = WEEK) -> DataFrame:
         """A release from the snapshot store, which is written first if it has no fresh snapshot.
 

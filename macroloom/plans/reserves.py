@@ -8,6 +8,7 @@ Layout under the landing root::
     sdr/pages/*.html                        announcement page
 """
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from macroloom.functions.dates import month_end_text
 from macroloom.functions.labels import check_month_served, rate_label
 from macroloom.plans import reserves_feeds as feeds
 from macroloom.sources.pages import announced_date
+from macroloom.sources.snapshots import PARTITIONS, WEEK, fresh, keyed, read_snapshot, write_snapshot
 from macroloom.sources.text_lines import scan_lines
 from macroloom.work import landed
 
@@ -74,3 +76,36 @@ def fetch_allocations_holdings(spark: SparkSession, root: str, date: tuple | Non
     if landed(spark, f"{root}/sdr/holdings", f"{name}.tsv").isEmpty():
         raise ValueError(f"SDR data not available for this date: {path}")
     return feeds.holdings(_lines(spark, path), year, month).drop("file")
+
+
+#: Sublayer of the snapshot store that each dataset has.
+SUBLAYERS = {"exchange_sdr": "sdr_exchange_sdr", "exchange_usd": "sdr_exchange_usd", "interest": "sdr_interest", "holdings": "sdr_holdings"}
+
+
+def ingest(spark: SparkSession, root: str, store: str) -> list:
+    """Write every landed feed to the snapshot store; the datasets written, those with nothing landed left out."""
+    reads = {
+        "exchange_sdr": lambda: fetch_exchange_rates(spark, root, "SDR"),
+        "exchange_usd": lambda: fetch_exchange_rates(spark, root, "USD"),
+        "interest": lambda: fetch_interest_rates(spark, root),
+        "holdings": lambda: all_allocations_holdings(spark, root),
+    }
+    folders = {"exchange_sdr": "exchange", "exchange_usd": "exchange", "interest": "interest", "holdings": "holdings"}
+    there = {name: not landed(spark, f"{root}/sdr/{folder}", "*.tsv").isEmpty() for name, folder in folders.items()}
+    for name in (n for n in reads if there[n]):
+        write_snapshot(keyed(reads[name](), sublayer=SUBLAYERS[name], release=("none", 0)), store)
+    return [name for name in reads if there[name]]
+
+
+def fetch_stored(spark: SparkSession, root: str, store: str, dataset: str, ttl_seconds: int = WEEK) -> DataFrame:
+    """A dataset of the snapshot store; all feeds are written first if it has no fresh snapshot."""
+    try:
+        found = read_snapshot(spark, store, sublayer=SUBLAYERS[dataset])
+        stale = fresh(found, ttl_seconds).isEmpty()
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        stale = True
+    if stale:
+        ingest(spark, root, store)
+    return read_snapshot(spark, store, sublayer=SUBLAYERS[dataset]).drop(*PARTITIONS, "ingested_at")

@@ -33,4 +33,4 @@ def translate_release(df, codelists, area_map, unit_map, legacy_labels, check=Tr
         labels = labels_of(codelists, *LABEL_CODELISTS[prefix])
         df = lookup(df, labels, {f"{prefix}_CODE": "code"}, {"label": f"{prefix}_LABEL"})
     df = df.withColumn("COUNTRY_UPDATE_DATE", F.lit(None).cast(METADATA_FIELDS["COUNTRY_UPDATE_DATE"]))
-    return contract(df, [*CONTRACT_COLUMNS, *keep])
+    return contract(df, [*CONTRACT_COLUMNS, *keep, *(["__faults"] if check == "flag" else [])])

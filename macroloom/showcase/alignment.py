@@ -2,10 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from macroloom.operators.checks import staged
 from macroloom.plans.align import align_observations
 from macroloom.plans.translate import translate_release
 from macroloom.showcase.registry import query
 from macroloom.showcase.values import EXPONENT_SQL, exponent
+from macroloom.work import inline
 
 # A feed made of lineitem. Suppliers stand for areas: the code of a supplier's nation, and for
 # suppliers of nation 24 a code no list knows.
@@ -93,6 +95,25 @@ def q_align(spark, table):
 """)
 def q_translate_release(spark, table):
     """Orders as a bulk release whose areas are nation numbers and whose units are status letters."""
+    return translate_release(*bulk_orders(spark, table), check=False, keep=["o_orderkey"])
+
+
+@query("""
+    SELECT 'rows' AS what, count(*) AS n FROM orders WHERE o_totalprice >= 1000
+    UNION ALL SELECT 'faults', 0
+    UNION ALL SELECT 'null UNIT_CODE', count(*) FROM orders WHERE o_totalprice >= 1000 AND o_orderstatus = 'P'
+    UNION ALL SELECT 'null UNIT_LABEL', count(*) FROM orders WHERE o_totalprice >= 1000 AND o_orderstatus <> 'F'
+    UNION ALL SELECT 'null REF_AREA_CODE', 0
+""")
+def q_observed_counts(spark, table):
+    """Unmapped and null cells of the translated release, counted while it is written."""
+    _, counts = staged(translate_release(*bulk_orders(spark, table), check="flag"), "observed", "unmapped")
+    shown = ["rows", "faults", "null UNIT_CODE", "null UNIT_LABEL", "null REF_AREA_CODE"]
+    return inline(spark, [(name, counts[name]) for name in shown], "what string, n bigint")
+
+
+def bulk_orders(spark, table):
+    """Parsed rows and the four dimensions that ``translate_release`` takes."""
     customer = table("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment")
     none = F.lit(None).cast("string")
     parsed = table("orders").join(customer, "o_custkey").select(
@@ -118,10 +139,8 @@ def q_translate_release(spark, table):
         F.lit("IMF.RES").alias("agency"), F.lit("CL_WEO_COUNTRY").alias("codelist_id"), F.col("n_name").alias("code"),
         F.concat(F.lit("Nation "), "n_nationkey").alias("label"),
     )
-    units = spark.createDataFrame([("IMF", "CL_UNIT", "PT", "Percent")], lists.schema)
+    units = inline(spark, [("IMF", "CL_UNIT", "PT", "Percent")], "agency string, codelist_id string, code string, label string")
     fallback = nation.filter("n_nationkey >= 20").select(made_up.alias("code"), F.concat(F.lit("Aggregate "), "n_nationkey").alias("label"))
     pairs = table("orders").select(F.col("o_orderpriority").alias("concept"), F.col("o_orderstatus").alias("letter")).distinct()
     unit_of = F.when(F.col("letter") == "F", "PT").when(F.col("letter") == "O", "IX")
-    return translate_release(
-        parsed, lists.union(units), areas, pairs.withColumn("unit", unit_of), fallback, check=False, keep=["o_orderkey"]
-    )
+    return parsed, lists.union(units), areas, pairs.withColumn("unit", unit_of), fallback

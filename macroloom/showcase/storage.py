@@ -3,15 +3,18 @@
 Everything is written below the folder named by ``spark.checkpoint.dir``.
 """
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from macroloom.operators.lookup import lookup
 from macroloom.operators.metadata import newest_per_key
 from macroloom.plans.align import align_observations
 from macroloom.showcase.alignment import ALIGNED_SQL, area_map, codelists, feed
 from macroloom.showcase.documents import series_text
 from macroloom.showcase.registry import query
-from macroloom.sources import csvs, json_docs, snapshots, text_lines, xml_docs
+from macroloom.sources import bucketed, csvs, json_docs, snapshots, text_lines, xml_docs
 from macroloom.streaming.ingest import compact_ingested, ingest_stream, landed_stream, read_ingested
 from macroloom.work import new_folder, stored
 
@@ -128,6 +131,23 @@ def q_snapshot_store(spark, table):
     return snapshots.read_snapshot(spark, store, flow_version="9.1", schema_version="1").filter("release_year < 1999").drop("ingested_at")
 
 
+@query("""
+    SELECT l_orderkey, l_linenumber, s_nationkey, CAST(CASE WHEN s_nationkey = 3 THEN NULL ELSE 'note ' || s_nationkey END AS VARCHAR) AS notes
+    FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey
+""")
+def q_colocated_join(spark, table):
+    """Lines and suppliers stored in the same buckets and joined without an exchange; one table is opened anew."""
+    buckets, names = 16, [f"macroloom_{kind}_{uuid.uuid4().hex}" for kind in ("lines", "suppliers", "again")]
+    folders = [new_folder(spark, "bucketed"), new_folder(spark, "bucketed")]
+    note = F.when(F.col("s_nationkey") != 3, F.concat(F.lit("note "), "s_nationkey"))
+    dim = table("supplier").select(F.col("s_suppkey").alias("series"), "s_nationkey", note.alias("notes"))
+    facts = bucketed.write_bucketed(table("lineitem").select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("series")), folders[0], names[0], ["series"], buckets)
+    bucketed.write_bucketed(dim, folders[1], names[1], ["series"], buckets)
+    again = bucketed.open_bucketed(spark, folders[1], names[2], ["series"], buckets)
+    joined = lookup(facts, again.hint("merge"), {"series": "series"}, {"s_nationkey": "s_nationkey", "notes": "notes"})
+    return joined.drop("series")
+
+
 @query("SELECT event_id, user_id, 'sdr' AS sublayer FROM events WHERE event_type IN ('signup', 'error')")
 def q_clear_scope(spark, table):
     """Snapshots of one scope are cleared and those of the other stay."""

@@ -4,7 +4,7 @@ import re
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,7 @@ from macroloom.functions.text import null_if_in
 from macroloom.operators.observations import drop_envelope, named, plain_headers
 from macroloom.schema import MISSING_TOKENS
 from macroloom.sources.text_lines import scan_lines
+from macroloom.work import stored
 
 
 def file_forms(spark: SparkSession, path) -> list:
@@ -31,13 +32,54 @@ def file_forms(spark: SparkSession, path) -> list:
     return lines.groupBy("file").agg(header.alias("header"), F.max("open").alias("multi_line")).orderBy("file").collect()
 
 
-def _of_one_header(spark: SparkSession, files: list, header: str, multi_line: bool) -> DataFrame:
+def logical_rows(spark: SparkSession, files: list) -> DataFrame:
+    """(file, first, value): the rows of CSV files with cells that span lines; ``first`` marks each file's header.
+
+    Files are split between tasks at line breaks all the same. A line break is inside a cell where an
+    odd number of quotes stands before it. Every file block counts its quotes; a running sum over the
+    blocks before, one row each, tells a block how it starts, and another one which row is still open
+    there. Lines that are rows by themselves stay where they are; only pieces of longer rows are shuffled.
+    """
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    lines = spark.read.option("lineSep", "\n").text(files).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("seq"), "value", quotes.alias("quotes"),
+    )
+    at = ["file", "block"]
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    counts = lines.groupBy(*at).agg(F.sum("quotes").alias("quotes"))
+    opened = counts.select(*at, F.coalesce(F.sum("quotes").over(earlier), F.lit(0)).alias("earlier"))
+    inside = Window.partitionBy(*at).orderBy("seq")
+    before = F.coalesce(F.sum("quotes").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = lines.join(opened, at).withColumn("starts", (before + F.col("earlier")) % 2 == 0).drop("earlier")
+    placed = placed.withColumn("row", F.last(F.when(F.col("starts"), F.col("seq")), ignorenulls=True).over(inside))
+    placed = stored(placed, "csv-lines")
+    # A row that goes on from earlier blocks has the number of the last row that starts in them.
+    ends = placed.groupBy(*at).agg(F.max_by("row", "seq").alias("row"))
+    carried = ends.select(*at, F.last("row", ignorenulls=True).over(earlier).alias("carried"))
+    placed = placed.join(carried, at).withColumn("row", F.coalesce("row", "carried"))
+    # A file whose header ends in CRLF has its line breaks, those in cells too, as LF, as Spark's reader has them.
+    first = F.struct("block", "seq")
+    heads = placed.groupBy("file").agg(F.min_by("row", first).alias("head"), F.min_by(F.col("value").endswith("\r"), first).alias("crlf"))
+    whole = F.col("starts") & (F.col("quotes") % 2 == 0)
+    pieces = placed.filter(~whole).groupBy("file", "row").agg(F.sort_array(F.collect_list(F.struct("block", "seq", "value"))).alias("p"))
+    rows = placed.filter(whole).select("file", "row", "value").union(pieces.select("file", "row", F.array_join("p.value", "\n")))
+    value = F.regexp_replace(F.when(F.col("crlf"), F.replace("value", F.lit("\r\n"), F.lit("\n"))).otherwise(F.col("value")), "\r$", "")
+    marked = rows.join(heads, "file").select("file", (F.col("row") == F.col("head")).alias("first"), value.alias("value"))
+    return marked.filter("value <> ''")
+
+
+def _of_one_header(spark: SparkSession, files: list, header: str, spans_lines: bool, multi_line: bool) -> DataFrame:
     names = spark.range(1).select(csv_cells(F.lit(header)).alias("c")).first()[0]
     names = [n or f"_c{i}" for i, n in enumerate(names)]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "__broken"]])
-    df = spark.read.schema(schema).option("columnPruning", "false").csv(
-        files, header=True, multiLine=multi_line, quote='"', escape='"', encoding="UTF-8", columnNameOfCorruptRecord="__broken"
-    )
+    options = {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": "__broken"}
+    if spans_lines and not multi_line:
+        columns = ", ".join(f"`{n}` string" for n in schema.fieldNames())
+        rows = logical_rows(spark, files).filter(~F.col("first"))
+        df = rows.select(F.from_csv("value", columns, options).alias("r")).select("r.*")
+    else:
+        df = spark.read.schema(schema).option("columnPruning", "false").csv(files, header=True, multiLine=multi_line, encoding="UTF-8", **options)
     # Short rows end in nulls; a row with more cells than the header names cannot be placed.
     # Named beside the broken line, a cell keeps the scan from reading that line alone, which Spark refuses.
     too_long = F.size(csv_cells(F.rtrim(F.coalesce("__broken", named(names[0]))))) > len(names)
@@ -50,17 +92,17 @@ def read_text_csv(spark: SparkSession, path, multi_line=None) -> DataFrame:
     """CSV with a header and doubled quotes; an empty cell is null and nothing else is.
 
     Every file is read by its own header, which is one line; columns that only some files have are
-    null in the others. A row with more cells than its header is an error. Files with cells that
-    span lines cannot be split between tasks and are read whole, the others are split;
-    ``multi_line`` decides it for all files instead.
+    null in the others. A row with more cells than its header is an error. All files are split
+    between tasks, those with cells that span lines by ``logical_rows``; ``multi_line=True`` has
+    every file read whole instead, and ``False`` takes every line for a row.
     """
     forms: dict = {}
     for file, header, spans in file_forms(spark, path):
         name = re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(file))
-        forms.setdefault((header, spans if multi_line is None else multi_line), []).append(name)
+        forms.setdefault((header, spans and multi_line is None), []).append(name)
     if not forms:
         return spark.read.csv(path, header=True)
-    parts = [_of_one_header(spark, files, header, spans) for (header, spans), files in forms.items()]
+    parts = [_of_one_header(spark, files, header, spans, bool(multi_line)) for (header, spans), files in forms.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

@@ -52,18 +52,27 @@ def read_snapshot(spark: SparkSession, root: str, **keys) -> DataFrame:
     The partition columns have set types. Inferred ones would take the flow versions 9.1 and 9.10
     for the same number.
     """
-    df = read_partitioned(spark, root)
+    df = read_partitioned(spark, root, sublayer=keys.get("sublayer"))
     for column, wanted in keys.items():
         df = df.filter(named(column) == F.lit(wanted))
     return df
 
 
-def read_partitioned(spark: SparkSession, root: str, types=None) -> DataFrame:
-    """A partitioned table whose partition columns have the set types, or those of ``types``."""
+def read_partitioned(spark: SparkSession, root: str, types=None, sublayer: str | None = None) -> DataFrame:
+    """A partitioned table whose partition columns have the set types, or those of ``types``.
+
+    Sublayers hold different datasets, so the columns are those of the one that is asked for.
+    """
     types = PARTITION_TYPES if types is None else types
-    found = spark.read.option("basePath", root).parquet(root).schema
+    path = root if sublayer is None else f"{root}/sublayer={sublayer}"
+    try:
+        found = spark.read.option("basePath", root).parquet(path).schema
+    except AnalysisException as exc:
+        if path == root or not any(reason in str(exc) for reason in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
+            raise
+        return read_partitioned(spark, root, types)  # the store has no rows of this sublayer
     fields = [T.StructField(f.name, types.get(f.name, f.dataType)) for f in found]
-    return spark.read.option("basePath", root).schema(T.StructType(fields)).parquet(root)
+    return spark.read.option("basePath", root).schema(T.StructType(fields)).parquet(path)
 
 
 def fresh(df: DataFrame, ttl_seconds: int, now=None, stamp="ingested_at") -> DataFrame:

@@ -11,10 +11,13 @@ from test_sources import XML, XSD, frame_of, zipped
 
 from macroloom.errors import DataflowDiscoveryError
 from macroloom.functions.dates import published_date
-from macroloom.operators import codemap
-from macroloom.plans import bulk, outlook
+from macroloom.functions.text import nested_element
+from macroloom.operators import checks, codemap
+from macroloom.operators.checks import staged
+from macroloom.operators.lookup import lookup, strict_lookup
+from macroloom.plans import bulk, outlook, reserves
 from macroloom.plans.outlook import FlowRef
-from macroloom.sources import archives, manifest
+from macroloom.sources import archives, bucketed, csvs, manifest, snapshots
 from macroloom.streaming import ingest
 
 # -- pinned release table
@@ -99,6 +102,41 @@ def test_published_dates(spark):
     assert {r.t: r.d for r in df.collect()} == cases
 
 
+# -- checks in the job that writes
+
+
+def test_faults_are_counted_by_the_write(spark, monkeypatch):
+    facts = spark.createDataFrame([(1, "A", 1.0), (2, "B", None), (None, "C", 3.0), (3, "D", 4.0)], "area int, k string, v double")
+    dim = spark.createDataFrame([(1, "USA"), (3, "DEU"), (3, "GER")], "legacy int, code string")
+    on, take = {"area": "legacy"}, {"code": "area"}
+    flagged = strict_lookup(facts, dim, on, take, "areas", check="flag")
+    with pytest.raises(ValueError, match="no such release") as caught:
+        staged(flagged, "test", "no such release")
+    for text in ("No mapping for areas: 2", "No mapping for areas: null", "Repeated keys in the mapping for areas: 3", "(3 in all"):
+        assert text in str(caught.value)
+    jobs = []
+    monkeypatch.setattr(checks, "refuse_rows", lambda *args: jobs.append(args))
+    sound, counts = staged(strict_lookup(facts.filter("area = 1"), dim.filter("legacy = 1"), on, take, "areas", check="flag"), "test", "never")
+    assert jobs == [] and counts == {"rows": 1, "faults": 0, "null area": 0, "null k": 0, "null v": 0} and rows(sound, "area", "k", "v") == [("USA", "A", 1.0)]
+    _, counts = staged(facts, "test", "never")
+    assert counts == {"rows": 4, "faults": 0, "null area": 1, "null k": 0, "null v": 1}
+
+
+# -- nested tables
+
+
+def test_nested_elements(spark):
+    cases = [
+        ("<table>a<table>b</table>c</table><table>d", ["<table>a<table>b</table>c</table>", "<table>b</table>", "<table>d", None]),
+        ("</table><TABLE x='1'>a</TABLE ><!-- <table> --><tablet>", ["<TABLE x='1'>a</table>", None, None, None]),
+        ("", [None] * 4),
+        (None, [None] * 4),
+    ]
+    df = spark.createDataFrame([(h,) for h, _ in cases], "h string")
+    got = df.select(*[nested_element(F.col("h"), "table", n) for n in range(4)]).collect()
+    assert [list(r) for r in got] == [w for _, w in cases]
+
+
 # -- stream store
 
 KEY = ["k", "area"]
@@ -176,6 +214,77 @@ def test_flow_versions_are_told_apart_without_a_log(spark, tmp_path):
     assert stored_rows(spark, store) == [(1, "a", 1.0, "9.1"), (2, "b", 2.0, "9.10")]
 
 
+# -- snapshots of every dataset
+
+
+def test_feeds_metadata_and_codelists_are_stored(spark, tmp_path):
+    from test_plans import EXCHANGE, HOLDINGS, INTEREST, land
+
+    land(tmp_path)
+    root, store = str(tmp_path), str(tmp_path / "store")
+    served = outlook.Outlook(spark, root)
+    meta = served.fetch_stored_metadata(store, ("April", 2026))
+    assert rows(meta) == rows(served.fetch_series_metadata()) and len(rows(meta)) == 1
+    served.ingest_codelists(store)
+    served.ingest(store)
+    write(tmp_path / "sdr/exchange/2024.tsv", EXCHANGE)
+    write(tmp_path / "sdr/interest/2024.tsv", INTEREST)
+    assert reserves.ingest(spark, root, store) == ["exchange_sdr", "exchange_usd", "interest"]
+    write(tmp_path / "sdr/holdings/2020-6-30.tsv", HOLDINGS)
+    for dataset, want in {
+        "exchange_sdr": reserves.fetch_exchange_rates(spark, root),
+        "interest": reserves.fetch_interest_rates(spark, root),
+        "holdings": reserves.all_allocations_holdings(spark, root),
+    }.items():
+        got = reserves.fetch_stored(spark, root, store, dataset)
+        assert got.columns == want.columns and rows(got) == rows(want)
+    snapshots.clear_snapshots(spark, store, "sdr")
+    assert snapshots.read_snapshot(spark, store, sublayer="sdr_holdings").isEmpty()
+    assert rows(served.fetch_stored_metadata(store, ("April", 2026))) == rows(meta)
+
+
+def test_bucketed_tables_meet_without_an_exchange(spark, tmp_path):
+    facts = spark.createDataFrame([(f"s{i % 50}", i) for i in range(400)], "series string, v int")
+    dim = spark.createDataFrame([(f"s{i}", f"note {i}") for i in range(0, 50, 2)], "series string, note string")
+    a = bucketed.write_bucketed(facts, str(tmp_path / "facts"), "test_bucketed_facts", ["series"], 8)
+    bucketed.write_bucketed(dim, str(tmp_path / "dim"), "test_bucketed_dim", ["series"], 8)
+    b = bucketed.open_bucketed(spark, str(tmp_path / "dim"), "test_bucketed_again", ["series"], 8)
+    joined = lookup(a, b.hint("merge"), {"series": "series"}, {"note": "note"})
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert rows(joined) == sorted(((f"s{i % 50}", i, f"note {i % 50}" if i % 2 == 0 else None) for i in range(400)), key=str)
+
+
+# -- CSV files with cells that span lines
+
+
+def test_long_cells_in_files_that_are_split(spark, tmp_path):
+    """Files of many blocks, cells that span lines and blocks, quotes and CRLF: the same rows as by reading each file whole."""
+    rng = random.Random(31)
+    for n in range(3):
+        out = ["\ufeffkey,text,note"]
+        for i in range(400):
+            piece = lambda: rng.choice(["x", "y y", '""', ",", "\n", "\r\n", "é", "", "a" * rng.choice([1, 90])])
+            text = "".join(piece() for _ in range(rng.randint(0, 12)))
+            quoted = f'"{text}"' if any(c in text for c in '",\n\r') else text
+            out.append(f'{n}-{i},{quoted},{rng.choice(["", "plain", chr(34) * 2])}')
+        if n == 2:
+            out[5] = f'2-5,"{"long line{0}".format(chr(10)) * 900}",end'
+        write(tmp_path / f"f{n}.csv", rng.choice(["\n", "\r\n"]).join(out) + "\n")
+    whole = csvs.read_text_csv(spark, str(tmp_path), multi_line=True)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        split = csvs.read_text_csv(spark, str(tmp_path))
+        lines = csvs.logical_rows(spark, [str(tmp_path)])
+        assert split.columns == whole.columns == ["key", "text", "note"]
+        assert lines.filter("first").count() == 3
+        assert rows(split) == rows(whole) and split.count() == 1200
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", old[1])
+
+
 # -- archives
 
 
