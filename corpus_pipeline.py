@@ -36,12 +36,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     without an id are otherwise classes of their own.
     """
     gone = stored(neardup.near_duplicates(docs.select("doc_id", "text")).where("not kept").select("doc_id").distinct(), "pipeline-gone")
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    kept = packed(docs).join(gone, "doc_id", "left_anti")
     shared = stored(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("shared")), "pipeline-shared")
     same = F.col("doc_id").eqNullSafe(F.col("shared"))
     nth = F.row_number().over(Window.partitionBy("doc_id", "text").orderBy(F.xxhash64("row")))
-    again = packed(kept.join(shared, same, "left_semi")).select("row", nth.alias("nth")).where("nth = 1").select("row.*")
-    return kept.join(shared, same, "left_anti").union(again)
+    again = kept.join(shared, same, "left_semi").select("row", nth.alias("nth")).where("nth = 1").select("row.*")
+    return kept.join(shared, same, "left_anti").select("row.*").union(again)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
