@@ -86,7 +86,9 @@ def q_lines_scan(spark, table):
     """One text folder per status with ordered files: line numbers continue over blocks of a file."""
     folder = new_folder(spark, "lines")
     ordered = table("orders").select("o_orderstatus", F.col("o_orderkey").cast("string").alias("value"), "o_orderkey")
-    ordered.repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").select("o_orderstatus", "value").write.partitionBy("o_orderstatus").text(folder)
+    # Sorted by the folder's column first: the writer would otherwise sort by that alone, which undoes an order by key.
+    ordered = ordered.repartitionByRange("o_orderkey").sortWithinPartitions("o_orderstatus", "o_orderkey")
+    ordered.select("o_orderstatus", "value").write.partitionBy("o_orderstatus").text(folder)
     lines = text_lines.scan_lines(spark, folder).select(
         F.regexp_extract("file", "o_orderstatus=([A-Z])", 1).alias("status"), "file", "line_no", F.col("value").cast("bigint").alias("o_orderkey")
     )

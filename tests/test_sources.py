@@ -239,3 +239,12 @@ def test_fresh(spark):
 
 def test_landed_of_a_missing_folder(spark, tmp_path):
     assert work.landed(spark, str(tmp_path / "none")).isEmpty()
+
+
+def test_landed_lines_keep_their_order(spark, tmp_path):
+    from macroloom.showcase import QUERIES
+
+    keys = spark.range(20_000).select(F.col("id").alias("o_orderkey"), F.element_at(F.array(*map(F.lit, "OFP")), (F.col("id") % 3 + 1).cast("int")).alias("o_orderstatus"))
+    keys.repartition(8).write.parquet(str(tmp_path / "orders.parquet"))
+    found = QUERIES["q_lines_scan"](spark, str(tmp_path))
+    assert found.count() == 20_000 and found.where("line_no <> o_orderkey div 3").isEmpty()
