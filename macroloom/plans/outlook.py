@@ -3,7 +3,7 @@
 Layout under the landing root::
 
     catalogue/*.json                         dataflow catalogue
-    probes/<flow>/<version>.csv              publication date of each flow version
+    probes/<flow>/<version>.csv              publication date of each flow version, or files of many of them
     observations/<flow>/<version>/*.csv      observations of a release
     metadata/<flow>/<version>/*.csv          series metadata of a release
     codelists/<agency>/<id>.json             code lists
@@ -177,12 +177,17 @@ class Outlook:
         if probes is None:
             probes = self.spark.createDataFrame([], "flow_id string, version string, published date")
         labelled = stored(label_flows(candidate_flows(catalogue), probes), "flows")
-        # Bounded by the catalogue: a few dozen flow versions.
-        for row in labelled.filter(~F.col("probed")).collect():
-            if row["is_bare"]:
-                raise ValueError(f"WEO {row['version']}, which decides what is newest, has no readable publication date")
+        missed = labelled.filter(~F.col("probed"))
+        bare = missed.filter("is_bare").agg(F.min("version")).first()[0]
+        if bare is not None:
+            raise ValueError(f"WEO {bare}, which decides what is newest, has no readable publication date")
+        # A catalogue may list very many flow versions: their number, and as many of them as fit on a screen.
+        number = missed.count()
+        for row in missed.orderBy("flow_id", "version").limit(100).collect():
             how = f"labelled {row['month']} {row['year']} by its id" if row["month"] else "skipped"
             log.warning("No publication date for %s %s; %s", row["flow_id"], row["version"], how)
+        if number > 100:
+            log.warning("%s flow versions have no publication date; all are in %s", number, labelled.inputFiles()[0].rsplit("/", 1)[0])
         mapped = stored(preferred_flow(labelled), "flows")
         if mapped.filter("flow_id = 'WEO'").isEmpty():
             raise DataflowDiscoveryError(f"The dataflow catalogue under {self.root}/catalogue has no usable WEO dataflow")

@@ -42,10 +42,10 @@ def flow_versions(table):
 
 
 def land_probes(table, root):
+    """Probes of all flow versions in as few files as tasks: one file each would be a file operation per flow version."""
     flows = flow_versions(table).filter("probed")
-    flows.select("flow_id", "version", F.lit("USA").alias("COUNTRY"), F.col("published").alias("PUBLICATION_DATE")).write.partitionBy("flow_id", "version").csv(
-        f"{root}/probes", header=True
-    )
+    columns = [F.col("flow_id").alias("FLOW_ID"), F.col("version").alias("VERSION"), F.lit("USA").alias("COUNTRY"), F.col("published").alias("PUBLICATION_DATE")]
+    flows.select(*columns).write.csv(f"{root}/probes", header=True)
 
 
 def land_catalogue(table, root):

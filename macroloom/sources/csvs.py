@@ -133,26 +133,30 @@ def csv_cells(line):
 def scan_probes(spark: SparkSession, folder: str) -> DataFrame:
     """(flow_id, version, published) from landed ``<flow>/<version>.csv`` probe files.
 
-    Folders ``flow_id=<flow>/version=<version>`` with files of any name are read alike.
-
-    A file without rows or without a PUBLICATION_DATE column yields no row, which is what a
-    failed probe looks like downstream. Each file's own header line decides which cell is the
-    date; a probe asks for one observation, so only two lines per file matter.
+    Folders ``flow_id=<flow>/version=<version>`` with files of any name are read alike. A file whose
+    header names FLOW_ID and VERSION holds the probes of many flow versions, one a row, wherever it
+    lies: catalogues of very many flow versions are landed in few files.
+
+    A file (or, in a file of many, a flow version) without rows or without a PUBLICATION_DATE column
+    yields no row, which is what a failed probe looks like downstream. Each file's own header line
+    decides which cell is the date; a probe asks for one observation, so only the first row of a flow
+    version in a file matters.
     """
-    lines = scan_lines(spark, folder, "*.csv").filter("line_no < 2")
-    per_file = lines.groupBy("file").agg(
-        F.max(F.when(F.col("line_no") == 0, F.col("value"))).alias("header"),
-        F.max(F.when(F.col("line_no") == 1, F.col("value"))).alias("row"),
-    )
-    at = F.array_position(csv_cells(F.col("header")), "PUBLICATION_DATE")
+    lines = scan_lines(spark, folder, "*.csv")
+    heads = lines.filter("line_no = 0").select("file", csv_cells(F.col("value")).alias("header"))
+    of_many = F.array_contains("header", "FLOW_ID") & F.array_contains("header", "VERSION")
+    rows = lines.filter("line_no > 0").join(heads, "file").withColumn("many", of_many).filter(F.col("many") | (F.col("line_no") == 1))
+    cells = rows.select("file", "line_no", "many", "header", csv_cells(F.col("value")).alias("cells"))
+
+    def cell(name):
+        at = F.array_position("header", name)
+        return F.when(at > 0, F.get("cells", (at - 1).cast("int")))
 
     def part(name, nth):
         folder = F.regexp_extract("file", rf"/{name}=([^/]+)/", 1)
-        return F.when(folder != "", folder).otherwise(F.regexp_extract("file", r"([^/]+)/([^/]+)\.csv$", nth))
-
-    published = F.when(at > 0, F.get(csv_cells(F.col("row")), (at - 1).cast("int")))
-    return per_file.select(
-        part("flow_id", 1).alias("flow_id"),
-        part("version", 2).alias("version"),
-        published_date(published).alias("published"),
-    ).filter(F.col("published").isNotNull())
+        of_path = F.when(folder != "", folder).otherwise(F.regexp_extract("file", r"([^/]+)/([^/]+)\.csv$", nth))
+        return F.when(F.col("many"), cell(name.upper())).otherwise(of_path).alias(name)
+
+    probes = cells.select("file", "line_no", part("flow_id", 1), part("version", 2), published_date(cell("PUBLICATION_DATE")).alias("published"))
+    first = probes.groupBy("file", "flow_id", "version").agg(F.min_by("published", "line_no").alias("published"))
+    return first.select("flow_id", "version", "published").filter(F.col("published").isNotNull())

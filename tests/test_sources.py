@@ -248,3 +248,26 @@ def test_landed_lines_keep_their_order(spark, tmp_path):
     keys.repartition(8).write.parquet(str(tmp_path / "orders.parquet"))
     found = QUERIES["q_lines_scan"](spark, str(tmp_path))
     assert found.count() == 20_000 and found.where("line_no <> o_orderkey div 3").isEmpty()
+
+
+def test_probes_of_many_flows_in_one_file(spark, tmp_path):
+    write(tmp_path / "p/WEO/9.0.0.csv", "COUNTRY,PUBLICATION_DATE\nUSA,2026-04-14\nBEL,2025-04-14\n")
+    many = 'FLOW_ID,COUNTRY,VERSION,PUBLICATION_DATE\nA,USA,1.0,2025-10-14\n"B, ""b""",USA,2.0,"April 3, 2024"\nA,USA,1.0,2001-01-01\nA,USA,2.0,soon\nC,USA\n'
+    write(tmp_path / "p/many.csv", many)
+    write(tmp_path / "p/more/others.csv", "PUBLICATION_DATE,VERSION,FLOW_ID\n2023-10-14,3.0,A\n")
+    write(tmp_path / "p/more/undated.csv", "VERSION,FLOW_ID\n4.0,A\n")
+    assert rows(csvs.scan_probes(spark, str(tmp_path / "p"))) == [
+        ("A", "1.0", dt.date(2025, 10, 14)),
+        ("A", "3.0", dt.date(2023, 10, 14)),
+        ('B, "b"', "2.0", dt.date(2024, 4, 3)),
+        ("WEO", "9.0.0", dt.date(2026, 4, 14)),
+    ]
+
+
+def test_landed_probes_do_not_grow_in_files(spark, tmp_path):
+    from macroloom.showcase import serving
+
+    suppliers = spark.range(3000).select(F.col("id").alias("s_suppkey"), (F.col("id") % 25).alias("s_nationkey"))
+    serving.land_probes(lambda name: suppliers.coalesce(1), str(tmp_path))
+    assert len(list(tmp_path.rglob("*.csv"))) == 1
+    assert csvs.scan_probes(spark, f"{tmp_path}/probes").count() == 1500
