@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from macroloom.functions.numbers import fingerprint_value
 from macroloom.functions.text import unit_from_description
 from macroloom.operators.observations import named
+from macroloom.operators.positional import ordinal
 from macroloom.operators.releases import keep_first_k
 from macroloom.work import stored
 
@@ -188,8 +189,9 @@ def top_overlaps(left_rows: DataFrame, right_rows: DataFrame, copies: DataFrame,
     the answer of a left set: where it exceeds the number of its widely held rows, a right set not met
     yet is out, and of those met only the ones that can still pass it have their widely held rows
     counted. The other left sets compare widely held rows by classes: left and right
-    sets that hold the same of them are one class, two classes are compared once, and of the right
-    sets that share nothing rare with a left set only the k best of the classes matter.
+    sets that hold the same of them are one class, two classes are compared once by bits
+    (``_best_classes``), and of the right sets that share nothing rare with a left set only the k best
+    of the classes matter.
     """
     feats = _features(left_rows)
     rights = right_rows.select(F.col("code").alias("right"), *feats)
@@ -203,24 +205,21 @@ def top_overlaps(left_rows: DataFrame, right_rows: DataFrame, copies: DataFrame,
     state = rest.join(kth, "left", "left").withColumn("kth", F.coalesce("kth", F.lit(0)))
     state = stored(state.withColumn("open", (F.col("rest") > 0) & (F.col("kth") <= F.col("rest"))), "bounds")
 
-    # Left sets that no further right set can enter: widely held rows of the pairs that can pass.
-    hot_rows = rights.join(held.filter("hot"), feats).select("right", *feats)
+    # Widely held rows of the pairs that share rare ones and can pass.
+    hot_rows = stored(rights.join(held.filter("hot"), feats).select("right", *feats), "hot-rows")
     left_hot = placed.filter("hot").select("left", *feats)
-    passing = probed.join(state.filter(~F.col("open")), "left").filter(F.col("shared") + F.col("rest") >= F.col("kth"))
+    passing = probed.join(state, "left").filter(F.col("shared") + F.col("rest") >= F.col("kth"))
     passing = stored(passing.select("left", "right", "shared"), "passing")
     more = passing.select("left", "right").join(left_hot, "left").join(hot_rows, ["right", *feats])
     more = more.groupBy("left", "right").agg(F.count("*").alias("more"))
-    closed = passing.join(more, ["left", "right"], "left")
+    both = passing.join(more, ["left", "right"], "left")
+    both = both.select("left", "right", (F.col("shared") + F.coalesce("more", F.lit(0))).alias("overlap"))
 
-    # The others: classes of equal widely held rows, each pair of classes once.
+    # Left sets that another right set may enter: classes of equal widely held rows, each pair of classes once.
     is_open = state.filter("open").select("left")
     left_part, left_class = _classes(left_hot.join(is_open, "left", "left_semi"), "left", feats)
     right_part, right_class = _classes(hot_rows, "right", feats)
-    met = left_part.join(right_part, feats).groupBy("left_class", "right_class").agg(F.count("*").alias("more"))
-    met = stored(met, "classes")
-    seen = probed.join(left_class, "left").join(right_class, "right", "left").join(met, ["left_class", "right_class"], "left")
-    both = closed.select("left", "right", "shared", "more").union(seen.select("left", "right", "shared", "more"))
-    both = both.select("left", "right", (F.col("shared") + F.coalesce("more", F.lit(0))).alias("overlap"))
+    met = stored(_best_classes(left_part, right_part, feats, k), "classes")
     best_of_class = keep_first_k(right_class.join(copies, "right"), ["right_class"], [F.col("code_right").desc()], k)
     order = [F.col("more").desc(), F.col("code_right").desc()]
     unseen = keep_first_k(met.join(best_of_class.drop("rank"), "right_class"), ["left_class"], order, k)
@@ -231,6 +230,54 @@ def top_overlaps(left_rows: DataFrame, right_rows: DataFrame, copies: DataFrame,
     return keep_first_k(found, ["left"], [F.col("overlap").desc(), F.col("code_right").desc()], k)
 
 
+def _best_classes(left_part: DataFrame, right_part: DataFrame, feats, k: int) -> DataFrame:
+    """(left_class, right_class, more): every pair of classes that can be among the ``k`` best of the left one.
+
+    Rows are packed 64 to a block, rows held about equally often together. Where two classes meet in a
+    block, one AND of two numbers counts what they share there. A block whose rows are held apart by few
+    classes each stays unpacked, if pairs by row are fewer. The right classes with most rows are compared
+    first: the k-th best of them bounds what follows, so a pair is kept only where the block's count and all
+    rows outside the block can reach the bound. Pairs below it are left out or counted short, both in vain.
+    """
+    spread = int(left_part.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lefts, rights = left_part.groupBy(*feats).agg(F.count("*").alias("l")), right_part.groupBy(*feats).agg(F.count("*").alias("r"))
+    rows = lefts.join(rights, feats).withColumn("bucket", F.floor(F.log2("r")).cast("int")).withColumn("h", F.xxhash64(*feats))
+    rows = ordinal(rows, ["bucket"], ["h", *feats], "nr", chunk=F.shiftright("h", 52))
+    rows = stored(rows.select(*feats, "l", "r", "bucket", (F.col("nr") / 64).cast("long").alias("block"), (F.col("nr") % 64).cast("int").alias("pos")), "hot-rows")
+    at = ["bucket", "block"]
+
+    def classes_of(part, name):
+        return part.join(rows, feats).groupBy(*at).agg(F.countDistinct(name).cast("double").alias(name))
+
+    by_row = rows.groupBy(*at).agg(F.sum(F.col("l").cast("double") * F.col("r")).alias("pairs"))
+    costs = by_row.join(classes_of(left_part, "left_class"), at).join(classes_of(right_part, "right_class"), at)
+    packed = costs.select(*at, (F.col("left_class") * F.col("right_class") <= F.col("pairs")).alias("packed"))
+    placed = stored(rows.join(packed, at).select(*feats, *at, F.when(F.col("packed"), -1).otherwise(F.col("pos")).alias("row"), "pos"), "hot-rows")
+    key = [*at, "row"]
+
+    def bits(part, name, side):
+        packs = part.join(placed, feats).groupBy(name, *key).agg(F.bit_or(F.expr("shiftleft(1L, pos)")).alias(side))
+        sizes = packs.groupBy(name).agg(F.sum(F.bit_count(side)).alias(f"{side}_size"))
+        return stored(packs.join(sizes, name).withColumn(f"{side}_other", F.col(f"{side}_size") - F.bit_count(side)), "bits")
+
+    a, b = bits(left_part, "left_class", "a"), bits(right_part, "right_class", "b")
+    count = F.bit_count(F.col("a").bitwiseAND(F.col("b")))
+    largest = b.select("right_class", "b_size").distinct().orderBy(F.col("b_size").desc(), "right_class").limit(16 * k).select("right_class")
+    first = a.join(b.join(largest, "right_class", "left_semi"), key).groupBy("left_class", "right_class").agg(F.sum(count).alias("more"))
+    kth = keep_first_k(first, ["left_class"], [F.col("more").desc()], k).groupBy("left_class")
+    kth = kth.agg(F.when(F.count("*") == k, F.min("more")).otherwise(1).alias("bound"))
+    bounded = a.join(kth, "left_class", "left").withColumn("bound", F.greatest(F.coalesce("bound", F.lit(1)), F.lit(1)))
+    # A packed block may hold all classes, so its right ones are dealt over all tasks and its left ones go to each.
+    dealt = F.when(F.col("row") == -1, F.lit(spread)).otherwise(F.lit(1))
+    bounded = bounded.withColumn("part", F.explode(F.sequence(F.lit(0), dealt - 1)))
+    b = b.withColumn("part", F.pmod(F.xxhash64("right_class"), dealt).cast("int"))
+    by = [*key, "part"]
+    met = bounded.repartition(spread, *by).join(b.repartition(spread, *by), by)
+    met = met.where((count > 0) & (count + F.least("a_other", "b_other") >= F.col("bound")))
+    met = met.groupBy("left_class", "right_class").agg(F.sum(count).alias("more"), F.max("bound").alias("bound"))
+    return met.where("more >= bound").select("left_class", "right_class", "more")
+
+
 def _classes(rows: DataFrame, code: str, feats) -> tuple[DataFrame, DataFrame]:
     """Rows of one code per distinct row set (<code>_class, f0.., v), and (code, <code>_class) of all codes."""
     name = f"{code}_class"

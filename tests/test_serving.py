@@ -366,3 +366,18 @@ def test_common_values_do_not_pair_all_codes(spark, monkeypatch):
     assert paired < 300 * 300 / 20
     want = exact_top(left, right, 3)
     assert got == want
+
+
+def test_classes_that_meet_by_row_are_not_all_paired(spark, monkeypatch):
+    """300 codes on each side hold six to nine of twelve common values, at random: only pairs that can be among the best are kept."""
+    rng = random.Random(5)
+    draw = lambda side: [(f"{side}{i:03d}", "z", float(-v)) for i in range(300) for v in rng.sample(range(12), rng.randrange(6, 10))]
+    left, right = draw("L"), draw("R")
+    kept = []
+    real = codemap.stored
+    monkeypatch.setattr(codemap, "stored", lambda df, purpose: kept.append((purpose, real(df, purpose))) or kept[-1][1])
+    a, b = (codemap.code_sets(spark.createDataFrame(d, "code string, f string, v double"), "code", ["f"], "v") for d in (left, right))
+    got = listed(codemap.candidates_for(spark.createDataFrame([(f"L{i:03d}",) for i in range(300)], "code_left string"), a, b))
+    assert got == exact_top(left, right, 3)
+    pairs = [t.count() for purpose, t in kept if purpose == "classes" and "more" in t.columns]
+    assert pairs and sum(pairs) < 300 * 300 / 4
