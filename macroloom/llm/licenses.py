@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer, StringIndexer
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import CountVectorizerModel, StringIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from macroloom.llm.common import stored
+
 #: Notices by licence family: fixed values, the customary wordings.
 TEMPLATES = [
     ("apache", "Licensed under the Apache License, Version 2.0."),
@@ -38,7 +40,7 @@ TEMPLATES = [
 ]
 #: Class of paragraphs without a notice, and of notices whose family is not sure.
 NONE, UNKNOWN = "none", "unknown"
-#: Variants made of each template, and corpus paragraphs that stand for no notice, at most.
+#: Variants made of each template, and the rows that all corpus paragraphs without a notice weigh together.
 VARIANTS, BACKGROUND = 40, 4000
 #: Share of held-out background that may score above the calibrated probability; the least such probability.
 FALSE_SHARE, LEAST = 0.001, 0.5
@@ -80,47 +82,66 @@ def templates(spark: SparkSession) -> DataFrame:
 class LicenseModel:
     """The classifier, the names of its classes, and the probability from which a family is named."""
 
-    pipeline: PipelineModel
+    regression: LogisticRegressionModel
     classes: list[str]
     least: float
 
 
+def _vocabulary(known: DataFrame) -> tuple[list[str], list[str]]:
+    """Words of the templates, and their word pairs, in order; other terms tell no notice from another."""
+    split = known.withColumn("words", word_list(F.col("text")))
+    return tuple(sorted(r[0] for r in split.select(F.explode(c)).distinct().collect()) for c in ("words", pairs("words")))
+
+
+def vectors(lines: DataFrame, known: DataFrame) -> DataFrame:
+    """``lines`` (with ``text``) with ``features``: which words and word pairs of the templates a paragraph holds."""
+    words, both = _vocabulary(known)
+    held = CountVectorizerModel.from_vocabulary(words + both, inputCol="terms", outputCol="features", binary=True)
+    return held.transform(terms(lines)).drop("words", "terms")
+
+
 def train(lines: DataFrame, known: DataFrame, variants: int = VARIANTS, background: int = BACKGROUND) -> LicenseModel:
-    """Multinomial logistic regression with sparse weights on words and word pairs.
+    """Multinomial logistic regression with sparse weights on words and word pairs of the templates.
 
-    Notices are variants of the templates: words left out by a hash, and foreign words of the corpus
-    around them. The class of no notice is a bounded sample of the corpus' paragraphs (``lines``, as
-    ``paragraphs`` gives them) that share no two word pairs with a template. Two thirds train; the
-    rest calibrates the probability below which a notice is of the unknown family.
+    Notices are variants of the templates: words left out by a hash, and foreign words around them, as
+    often as the corpus has them. The class of no notice is every paragraph of the corpus (``lines``, as
+    ``paragraphs`` or ``vectors`` gives them) that shares no two word pairs with a template. Paragraphs
+    of the same features are one weighted row, and together they weigh ``background`` rows. Two thirds
+    of the texts train; the rest calibrates the probability below which a notice is of the unknown family.
     """
-    words_known = known.withColumn("words", word_list(F.col("text")))
-    taken = F.transform(F.sequence(F.lit(0), F.lit(variants - 1)), lambda k: k)
-    made = words_known.select("family", "words", F.explode(taken).alias("variant")).select(
+    words, both = _vocabulary(known)
+    lines = lines if "features" in lines.columns else vectors(lines, known)
+    part = F.pmod(F.xxhash64("text"), F.lit(1000)).cast("int") if "text" in lines.columns else F.col("part")
+    groups = lines.groupBy("features", (part % 3 == 1).alias("aside")).agg(F.count("*").alias("n"))
+    pairs_held = F.size(F.array_remove(F.slice(vector_to_array("features"), len(words) + 1, max(len(both), 1)), 0.0))
+    held = stored(groups.where(pairs_held < 2), "license-background")
+    total = held.agg(F.sum("n")).first()[0] or 0
+    shares = held.agg(Summarizer.mean(F.col("features"), F.col("n").cast("double"))).first()[0].toArray().tolist() if total else []
+    often = [(term, round(share * 1_000_000)) for term, share in zip(words + both, shares)]
+    known = known.withColumn("words", word_list(F.col("text")))
+    made = known.select("family", "words", F.explode(F.sequence(F.lit(0), F.lit(variants - 1))).alias("variant")).select(
         "family", "variant", F.expr("filter(words, (w, i) -> variant < 8 or pmod(xxhash64(w, i, variant), 10) > 0)").alias("words")
     )
-    # A bounded sample in an order of hashes, the same whatever the files.
-    sample = lines.select(F.col("text").alias("text"), F.xxhash64("text").alias("h")).distinct().orderBy("h", "text").limit(background)
-    marks = [r.pair for r in words_known.select(F.explode(pairs("words")).alias("pair")).distinct().collect()]  # of the templates
-    held = terms(sample).where(F.size(F.array_intersect(pairs("words"), F.array(*[F.lit(m) for m in marks]))) < 2)
-    held = held.select("words", "h").withColumn("number", F.row_number().over(Window.orderBy("h", "words")))
-    joined = made.withColumn("number", F.pmod(F.xxhash64("words", "variant"), F.lit(50)) + 1).join(held.select("number", F.slice("words", 1, 8).alias("foreign")), "number", "left")
-    around = F.when(F.pmod("variant", F.lit(4)) == 3, F.concat("words", F.coalesce("foreign", F.array()))).otherwise(F.col("words"))
-    rows = joined.select("family", F.col("variant").alias("part"), around.alias("words"))
-    rows = rows.union(held.select(F.lit(NONE), F.pmod("h", F.lit(1000)).cast("int"), "words")).withColumn("terms", F.concat("words", pairs("words")))
-    rows = rows.where(F.size("words") > 0).coalesce(1).sort("family", "part", "words")
-    rows = rows.cache()
+    # The name of a variant and of a term decide whether the term stands around it.
+    made = made.withColumn("name", F.xxhash64("family", "words", "variant"))
+    foreign = [F.when(F.pmod(F.xxhash64("name", F.lit(term)), F.lit(1_000_000)) < times, F.lit(term)) for term, times in often if times]
+    around = F.when(F.pmod("variant", F.lit(4)) == 3, F.array_compact(F.array(*foreign)) if foreign else F.array().cast("array<string>"))
+    own = F.concat("words", pairs("words"), F.coalesce(around, F.array().cast("array<string>")))
+    model = CountVectorizerModel.from_vocabulary(words + both, inputCol="terms", outputCol="features", binary=True)
+    notices = model.transform(made.where(F.size("words") > 0).withColumn("terms", own))
+    notices = notices.where("variant % 3 != 1").select("family", "features", F.lit(1.0).alias("weight"))
+    none = held.where("NOT aside").select(F.lit(NONE).alias("family"), "features", (F.col("n") * (background / max(total, 1))).alias("weight"))
+    rows = stored(notices.union(none), "license-rows")
     indexer = StringIndexer(inputCol="family", outputCol="label", stringOrderType="alphabetAsc").fit(rows)
-    vectors = CountVectorizer(inputCol="terms", outputCol="features", vocabSize=20_000, minDF=2.0, binary=True)
-    regression = LogisticRegression(family="multinomial", regParam=0.0005, elasticNetParam=0.5, maxIter=60)
-    model = Pipeline(stages=[vectors, regression]).fit(indexer.transform(rows.where("part % 3 != 1")))
+    regression = LogisticRegression(family="multinomial", regParam=0.0005, elasticNetParam=0.5, maxIter=60, weightCol="weight")
+    fitted = regression.fit(indexer.transform(rows))
     classes = list(indexer.labels)
-    probability = vector_to_array("probability")
-    none = classes.index(NONE) if NONE in classes else -1
-    best = F.array_max(F.transform(probability, lambda p, i: F.when(i == none, 0.0).otherwise(p)))
-    scores = model.transform(rows.where((F.col("part") % 3 == 1) & (F.col("family") == NONE))).select(best.alias("p"))
-    found = scores.agg(F.percentile("p", 1 - FALSE_SHARE)).first()[0]
-    rows.unpersist()
-    return LicenseModel(model, classes, max(LEAST, found or 0.0))
+    at = classes.index(NONE) if NONE in classes else -1
+    best = F.array_max(F.transform(vector_to_array("probability"), lambda p, i: F.when(i == at, 0.0).otherwise(p)))
+    # All paragraphs aside count. Probabilities are rounded up, which bounds what the percentile keeps.
+    scores = fitted.transform(held.where("aside")).select((F.ceil(best * 10_000) / 10_000).alias("p"), "n")
+    found = scores.agg(F.percentile("p", 1 - FALSE_SHARE, F.col("n"))).first()[0]
+    return LicenseModel(fitted, classes, max(LEAST, found or 0.0))
 
 
 def find_licenses(docs: DataFrame, known: DataFrame, model: LicenseModel, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -133,18 +154,26 @@ def find_licenses(docs: DataFrame, known: DataFrame, model: LicenseModel, id_col
     Paragraphs are lines, numbered from 0, and read whole. Null and empty texts have none; repeated
     rows are reported row by row. Other columns are ignored.
     """
-    lines = terms(paragraphs(docs, id_column, text_column))
+    return judge(vectors(paragraphs(docs, id_column, text_column), known), known, model).withColumnRenamed("id", id_column)
+
+
+def judge(lines: DataFrame, known: DataFrame, model: LicenseModel) -> DataFrame:
+    """(id, paragraph, family, probability, similarity) of the notices among paragraphs with ``features``; see ``find_licenses``."""
+    words, both = _vocabulary(known)
     none = model.classes.index(NONE) if NONE in model.classes else -1
-    judged = model.pipeline.transform(lines).withColumn("p", vector_to_array("probability"))
+    judged = model.regression.transform(lines.select("id", "paragraph", "features")).withColumn("p", vector_to_array("probability"))
     likely = judged.where(F.get("p", F.lit(none)) < 0.5) if none >= 0 else judged
     families = F.transform("p", lambda p, i: F.when(i == none, -1.0).otherwise(p))
     named = likely.withColumn("q", families).withColumn("probability", F.array_max("q"))
     named = named.withColumn("guess", F.get(F.array(*[F.lit(c) for c in model.classes]), (F.array_position("q", F.col("probability")) - 1).cast("int")))
-    own = F.array_distinct(pairs("words"))
-    shapes = known.withColumn("words", word_list(F.col("text"))).select(F.col("family").alias("guess"), own.alias("shape"))
+    # Only pairs of templates can be shared with one.
+    held = F.slice(vector_to_array("features"), len(words) + 1, max(len(both), 1))
+    own = F.array_compact(F.zip_with(held, F.array(*[F.lit(b) for b in both]).cast("array<string>"), lambda x, b: F.when(x > 0, b)))
+    shape = F.array_distinct(pairs("words"))
+    shapes = known.withColumn("words", word_list(F.col("text"))).select(F.col("family").alias("guess"), shape.alias("shape"))
     by_family = shapes.groupBy("guess").agg(F.collect_list("shape").alias("shapes"))  # one row a family
     compared = named.select("id", "paragraph", "guess", "probability", own.alias("own")).join(by_family, "guess", "left")
     similar = F.array_max(F.transform("shapes", lambda s: F.size(F.array_intersect(s, F.col("own"))) / F.size(s)))
     out = compared.withColumn("similarity", F.coalesce(similar, F.lit(0.0)))
     sure = (F.col("probability") >= model.least) & (F.col("similarity") >= CONFIRMED)
-    return out.select(F.col("id").alias(id_column), "paragraph", F.when(sure, F.col("guess")).otherwise(UNKNOWN).alias("family"), "probability", "similarity")
+    return out.select("id", "paragraph", F.when(sure, F.col("guess")).otherwise(UNKNOWN).alias("family"), "probability", "similarity")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from macroloom.llm import bpe, decontaminate, embeddup, langid, licenses, neardup, negatives, periodic, quality, repeats, secrets, tokenfiles, urls
-from macroloom.llm.common import table
+from macroloom.llm.common import stored, table
 from macroloom.work import new_folder
 
 #: Public vocabulary files; a parameter of every operator that reads one.
@@ -153,7 +153,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, known = table(spark, sf_dir, "documents"), licenses.templates(spark)
-    return licenses.find_licenses(docs, known, licenses.train(licenses.paragraphs(docs), known))
+    # Texts are cut into words once, for training and for judging.
+    lines = licenses.vectors(licenses.paragraphs(docs), known)
+    part = F.pmod(F.xxhash64("text"), F.lit(1000)).cast("int").alias("part")
+    lines = stored(lines.select("id", "paragraph", part, "features"), "license-lines")
+    return licenses.judge(lines, known, licenses.train(lines, known)).withColumnRenamed("id", "doc_id")
 
 
 def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,7 +178,8 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP12_SQL = r"""
 WITH bits AS (SELECT list(n ORDER BY b) AS t FROM (
   SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS n FROM range(256) AS r(b))),
-split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents),
+split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w FROM documents),
 hashed AS (
   SELECT doc_id, w, len(w) AS n, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
     lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) AS h

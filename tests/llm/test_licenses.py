@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from macroloom.llm import licenses
 from macroloom.llm.queries import op10_licenses
@@ -51,3 +52,22 @@ def test_held_out_notices(spark):
 def test_plan_has_no_python(spark):
     plan = op10_licenses(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "InArrow"))
+
+
+def test_every_paragraph_trains_and_calibrates(spark, known):
+    """One notice-like line among far more others than a bounded sample took, repeated often enough to matter."""
+    common = "license software copyright permission work"
+    prose = spark.range(30_000).select(F.concat(F.lit("plain words number "), F.sha2(F.col("id").cast("string"), 256)).alias("text"))
+    often = spark.range(10_000).select(F.concat(F.lit(common + " "), F.col("id") + 100_000).alias("text"))
+    lines = licenses.vectors(prose.union(often), known)
+    counted = []
+    keep, licenses.stored = licenses.stored, lambda df, purpose: counted.append((purpose, keep(df, purpose))) or counted[-1][1]
+    try:
+        model = licenses.train(lines, known)
+    finally:
+        licenses.stored = keep
+    tables = dict(counted)
+    assert tables["license-background"].agg(F.sum("n")).first()[0] == 40_000
+    assert abs(tables["license-rows"].where("family = 'none'").agg(F.sum("weight")).first()[0] / licenses.BACKGROUND - 2 / 3) < 0.05
+    docs = spark.createDataFrame([(1, common), (2, "Released under the MIT License.")], "doc_id long, text string")
+    assert [(r.doc_id, r.family) for r in licenses.find_licenses(docs, known, model).collect()] == [(2, "mit")]
