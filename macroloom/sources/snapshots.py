@@ -32,15 +32,17 @@ def keyed(df, *, sublayer, release, flow_id="", flow_version="", schema_version=
     return df.withColumns({k: F.lit(v) for k, v in parts.items()})
 
 
-def write_snapshot(df: DataFrame, root: str, partitions=tuple(PARTITIONS), sort_by=(), now=None) -> None:
+def write_snapshot(df: DataFrame, root: str, partitions=tuple(PARTITIONS), sort_by=(), now=None, rebalance=True) -> None:
     """Replace the partitions ``df`` has rows for.
 
     Rows are rebalanced, so small partitions end up in one file and AQE splits a large one over
-    several tasks; inside files they are sorted so that row groups can be skipped.
+    several tasks; inside files they are sorted so that row groups can be skipped. Without ``rebalance``
+    rows stay where they are: for those read from one snapshot, whose files are so already.
     """
     stamp = F.current_timestamp() if now is None else F.lit(now)
     rows = df if "ingested_at" in df.columns else df.withColumn("ingested_at", stamp)
-    rows = rows.hint("rebalance", *[named(p) for p in partitions])
+    if rebalance:
+        rows = rows.hint("rebalance", *[named(p) for p in partitions])
     if sort_by:
         rows = rows.sortWithinPartitions(*partitions, *sort_by)
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(root)

@@ -66,7 +66,9 @@ def _same(left, right, observation):
 
 
 def _newest(rows: DataFrame, observation) -> DataFrame:
-    """Each observation as the newest batch that holds it has it; one shuffle."""
+    """Each observation as the newest batch that holds it has it; one shuffle, or none where all rows are of one batch."""
+    if len(rows.select("batch").distinct().limit(2).collect()) < 2:
+        return rows
     newest = F.max("batch").over(Window.partitionBy(*[named(c) for c in observation]))
     return rows.withColumn("__newest", newest).filter(F.col("batch") == F.col("__newest")).drop("__newest")
 
@@ -93,11 +95,12 @@ def _open(spark: SparkSession, store: str) -> _Store:
     upto, listed = log["compaction"]
     deltas = deltas.filter(F.col("batch") > upto) if log["newest"] > upto else None
     parts = spark.createDataFrame([tuple(p) for p in listed], "part string, generation string")
+    # Filters on partition columns alone, so that files of other generations are not opened; the log has the list anyway.
     compacted = read_partitioned(spark, f"{store}/{STATE}/compacted", {**types, "generation": T.StringType()})
     live = compacted.filter(F.col("generation").isin(sorted({p["generation"] for p in listed})))
-    current = live.withColumn("__part", _part([p for p in types if p != "batch"]))
-    base = current.join(parts.withColumnRenamed("part", "__part"), ["generation", "__part"], "left_semi")
-    return _Store(deltas, base.drop("generation", "__part"), parts, log["newest"], types)
+    name = F.concat("generation", _part([p for p in types if p != "batch"]))
+    base = live.filter(name.isin([p["generation"] + p["part"] for p in listed]))
+    return _Store(deltas, base.drop("generation"), parts, log["newest"], types)
 
 
 def read_ingested(spark: SparkSession, store: str, observation: Sequence[str]) -> DataFrame:
@@ -124,8 +127,9 @@ def _keys(rows, observation):
 def compact_ingested(spark: SparkSession, store: str, observation: Sequence[str], sort_by: Sequence[str] = ()) -> bool:
     """Merge finished batches into compacted partitions; False if there was nothing to merge.
 
-    Only partitions that new batches have rows for, or hold observations that they restate, are
-    written again, as a new generation beside the old one. One log row then names the generation of
+    Only partitions that new batches have rows for, or hold observations that they restate (by a hash
+    of what tells observations apart), are written again, as a new generation beside the old one. One
+    batch that nothing has been compacted before is copied as its files are, without a shuffle. One log row then names the generation of
     every partition. Until it is there readers follow the old row, so a crash in between leaves
     files that nobody reads and the next run merges anew. Files of old generations may be removed
     when no reader uses them any more.
@@ -135,17 +139,23 @@ def compact_ingested(spark: SparkSession, store: str, observation: Sequence[str]
         return False
     partitions = [p for p in opened.types if p != "batch"]
     generation = uuid.uuid4().hex
-    fresh = stored(_newest(opened.deltas, observation), "ingest-deltas")
+    newest = _newest(opened.deltas, observation)
+    fresh = newest if newest is opened.deltas else stored(newest, "ingest-deltas")
     touched = fresh.select(_part(partitions).alias("part"))
     rows = fresh
     if opened.base is not None:
-        keys = _keys(fresh, observation)
-        marked = opened.base.withColumn("__part", _part(partitions))
-        touched = stored(touched.union(marked.join(keys, _same(marked, keys, observation), "left_semi").select("__part")).distinct(), "ingest-parts")
-        kept = marked.join(touched.withColumnRenamed("part", "__part"), "__part", "left_semi").drop("__part")
+        told = [named(c) for c in observation]
+        common = opened.base.select(*told).unionByName(fresh.select(*told)).schema  # equal values have to hash alike
+        mark = F.xxhash64(*[named(c).cast(common[c].dataType) for c in observation]).alias("__mark")
+        restated = opened.base.select(_part(partitions).alias("part"), mark).join(fresh.select(mark).distinct(), "__mark", "left_semi")
+        touched = stored(touched.union(restated.select("part")).distinct(), "ingest-parts")
+        # As many names as partitions, which the log lists too; with them the other partitions are not read.
+        keys, names = _keys(fresh, observation), [r["part"] for r in touched.collect()]
+        kept = opened.base.filter(_part(partitions).isin(names))
         rows = kept.join(keys, _same(kept, keys, observation), "left_anti").unionByName(fresh)
     target = f"{store}/{STATE}/compacted"
-    write_snapshot(rows.withColumn("generation", F.lit(generation)), target, ["generation", *partitions], sort_by)
+    as_read = rows is opened.deltas
+    write_snapshot(rows.withColumn("generation", F.lit(generation)), target, ["generation", *partitions], sort_by, rebalance=not as_read)
     written = read_partitioned(spark, target, {**opened.types, "generation": T.StringType()}).filter(F.col("generation") == generation)
     parts = written.select(_part(partitions).alias("part"), "generation").distinct()
     if opened.parts is not None:

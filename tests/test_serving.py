@@ -183,6 +183,25 @@ def test_compaction_changes_nothing(spark, tmp_path):
     assert ingest.compact_ingested(spark, store, KEY) and stored_rows(spark, store) == want
 
 
+def test_compaction_shuffles_only_what_is_restated(spark, tmp_path, monkeypatch):
+    store, checkpoint, landing = (str(tmp_path / n) for n in ("store", "cp", "land"))
+    written = []
+
+    def write(df, *args, **options):
+        written.append(df._jdf.queryExecution().executedPlan().toString())
+        return snapshots_write(df, *args, **options)
+
+    snapshots_write = ingest.write_snapshot
+    batches(spark, store, checkpoint, landing, FILES[0])
+    monkeypatch.setattr(ingest, "write_snapshot", write)
+    assert ingest.compact_ingested(spark, store, KEY)
+    assert "Exchange" not in written[0] and "Window" not in written[0]
+    merged = ingest.read_ingested(spark, store, KEY)
+    assert rows(merged, "k", "area", "value", "flow_version") == sorted(FILES[0], key=str)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+
+
 def test_crash_before_the_marker(spark, tmp_path, monkeypatch):
     store, checkpoint, landing = (str(tmp_path / n) for n in ("store", "cp", "land"))
     batches(spark, store, checkpoint, landing, FILES[0], FILES[1])
