@@ -134,11 +134,15 @@ XSD = (
 )
 
 
+ARCHIVES_AT_ONCE = 256
+
+
 def zip_customers(table):
     """A release archive per customer. Segment decides which are broken and how."""
 
     def pack(batches):
-        for batch in batches:
+        # Some hundred archives leave a task at a time: a batch has ten thousand rows, whose archives would all be held at once.
+        for batch in (batch.iloc[at : at + ARCHIVES_AT_ONCE] for batch in batches for at in range(0, len(batch), ARCHIVES_AT_ONCE)):
             rows = []
             for path, segment, xml in zip(batch["path"], batch["segment"], batch["xml"]):
                 out = io.BytesIO()

@@ -71,13 +71,14 @@ def unpack_archives(archives: DataFrame, kinds=("xml", "xsd")) -> DataFrame:
 
     def unpack(batches):
         for batch in batches:
-            rows = []
+            rows, held = [], 0
             for path, content in zip(batch["path"], batch["content"]):
                 for row in _members(path, content, kinds):
                     rows.append(row)
-                    if len(rows) == ROWS_PER_BATCH:
+                    held += len(row[3] or "")
+                    if len(rows) == ROWS_PER_BATCH or held >= PIECE:
                         yield _frame(rows)
-                        rows = []
+                        rows, held = [], 0
             yield _frame(rows)
 
     return archives.mapInPandas(unpack, UNPACKED_SCHEMA)

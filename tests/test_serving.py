@@ -400,3 +400,25 @@ def test_classes_that_meet_by_row_are_not_all_paired(spark, monkeypatch):
     assert got == exact_top(left, right, 3)
     pairs = [t.count() for purpose, t in kept if purpose == "classes" and "more" in t.columns]
     assert pairs and sum(pairs) < 300 * 300 / 4
+
+
+def test_archives_leave_a_task_in_pieces():
+    import io
+    import zipfile
+
+    import pandas as pd
+
+    class Frame:
+        def mapInPandas(self, unpack, _):
+            return unpack
+
+    def packed(n):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as folder:
+            folder.writestr("data.xml", "<D>" + f"<Series a='{n}'>{'x' * 300_000}</Series>" * 3 + "</D>")
+        return out.getvalue()
+
+    batch = pd.DataFrame({"path": [f"/{n}" for n in range(20)], "content": [packed(n) for n in range(20)]})
+    pieces = list(archives.unpack_archives(Frame())(iter([batch])))
+    assert sum(map(len, pieces)) == 20 * 4
+    assert max(p["element"].str.len().sum() for p in pieces) < 2 * archives.PIECE
