@@ -52,13 +52,16 @@ def nth_element(html: Column, tag: str, n: int) -> Column:
 
 
 def html_segments(html: Column, tag: str) -> Column:
-    """A page cut before each ``<tag …>`` and behind each ``</tag>``, so that a segment opens and closes one at most. Comments are gone."""
-    plain = F.regexp_replace(F.regexp_replace(html, r"(?s)<!--.*?-->", ""), rf"(?i)</{tag}\s*>", f"</{tag}>")
-    return F.split(plain, rf"(?i)(?=<{tag}\b)|(?<=</{tag}>)")
-
+    """A page cut before each ``<tag …>`` and behind each ``</tag>``, so that a segment opens and closes one at most.
 
-def opens(segment: Column, tag: str) -> Column:
-    return segment.rlike(rf"(?i)^<{tag}\b")
+    Segments are (text, opens, closes), the last two 0 or 1. Comments are gone.
+    """
+    plain = F.regexp_replace(F.regexp_replace(html, r"(?s)<!--.*?-->", ""), rf"(?i)</{tag}\s*>", f"</{tag}>")
+    pieces = F.split(plain, rf"(?i)(?=<{tag}\b)|(?<=</{tag}>)")
+    # Whether a segment opens an element is asked once here: a fold that asked would ask wherever it uses the answer.
+    return F.transform(
+        pieces, lambda s: F.struct(s.alias("text"), s.rlike(rf"(?i)^<{tag}\b").cast("int").alias("opens"), s.endswith(f"</{tag}>").cast("int").alias("closes"))
+    )
 
 
 def nested_element(html: Column, tag: str, n: int) -> Column:
@@ -68,26 +71,35 @@ def nested_element(html: Column, tag: str, n: int) -> Column:
     element ends where the depth falls back to what it was before it, or with the page. Closing tags
     without an opening one are passed over.
     """
+    return segments_element(html_segments(html, tag), n)
+
+
+def segments_element(segments: Column, n: int) -> Column:
+    """``nested_element`` of a page that is in segments already, for pages of which several elements are wanted."""
     start = F.struct(F.lit(0).alias("opened"), F.lit(0).alias("depth"), F.lit(-1).alias("base"), F.lit(False).alias("done"), F.lit("").alias("text"))
 
     def step(state, segment):
-        opening = opens(segment, tag)
-        base = F.when(opening & (state["opened"] == n), state["depth"]).otherwise(state["base"])
-        depth = F.greatest(state["depth"] + opening.cast("int") - segment.endswith(f"</{tag}>").cast("int"), F.lit(0))
+        opening = segment["opens"]
+        base = F.when((opening == 1) & (state["opened"] == n), state["depth"]).otherwise(state["base"])
+        depth = F.greatest(state["depth"] + opening - segment["closes"], F.lit(0))
         inside = (base >= 0) & ~state["done"]
         return F.struct(
-            (state["opened"] + opening.cast("int")).alias("opened"),
+            (state["opened"] + opening).alias("opened"),
             depth.alias("depth"),
             base.alias("base"),
             (state["done"] | (inside & (depth <= base))).alias("done"),
-            F.when(inside, F.concat(state["text"], segment)).otherwise(state["text"]).alias("text"),
+            F.when(inside, F.concat(state["text"], segment["text"])).otherwise(state["text"]).alias("text"),
         )
 
-    return F.aggregate(html_segments(html, tag), start, step, lambda state: F.when(state["base"] >= 0, state["text"]))
+    return F.aggregate(segments, start, step, lambda state: F.when(state["base"] >= 0, state["text"]))
 
 
 def count_elements(html: Column, tag: str) -> Column:
-    return F.size(F.filter(html_segments(html, tag), lambda s: opens(s, tag)))
+    return count_opened(html_segments(html, tag))
+
+
+def count_opened(segments: Column) -> Column:
+    return F.size(F.filter(segments, lambda s: s["opens"] == 1))
 
 
 def element_text(block: Column) -> Column:

@@ -6,7 +6,7 @@ import zipfile
 import pandas as pd
 from pyspark.sql import functions as F
 
-from macroloom.functions.text import count_elements, element_text, nth_element
+from macroloom.functions.text import count_opened, element_text, html_segments, nth_element
 from macroloom.plans.bulk import parse_with_report
 from macroloom.schema import BULK_CODELISTS
 from macroloom.sources import archives, json_docs, pages, xml_docs
@@ -114,9 +114,10 @@ def q_html_table(spark, table):
         F.lit("<html><!-- <table> --><table id='a'><tr><td>outer <table><tr><td>"), "o_orderkey",
         F.lit("</td></tr></table > tail</td><td>2</td></tr></TABLE>"), third, F.lit("</html>"),
     )
-    rows = spread(table("orders")).select("o_orderkey", html.alias("html"))
-    cells = {name: pages.cell(F.col("html"), n, 0) for n, name in enumerate(("outer_cell", "inner_cell", "third_cell"))}
-    return rows.select("o_orderkey", *[c.alias(n) for n, c in cells.items()], count_elements(F.col("html"), "table").alias("n_tables"))
+    # Cut once, as a column of its own, for all cells and the count.
+    rows = spread(table("orders")).select("o_orderkey", html_segments(html, "table").alias("tables"))
+    cells = {name: pages.segments_cell(F.col("tables"), n, 0) for n, name in enumerate(("outer_cell", "inner_cell", "third_cell"))}
+    return rows.select("o_orderkey", *[c.alias(n) for n, c in cells.items()], count_opened(F.col("tables")).alias("n_tables"))
 
 
 XSD = (

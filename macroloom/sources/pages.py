@@ -4,12 +4,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from macroloom.functions.dates import long_date
-from macroloom.functions.text import count_elements, element_text, nested_element
+from macroloom.functions.text import count_elements, element_text, html_segments, nested_element, segments_element
 
 
 def cell(html: Column, table: int, row: int) -> Column:
     """Text of the first cell of row ``row`` of table ``table`` (both from zero), tables inside tables counted as they open."""
-    return element_text(nested_element(nested_element(nested_element(html, "table", table), "tr", row), "td", 0))
+    return segments_cell(html_segments(html, "table"), table, row)
+
+
+def segments_cell(tables: Column, table: int, row: int) -> Column:
+    """``cell`` of a page that is in segments of its tables already."""
+    return element_text(nested_element(nested_element(segments_element(tables, table), "tr", row), "td", 0))
 
 
 def announced_date(pages: DataFrame, html: str = "html", table: int = 4, row: int = 1) -> DataFrame:

@@ -12,6 +12,7 @@ from test_sources import XML, XSD, frame_of, zipped
 from macroloom.errors import DataflowDiscoveryError
 from macroloom.functions.dates import published_date
 from macroloom.functions.text import nested_element
+from macroloom.showcase.registry import QUERIES
 from macroloom.operators import checks, codemap
 from macroloom.operators.checks import staged
 from macroloom.operators.lookup import lookup, strict_lookup
@@ -422,3 +423,11 @@ def test_archives_leave_a_task_in_pieces():
     pieces = list(archives.unpack_archives(Frame())(iter([batch])))
     assert sum(map(len, pieces)) == 20 * 4
     assert max(p["element"].str.len().sum() for p in pieces) < 2 * archives.PIECE
+
+
+def test_pages_are_cut_once(spark, tmp_path):
+    spark.range(9).selectExpr("id AS o_orderkey", "'F' AS o_orderstatus", "'x' AS o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
+    found = QUERIES["q_html_table"](spark, str(tmp_path))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("(?i)^<table") == 1 and plan.count("(?i)^<td") == 3
+    assert [tuple(r)[1:] for r in found.where("o_orderkey = 7").collect()] == [("outer 7 tail", "7", "x", 3)]
