@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from macroloom.llm.common import portions, stored
+from macroloom.llm.common import may_be_in, portions, stored
 from macroloom.llm.components import components
 from macroloom.llm.decontaminate import words_of
 
@@ -152,14 +152,14 @@ def sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def region_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text) to (id, regions)."""
+    """(id, text, others) to (id, others, regions)."""
     hashes = WordHashes()
     for batch in portions(batches, 1):
         words = [words_of(t or b"") for t in batch.column(1).cast(pa.binary()).to_pylist()]
         owner, region = unit_regions(words, hashes)
         offsets = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(words)))))
         lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(region.view(np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["id", "regions"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), lists], names=["id", "others", "regions"])
 
 
 def shared_regions(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
@@ -216,11 +216,16 @@ def cell_links(cell: pa.Table, threshold: float) -> pa.Table:
 
 def similarities(pairs: DataFrame, regions: DataFrame) -> DataFrame:
     """(a, b, similarity) of pairs: exact weighted Jaccard similarity, as shared over all unit regions."""
-    one = regions.select(F.col("id").alias("a"), F.col("regions").alias("of_a"))
-    two = regions.select(F.col("id").alias("b"), F.col("regions").alias("of_b"))
+    pairs = stored(pairs, "neardup-pairs")
+    one = may_be_in(regions, "id", pairs.select("a")).select(F.col("id").alias("a"), F.col("regions").alias("of_a"))
+    return _similarities(pairs.join(one, "a"), regions, pairs.select("b"))
+
+
+def _similarities(of_one: DataFrame, regions: DataFrame, others: DataFrame) -> DataFrame:
+    """``similarities`` of pairs that have the regions of a already: (a, b, of_a); ``others`` has all b."""
+    two = may_be_in(regions, "id", others).select(F.col("id").alias("b"), F.col("regions").alias("of_b"))
     shared = F.size(F.array_intersect("of_a", "of_b"))
-    both = pairs.join(one, "a").join(two, "b")
-    return both.select("a", "b", (shared / (F.size("of_a") + F.size("of_b") - shared)).alias("similarity"))
+    return of_one.join(two, "b").select("a", "b", (shared / (F.size("of_a") + F.size("of_b") - shared)).alias("similarity"))
 
 
 def _united(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -257,6 +262,20 @@ def _with_other_leaders(members: DataFrame, turn: int) -> DataFrame:
     return pairs.select(F.greatest("rep", "leader").alias("a"), F.least("rep", "leader").alias("b")).distinct()
 
 
+def _can_link(members: DataFrame, regions: DataFrame, threshold: float) -> DataFrame:
+    """Of members (rep, weight, component), those that may link with one of another component.
+
+    A link shares at least ``threshold`` of either document's regions, so a document of which fewer
+    are held in any other component has none. Regions are counted once, whatever their groups' sizes.
+    """
+    held = members.select(F.col("rep").alias("id"), "component").distinct()
+    units = may_be_in(regions, "id", held.select("id")).join(held, "id").select("id", "component", F.explode("regions").alias("region"))
+    common = units.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("region")
+    shared = units.join(common, "region").groupBy(F.col("id").alias("rep")).agg(F.count("*").alias("shared"))
+    least = members.groupBy("rep").agg(F.min("weight").alias("least"))
+    return shared.join(least, "rep").where(F.col("shared") >= F.col("least") * (threshold - 1e-9)).select("rep")
+
+
 def _compared_in_blocks(placed: DataFrame, classes: DataFrame, regions: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) between the components that buckets still hold.
 
@@ -268,6 +287,8 @@ def _compared_in_blocks(placed: DataFrame, classes: DataFrame, regions: DataFram
     mixed = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
     mixed = stored(mixed.where("low != high and n > 2").select("bucket", "n"), "neardup-mixed")
     held = members.join(mixed, "bucket")
+    able = _can_link(held.select("rep", "component").distinct().join(placed.select("rep", "weight"), "rep"), regions, threshold)
+    held = held.join(stored(able, "neardup-able"), "rep", "left_semi")
     homes = held.groupBy("rep").agg(F.max(F.struct("n", "bucket")).alias("home"), F.collect_list("bucket").alias("buckets"))
     homes = homes.join(placed.select("rep", "weight"), "rep").select("rep", "weight", F.col("home.bucket").alias("home"), "buckets")
     homes = stored(homes, "neardup-homes")
@@ -276,9 +297,12 @@ def _compared_in_blocks(placed: DataFrame, classes: DataFrame, regions: DataFram
     homes = stored(homes.join(sizes, "home").select("rep", "weight", "buckets", block.alias("block")), "neardup-blocks")
     inside = homes.select("rep", "block", F.explode("buckets").alias("bucket"))
     met = inside.groupBy("bucket").agg(F.collect_set("block").alias("others"))
-    cells = inside.join(met, "bucket").select("rep", "block", F.explode("others").alias("other"))
+    # The blocks that a document meets in any bucket, each once.
+    cells = inside.join(met, "bucket").groupBy("rep", "block").agg(F.array_distinct(F.flatten(F.collect_set("others"))).alias("others"))
+    cells = cells.select("rep", "block", F.explode("others").alias("other"))
     cells = cells.select(F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep").distinct()
-    whole = homes.select("rep", "block", "weight").join(classes, "rep").join(regions.withColumnRenamed("id", "rep"), "rep")
+    whole = homes.select("rep", "block", "weight").join(classes, "rep")
+    whole = whole.join(may_be_in(regions, "id", whole.select("rep")).select(F.col("id").alias("rep"), "regions"), "rep")
     kind = dict(placed.dtypes)["rep"]
     return cells.join(whole, "rep").groupBy("i", "j").applyInArrow(lambda cell: cell_links(cell, threshold), f"a {kind}, b {kind}")
 
@@ -312,19 +336,24 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
     unique = stored(unique, "neardup-unique")
     bands = unique.select("rep", F.posexplode("keys").alias("band", "key")).select("rep", F.xxhash64("band", "key").alias("bucket"))
+    # Most buckets hold one document: counts alone are shuffled to find the others.
+    often = stored(bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"), "neardup-often")
+    bands = may_be_in(bands, "bucket", often)
     sets = bands.groupBy("bucket").agg(
         F.min("rep").alias("leader"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("rep")).alias("h1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("h2")
     )
     # Buckets of the same members, as two near copies have in most bands, are opened once.
     sets = sets.where("n > 1").groupBy("n", "h1", "h2", "leader").agg(F.min("bucket").alias("bucket")).select("bucket", "leader")
     members = stored(bands.join(sets, "bucket"), "neardup-members")
-    stars = members.where("rep != leader").select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct()
     placed = members.groupBy("rep").agg(F.collect_list("bucket").alias("buckets")).join(unique.select("rep", "weight"), "rep")
     placed = stored(placed, "neardup-placed")
 
-    wanted = placed.select(F.col("rep").alias("id"))
-    regions = stored(rows.join(wanted, "id").mapInArrow(region_batches, f"id {kind}, regions array<long>"), "neardup-regions")
-    judged = stored(similarities(stars, regions), "neardup-stars")
+    wanted = members.groupBy(F.col("rep").alias("id")).agg(F.collect_set(F.when(F.col("rep") != F.col("leader"), F.col("leader"))).alias("others"))
+    wanted = stored(wanted, "neardup-wanted")
+    texts = may_be_in(rows, "id", wanted.select("id")).join(wanted, "id")
+    regions = stored(texts.select("id", "text", "others").mapInArrow(region_batches, f"id {kind}, others array<{kind}>, regions array<long>"), "neardup-regions")
+    stars = regions.select(F.col("id").alias("a"), F.explode("others").alias("b"), F.col("regions").alias("of_a"))
+    judged = stored(_similarities(stars, regions, members.where("rep != leader").select("leader")), "neardup-stars")
     apart = placed.select("rep", F.col("rep").alias("component"))
     links = judged.where(F.col("similarity") >= threshold).select("a", "b")
     classes = _united(apart, links)

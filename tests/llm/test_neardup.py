@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 
 from macroloom.llm import neardup
+from macroloom.llm.common import may_be_in
 from macroloom.llm.components import components
 from macroloom.llm.decontaminate import words_of
 
@@ -85,3 +86,32 @@ def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(1, 60)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7), (None, 3), (200, 199), (199, 200)]
     got = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
     assert got == {**{i: 1 for i in range(1, 61)}, **{100 + i: 100 for i in range(50)}, 199: 199, 200: 199}
+
+
+def test_only_rows_that_an_exact_join_may_want_are_shuffled(spark):
+    rows = spark.range(20_000).selectExpr("id", "cast(id as string) as name", "id as _place")
+    wanted = spark.range(0, 20_000, 40).selectExpr("cast(id as string) as x")
+    got = {r.id for r in may_be_in(rows, "name", wanted.union(spark.sql("SELECT CAST(NULL AS STRING)"))).collect()}
+    assert got >= set(range(0, 20_000, 40)) and len(got) < 600
+    assert may_be_in(rows, "id", spark.range(0)).columns == ["id", "name", "_place"]
+    assert may_be_in(rows, "id", spark.range(0)).count() == 0
+
+
+def test_a_group_of_texts_with_words_of_their_own_is_not_compared_pairwise(spark, monkeypatch):
+    """Texts that share too little with all others together link with none; they reach no block."""
+    kinds = "rep long, component long, weight long"
+    lists = [(i, [7, 8, 9, *range(1000 * i, 1000 * i + (7 if i < 200 else 0))]) for i in range(1, 203)]
+    regions = spark.createDataFrame([(i, [], r) for i, r in lists], "id long, others array<long>, regions array<long>")
+    members = spark.createDataFrame([(i, i, len(r)) for i, r in lists], kinds)
+    assert {r.rep for r in neardup._can_link(members, regions, 0.8).collect()} == {200, 201, 202}
+
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(w if k not in (10, 30, 50) else f"own{i}x{k}" for k, w in enumerate(base)) for i in range(60)]
+    texts += [" ".join([*base, "more"]), " ".join(base)]
+    asked = []
+    real = neardup._can_link
+    monkeypatch.setattr(neardup, "_can_link", lambda *a: asked.append(real(*a)) or asked[-1])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs).collect()}
+    assert got == brute(list(enumerate(texts)))
+    assert asked and asked[0].count() <= 2
