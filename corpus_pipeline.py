@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from macroloom.llm import bpe, decontaminate, langid, neardup, secrets
-from macroloom.llm.common import stored, table
+from macroloom.llm.common import cannot_be_in, may_be_in, stored, table
 from macroloom.llm.queries import BYTE_BPE, MULTI_BPE
 
 #: A document stays if one language is likelier than all others together.
@@ -36,7 +36,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     without an id are otherwise classes of their own.
     """
     gone = stored(neardup.near_duplicates(docs.select("doc_id", "text")).where("not kept").select("doc_id").distinct(), "pipeline-gone")
-    kept = packed(docs).join(gone, "doc_id", "left_anti")
+    rows = packed(docs)
+    kept = cannot_be_in(rows, "doc_id", gone).union(may_be_in(rows, "doc_id", gone).join(gone, "doc_id", "left_anti"))
     shared = stored(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("shared")), "pipeline-shared")
     same = F.col("doc_id").eqNullSafe(F.col("shared"))
     nth = F.row_number().over(Window.partitionBy("doc_id", "text").orderBy(F.xxhash64("row")))

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from macroloom import work
@@ -32,13 +32,8 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 FILTER_WORDS = 1 << 20
 
 
-def may_be_in(df: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
-    """Rows whose value in ``column`` is in the one column of ``wanted``, and a few others.
-
-    For use before an exact join: the rows that it would drop are not shuffled. The values are marked
-    by hash in a table of bits whose size has a bound, which is why it may be broadcast. Beyond that
-    bound more rows pass than need to; none that is wanted is ever dropped.
-    """
+def _marked(df: DataFrame, column: str, wanted: DataFrame, how: str) -> tuple[DataFrame, Column]:
+    """``df`` joined with the marks of ``wanted``, and whether a row's value is marked."""
 
     def word_and_bit(value):
         place = F.pmod(F.xxhash64(value), F.lit(64 * FILTER_WORDS))
@@ -47,7 +42,24 @@ def may_be_in(df: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
     word, bit = word_and_bit(wanted[wanted.columns[0]])
     marks = wanted.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("marks"))
     word, bit = word_and_bit(df[column])
-    return df.join(F.broadcast(marks), word == marks["word"]).where(bit.bitwiseAND(marks["marks"]) != 0).select(*[df[c] for c in df.columns])
+    return df.join(F.broadcast(marks), word == marks["word"], how), bit.bitwiseAND(marks["marks"]) != 0
+
+
+def may_be_in(df: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose value in ``column`` is in the one column of ``wanted``, and a few others.
+
+    For use before an exact join: the rows that it would drop are not shuffled. The values are marked
+    by hash in a table of bits whose size has a bound, which is why it may be broadcast. Beyond that
+    bound more rows pass than need to; none that is wanted is ever dropped. Null is a value like others.
+    """
+    joined, marked = _marked(df, column, wanted, "inner")
+    return joined.where(marked).select(*[df[c] for c in df.columns])
+
+
+def cannot_be_in(df: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """The rows that ``may_be_in`` leaves out: for these an exact join has no partner."""
+    joined, marked = _marked(df, column, wanted, "left")
+    return joined.where(~F.coalesce(marked, F.lit(False))).select(*[df[c] for c in df.columns])
 
 
 def portions(batches: Iterator[pa.RecordBatch], column: int, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:

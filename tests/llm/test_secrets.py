@@ -3,6 +3,7 @@ import hashlib
 import pytest
 
 from macroloom.llm import secrets
+from macroloom.llm.common import cannot_be_in, may_be_in
 from macroloom.llm.queries import MULTI_BPE, op6_secrets
 
 
@@ -57,6 +58,24 @@ def test_findings_and_masking(spark, words, model):
     assert secrets.find_secrets(docs.where("false"), words, model).count() == 0
 
 
+def test_texts_without_findings_are_not_shuffled(spark):
+    docs = spark.createDataFrame([(i if i % 100 else None, f"text {i} key-{i};", i) for i in range(1, 1001)], "doc_id long, text string, n int")
+    found = spark.createDataFrame([(i, f"key-{i};") for i in range(5, 1000, 50)] + [(None, "key-100;")], "doc_id long, secret string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        masked = secrets.mask_secrets(docs, found)
+        got = {r.n: (r.doc_id, r.text) for r in masked.collect()}
+        assert "BroadcastHashJoin" in masked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    hit = {*range(5, 1000, 50), 100}
+    assert got == {i: (i if i % 100 else None, f"text {i} " + (secrets.MASK if i in hit else f"key-{i};")) for i in range(1, 1001)}
+    ids = found.select("doc_id")
+    some, rest = may_be_in(docs, "doc_id", ids).count(), cannot_be_in(docs, "doc_id", ids).count()
+    assert some + rest == 1000 and 30 <= some < 60
+
+
 def test_held_out_accuracy(spark, words):
     labelled = secrets.labelled_findings(spark)
     model = secrets.train(labelled.where("n % 3 != 1"), words)
