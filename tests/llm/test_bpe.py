@@ -45,3 +45,35 @@ def test_odd_rows(spark, tokenizer):
     got = sorted(bpe.encode_documents(docs, BYTE_BPE).collect(), key=str)
     assert [(r.doc_id, len(r.ids) // 4, r.decoded) for r in got] == [(1, 2, "some text"), (1, 2, "some text"), (3, 0, ""), (None, 0, "")]
     assert bpe.encode_documents(docs.where("false"), BYTE_BPE).count() == 0
+
+
+class Counting:
+    def __init__(self, tokenizer):
+        self.tokenizer, self.asked = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.asked += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_new_pieces_are_encoded_together_and_once(tokenizer):
+    encoder = bpe.ChunkEncoder(BYTE_BPE)
+    encoder.tokenizer = Counting(encoder.tokenizer)
+    rng = random.Random(7)
+    words = ["".join(rng.choice("aeioustrnlé日") for _ in range(rng.randint(1, 30))) for _ in range(5000)]
+    text = " ".join(words) + "\n\n" + " ".join(words[::-1])
+    want = tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist() == want
+    assert encoder.tokenizer.asked < 50
+    asked = encoder.tokenizer.asked
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode([text.encode()] * 2)] == [want] * 2
+    assert encoder.tokenizer.asked == asked
+
+
+def test_a_table_too_small_changes_nothing(tokenizer, monkeypatch):
+    monkeypatch.setattr(bpe, "TABLE_BITS", 15)
+    encoder = bpe.ChunkEncoder(BYTE_BPE)
+    rng = random.Random(8)
+    for _ in range(4):
+        text = " ".join(str(rng.randint(0, 10**6)) for _ in range(14_000))
+        assert np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
