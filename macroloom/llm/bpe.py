@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from macroloom.llm.common import portions
+from macroloom.llm.common import portions, runs
 
 #: A chunk ends where the rolling hash of the last 16 bytes has so many zero bits: about 512 bytes.
 CHUNK_BITS = 9
@@ -29,6 +29,8 @@ _BLANK = (
 )
 _ASCII_BLANK = np.array([chr(i) in _BLANK and i < 128 for i in range(256)])
 _WIDE_BLANK = [np.array([int.from_bytes(c.encode()) for c in _BLANK if len(c.encode()) == n]) for n in (2, 3)]
+_LETTER = np.array([chr(i).isalpha() and i < 128 for i in range(256)])
+_MARK = np.array([i in b",.;:!?" for i in range(256)])
 _MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -42,12 +44,6 @@ def byte_texts(tokenizer) -> dict[int, bytes]:
     return {i: (added[i].encode() if i in added else bytes(byte_of[c] for c in t)) for t, i in tokenizer.get_vocab(with_added_tokens=True).items()}
 
 
-def runs(first: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """The numbers first, first + 1, ... of each run, ``count`` of them, one run after the other."""
-    ends = np.cumsum(count)
-    return np.repeat(first - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)
-
-
 class PieceTable:
     """Ids of short pieces, found by all bytes of a piece; an open-addressing table over numpy arrays."""
 
@@ -93,8 +89,8 @@ class ChunkEncoder:
     the chunks inside it. Such a cut may fall inside a token. Of a chunk therefore the core is kept,
     which lies between two *seams*, and each join, from the last seam of one chunk to the first of
     the next, is encoded anew. A seam is a place after a character that is not white space and
-    before a space or line end. No token of this kind of vocabulary crosses a seam, whatever stands
-    around it, so pieces between seams are encoded alone and agree exactly with the encoding of the
+    before a space or line end, or after one of A-Z, a-z and before one of ``,.;:!?`` that has a seam after it.
+    No token of this kind of vocabulary crosses a seam, whatever stands around it, so pieces between seams are encoded alone and agree exactly with the encoding of the
     whole text. A chunk without a seam is part of a join as a whole. Pieces are looked up for many
     texts at once, and those not known yet are encoded one after the other as one text.
     """
@@ -136,14 +132,17 @@ class ChunkEncoder:
         ends = np.flatnonzero((h[:-1] >> np.uint32(32 - CHUNK_BITS)) == 0) + 1
         return ends[(data[ends] & 0xC0) != 0x80]
 
-    def _seams(self, data: np.ndarray) -> np.ndarray:
-        """Places after a character that is not white space and before a space or line end."""
+    def _seams(self, data: np.ndarray, edge: np.ndarray) -> np.ndarray:
+        """Places after a character that is not white space and before a space or line end, or around a mark as above."""
         at = np.flatnonzero((data[1:] == 32) | (data[1:] == 10)) + 1
         at = at[~_ASCII_BLANK[data[at - 1]]]
         wide = np.flatnonzero(data[at - 1] >= 128)
         two = data[at[wide] - 2].astype(np.int64) << 8 | data[at[wide] - 1]
         three = data[at[wide] - 3].astype(np.int64) << 16 | two
-        return np.delete(at, wide[np.isin(two, _WIDE_BLANK[0]) | np.isin(three, _WIDE_BLANK[1])])
+        at = np.delete(at, wide[np.isin(two, _WIDE_BLANK[0]) | np.isin(three, _WIDE_BLANK[1])])
+        marks = at[at > 1] - 1
+        # Whether a mark is a seam must not depend on what follows its chunk.
+        return np.append(at, marks[_MARK[data[marks]] & _LETTER[data[marks - 1]] & ~edge[marks] & ~edge[marks + 1]])
 
     def _encode_pieces(self, texts: list[bytes], joinable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each piece, all ids). Joinable ones start with a seam, and end before one if a seam follows."""
@@ -188,15 +187,15 @@ class ChunkEncoder:
         whole = b"".join(texts)
         buffer = whole + bytes(SHORT + 8)
         data = np.frombuffer(whole, np.uint8)
+        edge = np.zeros(size + 1, bool)
+        edge[self.cuts(data)] = True
+        edge[bounds] = True
+        edges = np.flatnonzero(edge)
         mark = np.zeros(size + 1, bool)
-        mark[self._seams(data)] = True
+        mark[self._seams(data, edge)] = True
         mark[bounds] = True
         start = np.flatnonzero(mark[:-1])
         end = np.append(start[1:], size)
-        mark = np.zeros(size + 1, bool)
-        mark[self.cuts(data)] = True
-        mark[bounds] = True
-        edges = np.flatnonzero(mark)
         # The core of a chunk: the pieces from the first seam inside it up to the last one.
         low = np.searchsorted(start, edges[:-1], "right")
         high = np.searchsorted(start, edges[1:], "left") - 1

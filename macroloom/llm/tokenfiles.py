@@ -18,12 +18,14 @@ from macroloom.llm.common import portions
 
 #: Tokens after which a segment is closed; it always holds whole documents.
 SEGMENT = 1 << 22
+#: Tokens of a block: the shorter, the more blocks are coded in step, and the more heads are stored.
+BLOCK = 2048
 
 _MAGIC = b"MLT1"
 _HEAD = "<4sIQIII"
 
 
-def pack(names: np.ndarray, absent: np.ndarray, lengths: np.ndarray, ids: np.ndarray, block: int = rangecoder.BLOCK) -> bytes:
+def pack(names: np.ndarray, absent: np.ndarray, lengths: np.ndarray, ids: np.ndarray, block: int = BLOCK) -> bytes:
     """A segment: head, ids and lengths of its documents, sizes and checksums of its blocks, checksum of all this, blocks."""
     blocks = rangecoder.encode(ids, block)
     highest = int(ids.max()) + 1 if len(ids) else 0
@@ -64,7 +66,7 @@ def segment_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -
     def close() -> pa.RecordBatch:
         lengths = np.array([len(c) // 4 for c in codes], np.int64)
         known = np.array([n if n is not None else 0 for n in names], np.int64)
-        data = pack(known, np.array([n is None for n in names]), lengths, np.frombuffer(b"".join(codes), "<u4").astype(np.int64))
+        data = pack(known, np.array([n is None for n in names]), lengths, np.frombuffer(b"".join(codes), "<u4"))
         values = ([part], [number], [start], [tokens], [data])
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))], names=["part", "number", "start", "tokens", "segment"])
 

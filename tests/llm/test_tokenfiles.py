@@ -57,3 +57,27 @@ def test_files_hold_the_documents_in_order(spark, tmp_path, monkeypatch):
     assert glob.glob(folder + "/*.parquet")
     tokenfiles.write_tokens(docs.where("false"), folder + "2", BYTE_BPE)
     assert tokenfiles.read_tokens(spark, folder + "2").count() == 0
+
+
+def test_known_blocks_are_predicted_as_in_decoding():
+    rng = np.random.default_rng(4)
+    tokens = (rng.zipf(1.5, (3, 500)) % 40 + 1).astype(np.int32)
+    states, model = rangecoder.predictions(tokens, 4), rangecoder.Model(3, 4)
+    for step in range(500):
+        model.predict()
+        token, sure1 = tokens[:, step], model.sure1 * (model.guess1 != model.guess2)
+        part = np.where(model.guess2 == token, 0, np.where(model.guess1 == token, 1, 2))
+        assert (states[:, step] == model.sure2 + 4 * sure1 + 16 * part).all()
+        model.learn(token)
+
+
+def test_odd_blocks_and_ids():
+    rng = np.random.default_rng(5)
+    for ids in (np.arange(65536), np.full(9000, 65535), rng.integers(0, 65536, 20_000), np.array([0]), rng.integers(0, 2, 8193)):
+        for block in (1, 2, 1000, 8192) if len(ids) < 10_000 else (1000, 8192):
+            coded = rangecoder.encode(ids, block)
+            assert np.array_equal(rangecoder.decode(coded, len(ids), 65536, block), ids)
+    with pytest.raises(ValueError):
+        rangecoder.encode(np.arange(9000), 8193)
+    with pytest.raises(ValueError):
+        rangecoder.decode(rangecoder.encode(np.array([7])), 1, 7)
