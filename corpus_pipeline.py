@@ -18,15 +18,20 @@ LEAST_SCORE = 0.5
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    """Id and text, and beside them the whole row in one column, so that no result can have the name of another column."""
-    return docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    """Id and text, and beside them all but the text in one column, so that no result can have the name of another column."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"))
+
+
+def unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from packed rows."""
+    return rows.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a recognised language. Null, empty and letterless texts go."""
     model = langid.train(docs, MULTI_BPE)
-    judged = langid.identify(packed(docs), model, keep=["row"])
-    return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("row.*")
+    judged = langid.identify(packed(docs), model, keep=["text", "row"])
+    return unpacked(judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,13 +46,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     shared = stored(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("shared")), "pipeline-shared")
     same = F.col("doc_id").eqNullSafe(F.col("shared"))
     nth = F.row_number().over(Window.partitionBy("doc_id", "text").orderBy(F.xxhash64("row")))
-    again = kept.join(shared, same, "left_semi").select("row", nth.alias("nth")).where("nth = 1").select("row.*")
-    return kept.join(shared, same, "left_anti").select("row.*").union(again)
+    again = kept.join(shared, same, "left_semi").select("text", "row", nth.alias("nth")).where("nth = 1")
+    return unpacked(kept.join(shared, same, "left_anti"), docs).union(unpacked(again, docs))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any passage of the benchmark."""
-    return decontaminate.find_passages(packed(docs), table(spark, sf_dir, "benchmark"), keep=["row"]).where("n_hit = 0").select("row.*")
+    found = decontaminate.find_passages(packed(docs), table(spark, sf_dir, "benchmark"), keep=["text", "row"])
+    return unpacked(found.where("n_hit = 0"), docs)
 
 
 def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

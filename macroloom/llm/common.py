@@ -64,7 +64,10 @@ def cannot_be_in(df: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
 
 
 def portions(batches: Iterator[pa.RecordBatch], column: int, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """Arrow batches cut into runs of rows whose texts together have at most ``most`` bytes, or single rows."""
+    """Arrow batches cut into runs of rows whose texts together have at most ``most`` bytes, or single rows.
+
+    Workers outlive their tasks, so what Arrow holds of batches that are done with is given back with each one.
+    """
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.columns[column]), 0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
@@ -74,6 +77,8 @@ def portions(batches: Iterator[pa.RecordBatch], column: int, most: int = 2 << 20
                 start, held = i, 0
             held += n
         yield batch.slice(start)
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def runs(first: np.ndarray, count: np.ndarray) -> np.ndarray:

@@ -166,18 +166,20 @@ def find_passages(
     size = asked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     kinds = dict(docs.dtypes)
-    names = [f"__{i}" for i in range(len(keep))]
+    once = kinds[text_column] == "string"  # a text that is kept goes to the tasks once
+    names = ["__text" if once and c == text_column else f"__{i}" for i, c in enumerate(keep)]
+    beside = [(c, n) for c, n in zip(keep, names) if n != "__text"]
     rows = docs.select(
-        *[F.col(c).alias(n) for c, n in zip(keep, names)],
+        *[F.col(c).alias(n) for c, n in beside],
         F.col(text_column).cast("string").alias("__text"),
         F.lit(0).cast("long").alias("n_words"),
         F.expr("cast(array() as array<struct<first:int,after:int>>)").alias("spans"),
         F.expr("cast(array() as array<string>)").alias("items"),
     )
-    schema = ", ".join([*[f"{n} {kinds[c]}" for c, n in zip(keep, names)], "__text string, n_words long, spans array<struct<first:int,after:int>>, items array<string>"])
+    schema = ", ".join([*[f"{n} {kinds[c]}" for c, n in beside], "__text string, n_words long, spans array<struct<first:int,after:int>>, items array<string>"])
     for block in range(blocks):
         found = asked.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).select("item", F.col("text").cast("binary")).collect()  # about block_bytes
         sent = docs.sparkSession.sparkContext.broadcast([(r.item, bytes(r.text)) for r in found])
-        rows = rows.mapInArrow(lambda batches, sent=sent: search_batches(batches, sent.value, len(names)), schema)
+        rows = rows.mapInArrow(lambda batches, sent=sent: search_batches(batches, sent.value, len(beside)), schema)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["after"] - s["first"])
     return rows.select(*[F.col(n).alias(c) for c, n in zip(keep, names)], "n_words", "spans", "items", n_hit.alias("n_hit"))

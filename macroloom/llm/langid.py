@@ -222,8 +222,8 @@ def train(docs: DataFrame, path: str, lang_column: str = "lang", text_column: st
     return LanguageModel(path, langs, weights)
 
 
-def score_batches(batches: Iterator[pa.RecordBatch], path: str, langs: list[str], weights: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Appends language and score to batches whose last column is the text."""
+def score_batches(batches: Iterator[pa.RecordBatch], path: str, langs: list[str], weights: np.ndarray, with_text: bool = False) -> Iterator[pa.RecordBatch]:
+    """Appends language and score to batches whose last column is the text, which stays if asked for."""
     pieces = Pieces(path)
     table = tilted(weights, pieces) if langs else None
     index: dict[str, int] = {}
@@ -250,7 +250,8 @@ def score_batches(batches: Iterator[pa.RecordBatch], path: str, langs: list[str]
             best = int(total.argmax())
             preds.append(langs[best])
             posts.append(min(1.0, 1.0 / float(np.exp(np.maximum(total - total[best], -700)).sum())))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(preds, pa.string()), pa.array(posts, pa.float64())], names=[*batch.schema.names[:-1], "__lang", "__score"])
+        kept = batch.num_columns - (not with_text)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:kept], pa.array(preds, pa.string()), pa.array(posts, pa.float64())], names=[*batch.schema.names[:kept], "__lang", "__score"])
 
 
 def identify(docs: DataFrame, model: LanguageModel, keep: Sequence[str] = ("doc_id",), text_column: str = "text") -> DataFrame:
@@ -268,9 +269,12 @@ def identify(docs: DataFrame, model: LanguageModel, keep: Sequence[str] = ("doc_
     """
     sent = docs.sparkSession.sparkContext.broadcast(model.weights)
     path, langs = model.path, model.langs
-    rows = docs.select(*[F.col(c).alias(f"__{i}") for i, c in enumerate(keep)], F.col(text_column).alias("__text"))
-    schema = ", ".join([*[f"__{i} {t}" for i, t in enumerate(dict(docs.dtypes)[c] for c in keep)], "__lang string", "__score double"])
-    out = rows.mapInArrow(lambda batches: score_batches(batches, path, langs, sent.value), schema)
+    names = ["__text" if c == text_column else f"__{i}" for i, c in enumerate(keep)]  # a text that is kept goes to the tasks once
+    beside, kinds = [(c, n) for c, n in zip(keep, names) if n != "__text"], dict(docs.dtypes)
+    rows = docs.select(*[F.col(c).alias(n) for c, n in beside], F.col(text_column).alias("__text"))
+    with_text = "__text" in names
+    schema = ", ".join([*[f"{n} {kinds[c]}" for c, n in beside], *[f"__text {kinds[text_column]}"] * with_text, "__lang string, __score double"])
+    out = rows.mapInArrow(lambda batches: score_batches(batches, path, langs, sent.value, with_text), schema).select(*names, "__lang", "__score")
     return out.toDF(*keep, "lang_pred", "score")
 
 

@@ -129,7 +129,7 @@ def band_keys(signs: np.ndarray) -> np.ndarray:
 def sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, text) to (id, digest of the words, weight, band keys); without words digest and keys are null."""
     hashes = WordHashes()
-    for batch in portions(batches, 1):
+    for batch in portions(batches, 1, 1 << 20):
         words = [words_of(t or b"") for t in batch.column(1).cast(pa.binary()).to_pylist()]
         digests = [hashlib.sha256(b" ".join(w)).digest() if w else None for w in words]
         first: dict[bytes, int] = {}

@@ -78,3 +78,11 @@ def test_copies_under_one_id_and_clashing_columns(spark):
     every = spark.read.parquet(f"{DATA}/documents.parquet").select("*", *[F.lit(n).alias(n) for n in names])
     judged = corpus_pipeline.language(spark, every, DATA)
     assert judged.columns == every.columns and judged.where("score = 'score' and lang_pred = 'lang_pred'").count() == judged.count() > 0
+
+
+def test_texts_go_to_the_tasks_once(spark):
+    docs = spark.createDataFrame([(1, "one two", "en", 7), (None, None, None, None)], "doc_id long, text string, `la.ng` string, n_chars long")
+    rows = corpus_pipeline.packed(docs)
+    assert [c for c in rows.schema["row"].dataType.names if c == "text"] == []
+    assert corpus_pipeline.unpacked(rows, docs).columns == docs.columns
+    assert sorted(corpus_pipeline.unpacked(rows, docs).collect(), key=str) == sorted(docs.collect(), key=str)
